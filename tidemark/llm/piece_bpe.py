@@ -10,7 +10,7 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -23,6 +23,26 @@ from tidemark.llm.common import batches_of, per_batch
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+#: Where no piece holds a line's end, words end there too.
+LINE_WORDS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n+")
+
+
+class Recent(dict):
+    """Keeps what make gave for the keys used last: at most twice most of them."""
+
+    def __init__(self, make: Callable[[str], object], most: int, size: int) -> None:
+        self.make, self.most, self.size, self.old = make, most, size, {}
+
+    def __missing__(self, key: str) -> object:
+        got = self.old.get(key)
+        if got is None:
+            got = self.make(key)
+        if len(key) <= self.size:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[key] = got
+        return got
 
 
 def _fields(b: bytes) -> Iterator[tuple[int, object]]:
@@ -84,9 +104,9 @@ class Pieces:
         self.automaton.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
         self.own: dict[int, bool] = {}
-        self.words: dict[str, str] = {}
-        self.word_cache = word_cache
-        self.surfaces: dict[str, bytes] = {}
+        self.id_texts = Recent(lambda w: ",".join(map(str, self.encode_word(w))), word_cache, 48)
+        self.surfaces = Recent(self.surface, word_cache, 256)
+        self.cut = WORDS if any("\n" in p for p in self.ids) else LINE_WORDS
 
     def merged(self, s: str) -> list[str]:
         """The pieces that merging leaves of a short string: the best score first, then the leftmost pair."""
@@ -155,38 +175,20 @@ class Pieces:
             out += [self.byte_ids[x] for x in c.encode()]
         return out + (self.backtrack(known) if known else [])
 
-    def id_text(self, word: str) -> str:
-        got = self.words.get(word)
-        if got is None:
-            got = ",".join(map(str, self.encode_word(word)))
-            if len(word) <= 48:
-                if len(self.words) >= self.word_cache:
-                    self.words.clear()
-                    self.surfaces.clear()
-                self.words[word] = got
-        return got
-
     def split(self, text: str) -> list[str]:
         if not text:
             return []
-        return WORDS.findall((SPACE if self.dummy_prefix else "") + text.replace(" ", SPACE))
+        return self.cut.findall((SPACE if self.dummy_prefix else "") + text.replace(" ", SPACE))
 
     def encode(self, text: str) -> list[int]:
         return [i for w in self.split(text) for i in self.encode_word(w)]
 
     def surface(self, ids: str) -> bytes:
-        got = self.surfaces.get(ids)
-        if got is None:
-            got = b"".join(bytes([int(self.pieces[i][3:5], 16)]) if self.kinds[i] == BYTE else b"" if self.kinds[i] == CONTROL else b" \xe2\x81\x87 " if self.kinds[i] == UNKNOWN else self.pieces[i].replace(SPACE, " ").encode() for i in map(int, ids.split(",")))
-            if len(ids) <= 256:
-                if len(self.surfaces) >= self.word_cache:
-                    self.surfaces.clear()
-                self.surfaces[ids] = got
-        return got
+        return b"".join(bytes([int(self.pieces[i][3:5], 16)]) if self.kinds[i] == BYTE else b"" if self.kinds[i] == CONTROL else b" \xe2\x81\x87 " if self.kinds[i] == UNKNOWN else self.pieces[i].replace(SPACE, " ").encode() for i in map(int, ids.split(",")))
 
     def joined(self, words: list[str]) -> str:
         """The text of ids, given as texts of whole words. Bytes that aren't UTF-8 become U+FFFD."""
-        out = b"".join(map(self.surface, words))
+        out = b"".join(map(self.surfaces.__getitem__, words))
         if self.dummy_prefix and out[:1] == b" " and words and self.kinds[int(words[0].split(",", 1)[0])] == NORMAL:
             out = out[1:]
         return out.decode("utf-8", "replace")
@@ -226,7 +228,7 @@ def encode_texts(docs: DataFrame, model: bytes, digests: bool = False) -> DataFr
         p = loaded(model)
         n, enc, dec = [], [], []
         for t in texts:
-            words = list(map(p.id_text, p.split(t or "")))
+            words = list(map(p.id_texts.__getitem__, p.split(t or "")))
             s = ",".join(words)
             d = p.joined(words)
             n.append(s.count(",") + 1 if s else 0)
