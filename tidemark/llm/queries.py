@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, mixing, piece_bpe, url_filter
+from tidemark.llm import language, mixing, piece_bpe, simhash, url_filter
 from tidemark.llm.common import remainder, table
 
 #: The rules that pages are judged by.
@@ -28,12 +28,16 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.encode_texts(table(spark, sf_dir, "documents"), piece_bpe.model_bytes(public_tokenizers.path("piece_bpe_32k.model")), digests=True)
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = language.identify(table(spark, sf_dir, "documents"), remainder("doc_id", 3) != 1)
     return got.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_lm_scoring, op3_url_filters, op5_sentencepiece, op7_language_id)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_lm_scoring, op3_url_filters, op5_sentencepiece, op6_simhash, op7_language_id)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SQL: dict[str, str] = {
