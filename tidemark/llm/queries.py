@@ -8,13 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, mixing, piece_bpe, simhash, url_filter
+from tidemark.llm import language, mixing, piece_bpe, simhash, suffix_dedup, url_filter
 from tidemark.llm.common import remainder, table
 
 #: The rules that pages are judged by.
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "block"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed")
+    return got.select("doc_id", "n_bytes", removed, F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.score(table(spark, sf_dir, "documents"), remainder("doc_id", 7) != 2)
 
@@ -37,7 +43,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_lm_scoring, op3_url_filters, op5_sentencepiece, op6_simhash, op7_language_id)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_lm_scoring, op3_url_filters, op5_sentencepiece, op6_simhash, op7_language_id)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SQL: dict[str, str] = {
