@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, mixing, piece_bpe, simhash, suffix_dedup, url_filter
+from tidemark.llm import decontaminate, language, mixing, piece_bpe, simhash, suffix_dedup, url_filter
 from tidemark.llm.common import remainder, table
 
 #: The rules that pages are judged by.
@@ -43,7 +43,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_lm_scoring, op3_url_filters, op5_sentencepiece, op6_simhash, op7_language_id)}
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_lm_scoring, op3_url_filters, op5_sentencepiece, op6_simhash, op7_language_id, op9_decontamination)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SQL: dict[str, str] = {
@@ -61,4 +65,21 @@ SQL: dict[str, str] = {
         )
         SELECT p.page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM p LEFT JOIN m ON p.page_id = m.page_id
     """,
+    "op9_decontamination": r"""
+        WITH i AS (
+            SELECT item_id, w, least(len(w), 5) AS m
+            FROM (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark)
+            WHERE len(w) > 0
+        ), s AS (
+            SELECT DISTINCT item_id, m, array_to_string(w[j:j + m - 1], ' ') AS s
+            FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS j FROM i)
+        ), n AS (SELECT item_id, count(*) AS n_item FROM s GROUP BY item_id),
+        d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+        k AS (
+            SELECT DISTINCT doc_id, array_to_string(w[j:j + m - 1], ' ') AS s
+            FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS j FROM d, (SELECT DISTINCT m FROM i))
+        ), c AS (SELECT doc_id, item_id, count(*) AS n_shared FROM k JOIN s ON k.s = s.s GROUP BY doc_id, item_id)
+        SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment
+        FROM c JOIN n USING (item_id) WHERE n_shared >= n_item * 0.8 - 1e-9
+    """,
 }
