@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language, mixing, piece_bpe, simhash, suffix_dedup, url_filter
+from tidemark.llm import decontaminate, language, mixing, neighbours, piece_bpe, simhash, suffix_dedup, url_filter
 from tidemark.llm.common import remainder, table
 
 #: The rules that pages are judged by.
@@ -47,7 +47,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_lm_scoring, op3_url_filters, op5_sentencepiece, op6_simhash, op7_language_id, op9_decontamination)}
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_lm_scoring, op3_url_filters, op5_sentencepiece, op6_simhash, op7_language_id, op9_decontamination, op10_nearest_neighbours)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SQL: dict[str, str] = {
