@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language, mixing, neighbours, piece_bpe, simhash, suffix_dedup, url_filter
+from tidemark.llm import decontaminate, language, mixing, neighbours, piece_bpe, simhash, suffix_dedup, toxicity, url_filter
 from tidemark.llm.common import remainder, table
 
 #: The rules that pages are judged by.
@@ -30,6 +30,11 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = toxicity.score_texts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder("doc_id", 5) != 0)
+    return got.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.encode_texts(table(spark, sf_dir, "documents"), piece_bpe.model_bytes(public_tokenizers.path("piece_bpe_32k.model")), digests=True)
 
@@ -51,7 +56,7 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_lm_scoring, op3_url_filters, op5_sentencepiece, op6_simhash, op7_language_id, op9_decontamination, op10_nearest_neighbours)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_lm_scoring, op3_url_filters, op4_toxicity, op5_sentencepiece, op6_simhash, op7_language_id, op9_decontamination, op10_nearest_neighbours)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SQL: dict[str, str] = {
