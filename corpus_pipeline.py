@@ -1,7 +1,69 @@
-"""The cleaning pipeline over documents."""
+"""The cleaning pipeline over documents: each stage works on all that the one before kept."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import decontaminate, language, piece_bpe, simhash, suffix_dedup
+from tidemark.llm.common import cut, remainder, table
+
+#: No SQL: language ID, SimHash and SentencePiece can't be expressed in it.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language stay; texts without letters, null texts and such without any learned language go."""
+    got = language.identify(docs, remainder("doc_id", 3) != 1, carry=True)
+    return got.where(F.col("lang_pred") != language.UNDECIDED).select(*docs.columns)
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays; of repeated rows of one id one."""
+    got = simhash.near_duplicates(docs)
+    gone = cut(got.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone")).distinct(), "near-copies")
+    kept = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    if docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").limit(1).count():
+        some = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
+        kept = some.unionByName(kept.where("doc_id is null"))
+    return kept.select(*docs.columns)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated passages of 400 bytes or more go from all documents that have them; documents left without words go."""
+    got = suffix_dedup.remove_repeats(docs, as_text=True)
+    return got.where(F.trim(F.regexp_replace("text", r"\s+", " ")) != "").withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    pairs = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    gone = cut(pairs.select(F.col("doc_id").alias("gone")).distinct(), "contaminated")
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti").select(*docs.columns)
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, the ids, and the digest of the text that they decode to."""
+    got = piece_bpe.encode_texts(docs, piece_bpe.model_bytes(public_tokenizers.path("piece_bpe_32k.model")))
+    return got.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id),
+    ("simhash_dedup", simhash_dedup),
+    ("suffix_array_dedup", suffix_array_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("sentencepiece", sentencepiece),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; what each keeps is written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import batches_of, per_batch
+from tidemark.llm.common import batches_of
 
 UNDECIDED = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -177,7 +179,7 @@ def labelled_samples(docs: DataFrame, train: Column, rows: int, chars: int) -> t
     return tuple((k, tuple(t for _, t in sorted(v))) for k, v in sorted(out.items()))
 
 
-def identify(docs: DataFrame, train: Column | None = None, rows: int = 96, chars: int = 256) -> DataFrame:
+def identify(docs: DataFrame, train: Column | None = None, rows: int = 96, chars: int = 256, carry: bool = False) -> DataFrame:
     """doc_id, lang_pred and score (0 to 1) of each row of docs (doc_id, text, lang).
 
     Each language's suffix automaton is built of a bounded sample of its labelled rows among train (rows times chars
@@ -185,14 +187,18 @@ def identify(docs: DataFrame, train: Column | None = None, rows: int = 96, chars
     sample holds; phrases are counted over all of it, weighted by the bits that name a place in the sample. The
     language with the fewest bits wins, of equals the first by name; the score is the runner-up's share of both costs.
     A null text, one without letters, or no labelled rows at all: und with score 0. Repeated rows get equal results;
-    other columns are left out. No shuffle of texts; only the samples go to the driver.
+    other columns are left out, or carried along before lang_pred and score (carry; own columns of these names are
+    replaced). No shuffle of texts; only the samples go to the driver.
     """
     batches_of(docs.sparkSession)
-    d = docs.select("doc_id", "text", "lang")
-    samples = labelled_samples(d, F.lit(True) if train is None else train, rows, chars)
+    samples = labelled_samples(docs.select("doc_id", "text", "lang"), F.lit(True) if train is None else train, rows, chars)
 
-    def run(ids: list[int], texts: list[str | None]) -> list:
-        return [ids, *parser(samples).predict(texts)]
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            lang, score = parser(samples).predict(b.column(b.schema.get_field_index("text")).to_pylist())
+            kept = [(c, n) for c, n in zip(b.columns, b.schema.names, strict=True) if carry or n == "doc_id"]
+            yield pa.RecordBatch.from_arrays([*(c for c, _ in kept), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*(n for _, n in kept), "lang_pred", "score"])
 
-    schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
-    return d.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(per_batch(run, schema, ["doc_id", "text"]), "doc_id long, lang_pred string, score double")
+    d = docs.drop("lang_pred", "score") if carry else docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    out = T.StructType([*(x for x in d.schema.fields if carry or x.name == "doc_id"), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return d.mapInArrow(run, out)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language, mixing, neighbours, piece_bpe, simhash, suffix_dedup, toxicity, url_filter
+from tidemark.llm import decontaminate, html_text, language, mixing, neighbours, piece_bpe, simhash, suffix_dedup, toxicity, url_filter
 from tidemark.llm.common import remainder, table
 
 #: The rules that pages are judged by.
@@ -48,6 +48,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -56,7 +60,7 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_lm_scoring, op3_url_filters, op4_toxicity, op5_sentencepiece, op6_simhash, op7_language_id, op9_decontamination, op10_nearest_neighbours)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_lm_scoring, op3_url_filters, op4_toxicity, op5_sentencepiece, op6_simhash, op7_language_id, op8_html_extraction, op9_decontamination, op10_nearest_neighbours)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SQL: dict[str, str] = {

@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import batches_of, cut, groups
 
@@ -227,17 +228,17 @@ def spans_out(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(th, pa.int64()), pa.array(s, pa.int32()), pa.array(e, pa.int32())], names=["doc", "th", "s", "e"])
 
 
-def bucket() -> Column:
-    return F.pmod(F.xxhash64("doc", "th"), F.lit(BUCKETS))
+def bucket(df: DataFrame) -> Column:
+    return F.pmod(F.xxhash64(*(("_doc", "_th") if "_doc" in df.columns else ("doc", "th"))), F.lit(BUCKETS))
 
 
 def near(d: DataFrame, some: DataFrame, kind: str = "left_semi") -> DataFrame:
     """The rows of d (doc, th) whose hash bucket some's rows have too (left_anti: the others): a cheap filter before a join. The buckets broadcast are BUCKETS numbers at most."""
-    return d.withColumn("_b", bucket()).join(F.broadcast(some.select(bucket().alias("_b")).distinct()), "_b", kind).drop("_b")
+    return d.withColumn("_b", bucket(d)).join(F.broadcast(some.select(bucket(some).alias("_b")).distinct()), "_b", kind).drop("_b")
 
 
-def remove_repeats(docs: DataFrame, size: int = 400) -> DataFrame:
-    """doc_id, n_bytes, spans (of from, to) and kept (binary) of each row of docs (doc_id, text).
+def remove_repeats(docs: DataFrame, size: int = 400, as_text: bool = False) -> DataFrame:
+    """doc_id, n_bytes, spans (of s, e) and kept (binary) of each row of docs (doc_id, text); or all columns of docs, text being what is kept, without characters that a cut splits, and spans (as_text).
 
     Removed is each byte of the text's UTF-8 that a string of size bytes covers which also starts anywhere else, in any
     row or the same one; all judged on the input. Kept are the other bytes in their order; a cut may split a character.
@@ -246,24 +247,39 @@ def remove_repeats(docs: DataFrame, size: int = 400) -> DataFrame:
 
     Documents' anchors (some 2 per 300 bytes) are shuffled as numbers; strings only around anchors that occur in
     different strings, one for each. An anchor in more strings than one task should sort has its windows counted singly.
+    Texts are shuffled only near those with something to remove.
     """
     spans = cut(repeated_spans(docs, size), "spans").groupBy("doc", "th").agg(F.collect_list(F.struct("s", "e")).alias("found"))
-    spans = cut(spans, "document-spans")
-    d = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
+    spans = cut(spans, "document-spans").select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), F.col("found").alias("_found"))
+    text = F.coalesce("text", F.lit(""))
+    d = (docs.drop("spans") if as_text else docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_doc"), F.xxhash64("text").alias("_th"))
+    names = [c for c in d.columns if c not in ("_doc", "_th")] if as_text else ["doc_id"]
+    kinds = [x for x in d.schema.fields if x.name in names]
 
     def remove(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            ids, sizes, done, kept = [], [], [], []
-            for i, text, found in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), b.column("found").to_pylist(), strict=True):
-                raw = text.encode()
+            place = b.schema.get_field_index
+            sizes, done, kept = [], [], []
+            for t, found in zip(b.column(place("text")).to_pylist(), b.column(place("_found")).to_pylist(), strict=True):
+                raw = (t or "").encode()
                 out = joined([(x["s"], x["e"]) for x in found or []])
-                ids.append(i)
                 sizes.append(len(raw))
                 done.append([{"s": s, "e": e} for s, e in out])
                 kept.append(b"".join(raw[e:s] for e, s in zip([0, *(e for _, e in out)], [*(s for s, _ in out), len(raw)], strict=True)))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(done, pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
-
-    kind = "doc_id long, n_bytes long, spans array<struct<s:long,e:long>>, kept binary"
-    touched = near(d, spans).join(spans, ["doc", "th"], "left").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "found").mapInArrow(remove, kind)
-    rest = near(d, spans, "left_anti").select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length("text").cast("long").alias("n_bytes"), F.expr("cast(array() as array<struct<s:bigint,e:bigint>>)").alias("spans"), F.col("text").cast("binary").alias("kept"))
+            done_ = pa.array(done, pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())])))
+            if as_text:
+                new = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())
+                yield pa.RecordBatch.from_arrays([*(new if n == "text" else b.column(place(n)) for n in names), done_], names=[*names, "spans"])
+            else:
+                yield pa.RecordBatch.from_arrays([b.column(place("doc_id")), pa.array(sizes, pa.int64()), done_, pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
+
+    span_list = "array<struct<s:bigint,e:bigint>>"
+    none = F.expr(f"cast(array() as {span_list})").alias("spans")
+    if as_text:
+        out = T.StructType([*kinds, T.StructField("spans", T.ArrayType(T.StructType([T.StructField("s", T.LongType()), T.StructField("e", T.LongType())])))])
+    else:
+        out = f"doc_id long, n_bytes long, spans {span_list}, kept binary"
+    touched = near(d, spans).join(spans, ["_doc", "_th"], "left").select(*dict.fromkeys([*names, "text"]), "_found").mapInArrow(remove, out)
+    rest = near(d, spans, "left_anti")
+    rest = rest.select(*(text.alias("text") if n == "text" else F.col(n) for n in names), none) if as_text else rest.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), none, text.cast("binary").alias("kept"))
     return rest.union(touched)

@@ -32,7 +32,7 @@ STARTS = (4, 5, 6, 7)
 
 @dataclass(frozen=True)
 class Setting:
-    """toxic and ordinary: labelled rows that are learned from, at most; a third of them only calibrates. common: words of the ordinary dictionary. share: of the toxic texts that a segment must add; ratio: how much more often toxic texts must have it. cover: segments wanted for each toxic text."""
+    """toxic and ordinary: labelled rows that are learned from, at most; a fourth of them only calibrates. common: words of the ordinary dictionary. share: of the toxic texts that a segment must add; ratio: how much more often toxic texts must have it. cover: segments wanted for each toxic text. candidates are looked at for segments, forms of the chosen beginnings added."""
 
     toxic: int = 1500
     ordinary: int = 6000
@@ -41,6 +41,7 @@ class Setting:
     ratio: float = 12.0
     cover: int = 3
     candidates: int = 3000
+    forms: int = 150
 
 
 def words(text: str | None) -> list[bytes]:
@@ -86,13 +87,13 @@ def coders(ordinary: bytes, toxic: bytes) -> Recent:
 
 
 def features(text: str | None, gains: Recent) -> list[float]:
-    """The two greatest savings, how many words save 4 bytes and how many 3, and those to a word."""
+    """The two greatest savings, how many words save 5, 4, 3 and 2 bytes or more, and the first of these to a word."""
     g = np.fromiter(map(gains.__getitem__, words(text)), np.int64)
     if not len(g):
-        return [0.0] * 5
+        return [0.0] * 8
     top = np.sort(np.partition(g, len(g) - 2)[-2:])[::-1] if len(g) > 1 else np.append(g, 0)
-    four, three = int((g >= 4).sum()), int((g >= 3).sum())
-    return [min(6.0, max(0.0, float(top[0]))), min(6.0, max(0.0, float(top[1]))), math.log1p(four), math.log1p(three), math.log1p(100 * four / len(g))]
+    counts = [int((g >= least).sum()) for least in (5, 4, 3, 2)]
+    return [min(6.0, max(0.0, float(top[0]))), min(6.0, max(0.0, float(top[1]))), *map(math.log1p, counts), math.log1p(100 * counts[1] / len(g)), math.log1p(100 * counts[3] / len(g))]
 
 
 def fit(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2) -> np.ndarray:
@@ -123,7 +124,7 @@ def score_texts(docs: DataFrame, labels: DataFrame, train: Column, setting: Sett
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     told = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).where(train).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("y"))
     told = told.withColumn("r", F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id"))).where(F.col("r") <= F.when(F.col("y") == 1, setting.toxic).otherwise(setting.ordinary))
-    told = told.select("doc_id", "y", (F.col("r") % 3 == 0).alias("last"))
+    told = told.select("doc_id", "y", (F.col("r") % 4 == 0).alias("last"))
     sample = d.join(F.broadcast(told), "doc_id").dropDuplicates(["doc_id"])  # rows of the sample at most
     n = {(r["y"], r["last"]): r["n"] for r in sample.groupBy("y", "last").agg(F.count("*").alias("n")).collect()}
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("predicted", pa.int32())])
@@ -157,6 +158,8 @@ def score_texts(docs: DataFrame, labels: DataFrame, train: Column, setting: Sett
     candidates = {bytes(r["g"]): r["o"] / no for r in found}
     has = [{g for g in grams(set(words(r["text"]))) if g in candidates} for r in learn.where("y = 1").select("text").toLocalIterator()]
     segments = pick_segments(has, candidates, setting)
+    stems = tuple(g for g in segments if not g.endswith(b" "))
+    segments += [g for g in candidates if g.startswith(stems) and g not in segments][: setting.forms] if stems else []
     common = b" ".join(g.rstrip() for g in reversed(shared)) + AROUND * 2
     toxic = b"".join(AROUND + (g + AROUND[1:] if g.endswith(b" ") else g) for g in segments) + b" " + common
 
