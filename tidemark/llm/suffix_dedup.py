@@ -171,7 +171,8 @@ def repeated_spans(docs: DataFrame, size: int = 400, gram: int = 100, together:
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, OCC, strict=True)], schema=OCC)
 
     occ = cut(d.mapInArrow(occurrences, "ah long, sh long, doc long, th long, lo int, n int, off int"), "anchors")
-    often = occ.groupBy("ah").agg(F.count("*").alias("k")).where("k > 1").select("ah")
+    # written first, so that the join's larger side comes straight from a shuffle and a hot anchor can be split
+    often = cut(occ.groupBy("ah").agg(F.count("*").alias("k")).where("k > 1").select("ah"), "anchors-often")
     occ = cut(occ.join(often, "ah"), "repeated-anchors")
     classes = occ.groupBy("ah", "sh").agg(F.count("*").alias("k"), F.min(F.struct("doc", "th", "lo", "n", "off")).alias("one"))
     classes = cut(classes, "classes")
@@ -179,6 +180,7 @@ def repeated_spans(docs: DataFrame, size: int = 400, gram: int = 100, together:
 
     # strings that occur once, around anchors that occur in other strings too
     open_ = classes.groupBy("ah").agg(F.count("*").alias("m"), F.sum((F.col("k") == 1).cast("long")).alias("single")).where("m > 1 and single > 0").select("ah", "m")
+    open_ = cut(open_, "anchors-open")
     need = classes.join(open_, "ah").select("ah", "m", F.col("k").alias("k"), "one.*")
     per_doc = cut(need.groupBy("doc", "th").agg(F.collect_list(F.struct("ah", "m", "k", "lo", "n", "off")).alias("need")), "open-anchors")
     text = near(d, per_doc)
