@@ -1,8 +1,8 @@
 """Language-model scoring by online logistic mixing of hashed-context bit predictors.
 
 A text is read as bytes, closed by one 0xFF (which UTF-8 never has), and cut into units: a word with the one white-space
-byte, or the end, behind it, headed by a byte that tells how the unit before ended. Bits are predicted in contexts within
-a unit, so a text's probability is the product over its units, and each distinct unit of the corpus is scored once.
+byte, or the end, behind it. Bits are predicted in contexts within a unit, so a text's probability is the product over its
+units, and each distinct unit of the corpus is scored once.
 """
 
 from __future__ import annotations
@@ -12,10 +12,10 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from operator import add
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +23,8 @@ from tidemark.llm.common import ASCII_UPPER, batches_of, blocks_for, cut, rows_o
 
 UNIT = re.compile(rb"[^\x20\x09-\x0D\xff]*[\x20\x09-\x0D\xff]")
 END = b"\xff"
-#: Contexts of a bit: the 1, 2, 3, 4 bytes before its byte, and the whole unit so far.
-ORDERS = (1, 2, 3, 4)
+#: Contexts of a bit: the 1, 2, 3 bytes before its byte, and the whole unit so far.
+ORDERS = (1, 2, 3)
 N = len(ORDERS) + 1
 BUCKETS = 33
 #: From these counts on a context counts as better known.
@@ -37,7 +37,7 @@ CHUNK = 8192
 class Setting:
     """bits: each context's table has two to this power slots. sample units, in batches, tune the mixer, which moves by rate; the refining table by refine. A counting task has per_task units at least."""
 
-    bits: tuple[int, ...] = (16, 18, 20, 20, 22)
+    bits: tuple[int, ...] = (16, 18, 20, 22)
     sample: int = 40_000
     batch: int = 64
     rate: float = 0.1
@@ -45,31 +45,8 @@ class Setting:
     per_task: int = 1_500_000
 
 
-def ended(unit: bytes) -> bytes:
-    """One byte for how a unit ended: its white space, and the kind of the byte before."""
-    line = unit[-1:] != b" "
-    x = unit[-2] if len(unit) > 1 else 32
-    kind = 0 if x <= 32 else 1 if 97 <= x <= 122 or x >= 128 else 2 if 65 <= x <= 90 else 3 if x in b".!?" else 4
-    return bytes([kind * 2 + line])
-
-
-class Kinds(dict):
-    def __missing__(self, unit: bytes) -> bytes:
-        if len(self) > 400_000:
-            self.clear()
-        got = self[unit] = ended(unit)
-        return got
-
-
-def units(text: str | None, kinds: Kinds) -> list[bytes]:
-    """A text's units, each after the byte for its predecessor's end (a text's first: 10)."""
-    u = UNIT.findall((text or "").encode() + END)
-    return list(map(add, [b"\x0a", *map(kinds.__getitem__, u[:-1])], u))
-
-
-def token(unit: bytes) -> bytes:
-    """A unit's word with A-Z lower-cased; empty if it has none."""
-    return unit[1:-1].lower()
+def units(text: str | None) -> list[bytes]:
+    return UNIT.findall((text or "").encode() + END)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -78,16 +55,12 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def stretch(p: np.ndarray) -> np.ndarray:
-    return np.log(p / (1 - p))
-
-
 def squash(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
 def events(us: list[bytes], bits: tuple[int, ...]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
-    """For each bit of each unit's bytes behind the first: the unit's number, the slots (of each context), the node within the byte, the bit."""
+    """For each bit of each unit's bytes: the unit's number, the slots (of each context), the node within the byte, the bit."""
     raw = np.frombuffer(b"".join(us), np.uint8).astype(np.uint64)
     sizes = np.fromiter(map(len, us), np.int64, len(us))
     starts = np.cumsum(sizes) - sizes
@@ -97,17 +70,15 @@ def events(us: list[bytes], bits: tuple[int, ...]) -> tuple[np.ndarray, list[np.
     part = np.cumsum((raw + np.uint64(1)) * power[place])
     before = part - (raw + np.uint64(1)) * power[place]
     prefix = before - np.repeat(before[starts], sizes)
-    code = place > 0
     contexts = []
     for o in ORDERS:
         h = np.full(len(raw), o, np.uint64)
         for back in range(1, o + 1):
             ok = place >= back
             h = h * np.uint64(0x2545F4914F6CDD1D) + np.where(ok, np.roll(raw, back) + np.uint64(1), 0).astype(np.uint64)
-        contexts.append(h[code])
-    contexts.append((prefix * np.uint64(0x2545F4914F6CDD1D) + np.uint64(99))[code])
-    sym = raw[code].astype(np.int64)
-    of = of[code]
+        contexts.append(h)
+    contexts.append(prefix * np.uint64(0x2545F4914F6CDD1D) + np.uint64(99))
+    sym = raw.astype(np.int64)
     slots = [np.empty((len(sym), 8), np.int32) for _ in range(N)]
     nodes = np.empty((len(sym), 8), np.int32)
     bit = np.empty((len(sym), 8), np.int8)
@@ -125,7 +96,7 @@ Ready = tuple[list[np.ndarray], np.ndarray]
 
 def predictors(counts: list[np.ndarray]) -> Ready:
     """Each context's stretched predictions, 0 for slots without counts, and how well the last context's slots are known."""
-    told = [stretch((c[:, 1] + np.float32(0.2)) / (c.sum(1) + np.float32(0.4))).astype(np.float16) for c in counts]
+    told = [np.log((c[:, 1] + np.float32(0.2)) / (c[:, 0] + np.float32(0.2))).astype(np.float16) for c in counts]
     return told, np.digitize(counts[-1].sum(1), LEVELS).astype(np.int8)
 
 
@@ -134,8 +105,8 @@ class Model:
 
     def __init__(self, ready: Ready, setting: Setting, weights: np.ndarray | None = None, refined: np.ndarray | None = None) -> None:
         self.ready, self.setting = ready, setting
-        self.weights = np.full(((len(LEVELS) + 1) * (N + 1), N + 1), 0.3) if weights is None else weights
-        self.refined = np.tile(squash((np.arange(BUCKETS) - BUCKETS // 2) / 2.0), (256, 1)) if refined is None else refined
+        self.weights = np.full(((len(LEVELS) + 1) * (N + 1), N + 1), 0.3, np.float32) if weights is None else weights
+        self.refined = np.tile(squash((np.arange(BUCKETS) - BUCKETS // 2) / 2.0), (256, 1)).astype(np.float32) if refined is None else refined
 
     def inputs(self, slots: list[np.ndarray], bit: np.ndarray, counts: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Stretched predictions and the gate; with counts, each bit's own count is left out."""
@@ -151,12 +122,12 @@ class Model:
                 c = counts[k][slots[k]].astype(np.float64)
                 c[rows, bit] = np.maximum(0, c[rows, bit] - 1)
                 total = c.sum(1)
-                x[:, k] = stretch((c[:, 1] + 0.2) / (total + 0.4))
+                x[:, k] = np.log((c[:, 1] + 0.2) / (c[:, 0] + 0.2))
             level = np.digitize(total, LEVELS)
         return x, (x[:, :N] != 0).sum(1) * (len(LEVELS) + 1) + level
 
     def mixed(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        return np.clip((x * self.weights[gate]).sum(1), -8, 8)
+        return np.clip(np.einsum("ij,ij->i", x, self.weights[gate]), -8, 8)
 
     def refining(self, s: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The mix of a prediction with what the refining table says, and the table's nearer place."""
@@ -197,31 +168,40 @@ class Model:
         return out
 
 
-COUNTS = pa.schema([("unit", pa.binary()), ("n", pa.int64())])
+COUNTS = pa.schema([("block", pa.int64()), ("unit", pa.binary()), ("n", pa.int64())])
 
 
 def _count_units(it: Iterator[pa.RecordBatch], most: int = 400_000) -> Iterator[pa.RecordBatch]:
-    """Units of a partition with how often training texts have them; held-out texts count 0."""
-    held: Counter[bytes] = Counter()
-    kinds = Kinds()
+    """Units of a partition's blocks with how often training texts have them; those that only held-out texts have count 0."""
+    held: dict[int, tuple[Counter[bytes], set[bytes]]] = {}
 
-    def out() -> Iterator[pa.RecordBatch]:
-        ks = list(held)
-        for i in range(0, len(ks), 20_000):
-            yield rows_out(COUNTS, [ks[i : i + 20_000], [held[k] for k in ks[i : i + 20_000]]])
-        held.clear()
+    def out(blocks: list[int]) -> Iterator[pa.RecordBatch]:
+        for k in blocks:
+            counted, seen = held.pop(k)
+            ks = [*counted, *(seen - counted.keys())]
+            for i in range(0, len(ks), 20_000):
+                part = ks[i : i + 20_000]
+                yield rows_out(COUNTS, [[k] * len(part), part, [counted.get(x, 0) for x in part]])
 
     for b in it:
-        for text, train in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            u = units(text, kinds)
-            if train:
-                held.update(u)
-            else:
-                for x in u:
-                    held.setdefault(x, 0)
-            if len(held) > most:
-                yield from out()
-    yield from out()
+        for k, text, train in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if k not in held:
+                if sum(len(c) + len(s) for c, s in held.values()) > most:
+                    yield from out(list(held))
+                held[k] = (Counter(), set())
+            held[k][0 if train else 1].update(units(text))
+            if len(held[k][0]) + len(held[k][1]) > 4 * most:
+                yield from out([k])
+                held[k] = (Counter(), set())
+    yield from out(list(held))
+
+
+def blocked(docs: DataFrame, rows: int, block_bytes: int) -> DataFrame:
+    """docs with block: so many rows that lie together in a file; where rows have no place in a file, a hash of the id."""
+    try:
+        return docs.withColumn("block", F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / rows)))
+    except AnalysisException:
+        return docs.withColumn("block", F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(0))), F.lit(blocks_for(docs, "text", block_bytes))))
 
 
 def train_counts(known: DataFrame, setting: Setting) -> list[np.ndarray]:
@@ -259,7 +239,7 @@ def train_counts(known: DataFrame, setting: Setting) -> list[np.ndarray]:
     return [x.reshape(-1, 2) for x in np.split(flat.ravel(), np.cumsum(sizes)[:-1])]
 
 
-def score(docs: DataFrame, train: Column, setting: Setting = Setting(), block_bytes: int = 8 << 20) -> DataFrame:
+def score(docs: DataFrame, train: Column, setting: Setting = Setting(), block_rows: int = 8192, block_bytes: int = 16 << 20) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row of docs (doc_id, text).
 
     train tells the rows to learn from. Null texts count as empty: their one token is the end. base_score is the add-one
@@ -267,26 +247,20 @@ def score(docs: DataFrame, train: Column, setting: Setting = Setting(), block_by
     as bytes with its end. Without training rows all counts are 0 and the model is untrained. Repeated rows count each
     time and get equal results; other columns are left out. Words may be of any length.
 
-    Tasks count the units of their texts, a shuffle adds them up and scores each distinct unit once. Texts are then
-    shuffled once by a hash of the id into blocks of about block_bytes, which meet the scores of just their own units.
-    Only the model's tables, of fixed size, and a bounded sample of units (which tunes the mixer) go to the driver.
+    Tasks count the units of their blocks of rows, a shuffle adds them up and scores each distinct unit once. Texts are
+    then shuffled once by block and meet the scores of just their own units. Only the model's tables, of fixed size, and
+    a bounded sample of units (which tunes the mixer) go to the driver.
     """
     spark = docs.sparkSession
     batches_of(spark)
     shared_folder(spark)
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", train.alias("train"))
-    every = d.select("text", "train").mapInArrow(_count_units, "unit binary, n long").groupBy("unit").agg(F.sum("n").alias("n"))
-    every = cut(every, "units")
-    upper, lower = ASCII_UPPER.encode(), ASCII_UPPER.lower().encode()
-
-    def tokens(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            us = b.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([u[1:-1].translate(bytes.maketrans(upper, lower)) for u in us], pa.binary()), pa.array([u[-1] == 255 for u in us]), b.column(1)], names=["unit", "token", "last", "n"])
-
-    told = every.mapInArrow(tokens, "unit binary, token binary, last boolean, n long")
-    words = told.where("token != X''").groupBy("token").agg(F.sum("n").alias("c"))
-    ends = told.where("last").agg(F.sum("n").alias("e")).first()["e"] or 0
+    d = blocked(docs, block_rows, block_bytes).select(F.col("doc_id").cast("long").alias("doc_id"), "text", train.alias("train"), "block")
+    own = cut(d.select("block", "text", "train").mapInArrow(_count_units, "block long, unit binary, n long"), "block-units")
+    every = cut(own.groupBy("unit").agg(F.sum("n").alias("n")), "units")
+    word = F.expr(f"translate(cast(substring(unit, 1, octet_length(unit) - 1) as string), '{ASCII_UPPER}', '{ASCII_UPPER.lower()}')")
+    told = every.select("unit", "n", F.expr("if(octet_length(unit) > 1, null, '')").alias("none")).withColumn("token", F.when(F.col("none").isNull(), word)).drop("none")
+    words = cut(told.where("token is not null").groupBy("token").agg(F.sum("n").alias("c")), "words")
+    ends = every.where("endswith(unit, X'FF')").agg(F.sum("n").alias("e")).first()["e"] or 0
     seen = words.where("c > 0").agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n_all, v_all = (seen["n"] or 0) + ends, seen["v"] + (ends > 0)
     floor = math.log10(n_all + v_all + 1)
@@ -295,7 +269,6 @@ def score(docs: DataFrame, train: Column, setting: Setting = Setting(), block_by
     counts = train_counts(known, setting)
     model = Model(predictors(counts), setting)
     picked = known.select("unit", "n", F.xxhash64("unit").alias("h")).orderBy("h", "unit").limit(setting.sample).collect()
-    picked.sort(key=lambda r: (r["h"], r["unit"]))
     if picked:
         w = np.minimum(1 + np.log2([float(r["n"]) for r in picked]), 8)
         for _ in range(2):
@@ -312,44 +285,25 @@ def score(docs: DataFrame, train: Column, setting: Setting = Setting(), block_by
     table = told.join(words, "token", "left").select("unit", F.coalesce("c", F.lit(0).cast("long")).alias("c")).mapInArrow(scored, "unit binary, s double, c long")
     table = cut(table, "unit-scores")
 
-    blocks = blocks_for(d, "text", block_bytes)
-    d = d.withColumn("block", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0))), F.lit(blocks)))
-
-    def vocabulary(key: tuple, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: set[bytes] = set()
-        kinds = Kinds()
-        for b in it:
-            for text in b.column("text").to_pylist():
-                held.update(units(text, kinds))
-        ks = list(held)
-        for i in range(0, len(ks), 20_000):
-            yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()] * len(ks[i : i + 20_000]), pa.int64()), pa.array(ks[i : i + 20_000], pa.binary())], names=["block", "unit"])
-
     def judged(key: tuple, texts: pa.Table, table: pa.Table) -> pa.Table:
-        place: dict[bytes, int] = {}
-        cs, ss = [], []
-        for b in table.to_batches():
-            for u in b.column("unit").to_pylist():
-                place[u] = len(place)
-            cs.append(b.column("c").to_numpy(zero_copy_only=False))
-            ss.append(b.column("s").to_numpy(zero_copy_only=False))
-        us = list(place)
-        c = np.concatenate(cs) if cs else np.zeros(0, np.int64)
-        s = np.concatenate(ss) if ss else np.zeros(0)
-        real = np.fromiter((len(u) > 2 for u in us), bool, len(us))
-        base = np.where(real, np.log10(c + 1.0) - floor, 0.0)
-        hit = real & (c > 0)
-        kinds = Kinds()
-        out: list[list] = [[], [], [], [], [], []]
+        us = table.column("unit").to_pylist()
+        place = dict(zip(us, range(len(us)), strict=True))
+        c, s = table.column("c").to_numpy(), table.column("s").to_numpy().astype(np.float64)
+        real = np.fromiter(map(len, us), np.int64, len(us)) > 1
+        sums = np.stack([real, real & (c > 0), np.where(real, np.log10(c + 1.0) - floor, 0.0), s], axis=1)  # what a unit adds to a text
+        out = []
+        kept: list[list] = [[], []]
         for b in texts.to_batches(max_chunksize=500):
-            for i, text, train in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), b.column("train").to_pylist(), strict=True):
-                u = units(text, kinds)
-                at = np.fromiter(map(place.__getitem__, u), np.int64, len(u))
-                for o, x in zip(out, (i, not train, int(real[at].sum()) + 1, int(hit[at].sum()) + (ends > 0), float(base[at].sum() + math.log10(ends + 1) - floor), float(s[at].sum())), strict=True):
-                    o.append(x)
-        kinds_out = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-        done = [pa.array(x, k) for x, k in zip(out, kinds_out, strict=True)]
-        return pa.table([*done[:4], pa.array([n_all] * len(out[0]), pa.int64()), *done[4:]], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    own = d.groupBy("block").applyInArrow(vocabulary, "block long, unit binary").join(table, "unit").select("block", "unit", "s", "c")
-    return d.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(judged, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+            kept[0] += b.column("doc_id").to_pylist()
+            kept[1] += [not x for x in b.column("train").to_pylist()]
+            for text in b.column("text").to_pylist():
+                u = units(text)
+                out.append(sums[np.fromiter(map(place.__getitem__, u), np.int64, len(u))].sum(0))
+        got = np.array(out).reshape(-1, 4)
+        n = got[:, :2].round().astype(np.int64) + np.array([1, int(ends > 0)])
+        base = got[:, 2] + (math.log10(ends + 1) - floor)
+        columns = [pa.array(kept[0], pa.int64()), pa.array(kept[1], pa.bool_()), pa.array(n[:, 0]), pa.array(n[:, 1]), pa.array([n_all] * len(n), pa.int64()), pa.array(base), pa.array(got[:, 3])]
+        return pa.table(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    mine = own.select(F.col("block").alias("at"), "unit").join(table, "unit").select("at", "unit", F.col("s").cast("float").alias("s"), "c")
+    return d.groupBy("block").cogroup(mine.groupBy("at")).applyInArrow(judged, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
