@@ -93,26 +93,34 @@ def codewords(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def keys(f: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-    """Keys of fingerprints, with their places: for each two segments the pair of their own codewords (True), and all pairs of near ones (False).
+    """Keys of fingerprints, with their places: those with their own codewords (True) and those with all near ones (False).
 
-    Three errors over three segments leave two segments with one error at most each. If a word x lies within 3 of its
-    codeword c and y within 1 of x, then y lies within 4 of c: so of two linked fingerprints, each one's own pair is among
-    the other's near pairs for some two segments.
+    If a word x lies within 3 of its codeword c and y within 1 of x, then y lies within 4 of c: so x's own codeword is
+    among y's near ones. Three errors over three segments either leave one segment without any and another with one at
+    most: that segment's bits and the other's codeword make a key, for each of the six choices. Or each segment has one:
+    the codewords of the first two and half of the third, either half, make one.
     """
+    words = [segment(f, at) for at in SEGMENTS]
     own, near = [], []
-    for at in SEGMENTS:
-        o, n, of = codewords(segment(f, at))
+    for w in words:
+        o, n, of = codewords(w)
         own.append(o)
         near.append((n, of, np.bincount(of, minlength=len(f))))
-    for k, (a, b) in enumerate(((0, 1), (0, 2), (1, 2))):
-        base = k << 24
-        yield np.arange(len(f)), base | own[a] << 12 | own[b], True
-        (na, fa, ca), (nb, fb, cb) = near[a], near[b]
-        times = cb[fa]  # each near codeword of one segment with all of the other
-        of = np.repeat(fa, times)
-        starts = np.cumsum(cb) - cb
-        place = np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times)
-        yield of, base | np.repeat(na, times) << 12 | nb[starts[of] + place], False
+    every = np.arange(len(f))
+    for k, (i, j) in enumerate(((0, 1), (0, 2), (1, 0), (1, 2), (2, 0), (2, 1))):
+        base = (k << 40) | (words[i] << 12)
+        yield every, base | own[j], True
+        n, of, _ = near[j]
+        yield of, base[of] | n, False
+    (na, fa, _), (nb, _, cb) = near[0], near[1]
+    times = cb[fa]  # each near codeword of the first segment with all of the second
+    of = np.repeat(fa, times)
+    starts = np.cumsum(cb) - cb
+    pair = np.repeat(na, times) << 12 | nb[starts[of] + np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times)]
+    for half in (0, 1):
+        base = ((6 + half) << 40) | ((words[2] >> (9 * half)) & 511) << 24
+        yield every, base | own[0] << 12 | own[1], True
+        yield of, base[of] | pair, False
 
 
 def forest(f: np.ndarray, most: int) -> list[tuple[int, int]]:
@@ -151,10 +159,10 @@ def near_duplicates(docs: DataFrame, most: int = 3) -> DataFrame:
     wordless texts have fingerprint 0 and link like others. Rows with equal ids stay apart but share what they reach;
     a null id never is a component's id, but where a component has no other. Empty tables give no rows.
 
-    Only distinct fingerprints are compared, so exact copies of any number cost one row. Each gets the codeword pairs of
-    its segments as keys; keys that only one fingerprint has go natively, before any are brought together; of each
-    other key's fingerprints a spanning forest of verified links goes on, never all pairs. A key holds some 28 / 2^24 of
-    the distinct fingerprints, 8 bytes each, besides clusters of true near copies, whose comparisons end as they link.
+    Only distinct fingerprints are compared, so exact copies of any number cost one row. Each gets some 100 keys of 33 bits
+    and more; keys that only one fingerprint has go natively, before any are brought together; of each other key's
+    fingerprints a spanning forest of verified links goes on, never all pairs. Chance brings some 56 / 2^33 of the
+    distinct fingerprints, 8 bytes each, to a key; clusters of true near copies end their comparisons as they link.
     """
     if most > 3:
         raise ValueError("Golay keys find links of 3 differing bits at most")
@@ -165,10 +173,11 @@ def near_duplicates(docs: DataFrame, most: int = 3) -> DataFrame:
         f = np.array(fs, np.int64).view(np.uint64)
         parts = list(keys(f))
         key = np.concatenate([k for _, k, _ in parts])
-        return [pa.array(key.astype(np.int32)), pa.array(f.view(np.int64)[np.concatenate([of for of, _, _ in parts])]), pa.array(np.concatenate([np.full(len(k), own) for _, k, own in parts]))]
+        return [pa.array(key), pa.array(f.view(np.int64)[np.concatenate([of for of, _, _ in parts])]), pa.array(np.concatenate([np.full(len(k), own) for _, k, own in parts]))]
 
-    schema = pa.schema([("key", pa.int32()), ("f", pa.int64()), ("own", pa.bool_())])
-    k = nodes.select("f").mapInArrow(per_batch(keyed, schema, ["f"]), "key int, f long, own boolean")
+    schema = pa.schema([("key", pa.int64()), ("f", pa.int64()), ("own", pa.bool_())])
+    parts = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    k = nodes.select("f").repartition(parts, "f").mapInArrow(per_batch(keyed, schema, ["f"]), "key long, f long, own boolean")
     k = cut(k.groupBy("key", "f").agg(F.max("own").alias("own")), "keys")
     live = k.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("own")).where("n > 1 and own").select("key")
 
