@@ -12,6 +12,7 @@ import re
 import struct
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from operator import add
 
 import ahocorasick
 import pyarrow as pa
@@ -73,7 +74,7 @@ def _fields(b: bytes) -> Iterator[tuple[int, object]]:
 class Pieces:
     """A model's pieces, its encoding and decoding. model: the bytes of a .model file of merge type with byte fallback and no text normalisation."""
 
-    def __init__(self, model: bytes, word_cache: int = 400_000) -> None:
+    def __init__(self, model: bytes, word_cache: int = 300_000) -> None:
         self.pieces: list[str] = []
         self.kinds: list[int] = []
         scores: list[float] = []
@@ -94,6 +95,7 @@ class Pieces:
         if set(self.kinds) - {NORMAL, UNKNOWN, CONTROL, BYTE}:
             raise ValueError("the model has pieces of a kind that isn't supported")
         self.ids = {p: i for i, p in enumerate(self.pieces) if self.kinds[i] == NORMAL}
+        self.known = frozenset(p for p in self.ids if len(p) == 1)
         self.score = {p: scores[i] for p, i in self.ids.items()}
         self.byte_ids = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if self.kinds[i] == BYTE}
         if len(self.byte_ids) != 256:
@@ -104,7 +106,10 @@ class Pieces:
         self.automaton.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
         self.own: dict[int, bool] = {}
-        self.id_texts = Recent(lambda w: ",".join(map(str, self.encode_word(w))), word_cache, 48)
+        # no merge crosses two characters that no piece has side by side
+        self.inside = frozenset(a + b for p in self.ids for a, b in zip(p, p[1:], strict=False))
+        self.id_texts = Recent(self.word_text, word_cache, 48)
+        self.parts = Recent(lambda w: ",".join(map(str, self.encode_word(w))), word_cache, 48)
         self.surfaces = Recent(self.surface, word_cache, 256)
         self.cut = WORDS if any("\n" in p for p in self.ids) else LINE_WORDS
 
@@ -128,7 +133,7 @@ class Pieces:
         """Whether pieces a and b stay side by side when their characters are merged anew."""
         key = (a, b)
         if key not in self.pairs:
-            if len(self.pairs) > 2_000_000:
+            if len(self.pairs) > 400_000:
                 self.pairs.clear()
             self.pairs[key] = self.merged(self.pieces[a] + self.pieces[b]) == [self.pieces[a], self.pieces[b]]
         return self.pairs[key]
@@ -163,6 +168,8 @@ class Pieces:
 
     def encode_word(self, word: str) -> list[int]:
         """Characters that the model doesn't know become bytes and end a merge's reach."""
+        if self.known.issuperset(word):
+            return self.backtrack(word)
         out: list[int] = []
         known = ""
         for c in word:
@@ -175,6 +182,23 @@ class Pieces:
             out += [self.byte_ids[x] for x in c.encode()]
         return out + (self.backtrack(known) if known else [])
 
+    def word_text(self, word: str) -> str:
+        """A word's ids as text, put together from its parts that merges don't cross."""
+        if self.inside.issuperset(map(add, word, word[1:])):
+            return ",".join(map(str, self.encode_word(word)))
+        out, start = [], 0
+        for i in range(1, len(word)):
+            if word[i - 1 : i + 1] not in self.inside:
+                out.append(self.parts[word[start:i]])
+                start = i
+        return ",".join([*out, self.parts[word[start:]]])
+
+    def forget(self) -> None:
+        """Frees what is kept of words."""
+        for kept in (self.id_texts, self.parts, self.surfaces):
+            kept.clear()
+            kept.old = {}
+
     def split(self, text: str) -> list[str]:
         if not text:
             return []
@@ -224,7 +248,7 @@ def encode_texts(docs: DataFrame, model: bytes, digests: bool = False) -> DataFr
     """
     batches_of(docs.sparkSession)
 
-    def run(ids: list[int], texts: list[str | None]) -> list:
+    def encode(ids: list[int], texts: list[str | None]) -> list:
         p = loaded(model)
         n, enc, dec = [], [], []
         for t in texts:
@@ -236,5 +260,11 @@ def encode_texts(docs: DataFrame, model: bytes, digests: bool = False) -> DataFr
             dec.append(hashlib.sha256(d.encode()).hexdigest() if digests else d)
         return [ids, n, enc, dec]
 
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from per_batch(encode, schema, ["doc_id", "text"])(it)
+        finally:
+            loaded(model).forget()  # a worker's memory is for the next task
+
     schema = DIGESTS if digests else OUT
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(per_batch(run, schema, ["doc_id", "text"]), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "doc_id long, n_tokens long, ids array<int>, decoded string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "doc_id long, n_tokens long, ids array<int>, decoded string")
