@@ -177,7 +177,7 @@ def near_duplicates(docs: DataFrame, most: int = 3) -> DataFrame:
 
     schema = pa.schema([("key", pa.int64()), ("f", pa.int64()), ("own", pa.bool_())])
     parts = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    k = nodes.select("f").repartition(parts, "f").mapInArrow(per_batch(keyed, schema, ["f"]), "key long, f long, own boolean")
+    k = nodes.select("f").repartition(parts).mapInArrow(per_batch(keyed, schema, ["f"]), "key long, f long, own boolean")
     k = cut(k.groupBy("key", "f").agg(F.max("own").alias("own")), "keys")
     live = k.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("own")).where("n > 1 and own").select("key")
 
