@@ -76,6 +76,17 @@ def edge_table(u: np.ndarray, v: np.ndarray, s: np.ndarray) -> pa.Table:
     return pa.table({"u": pa.array(u[first], pa.int64()), "v": lists(v, first, pa.int64()), "s": lists(s.astype(np.float32), first, pa.float32())})
 
 
+PACKED = "b int, u array<long>, v array<long>, s array<float>"
+
+
+def packed(block: np.ndarray, u: np.ndarray, v: np.ndarray, s: np.ndarray) -> pa.Table:
+    """One row of edges for each block."""
+    o = np.argsort(block, kind="stable")
+    block, u, v, s = block[o], u[o], v[o], s[o]
+    first = np.flatnonzero(np.append(True, block[1:] != block[:-1])) if len(block) else np.zeros(0, np.int64)
+    return pa.table({"b": pa.array(block[first], pa.int32()), "u": lists(u, first, pa.int64()), "v": lists(v, first, pa.int64()), "s": lists(s.astype(np.float32), first, pa.float32())})
+
+
 def block_of(c: Column | str, blocks: int) -> Column:
     return F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
 
@@ -125,32 +136,37 @@ def first_graph(vecs: DataFrame, dim: int, setting: Setting, n: int) -> DataFram
 
 
 def merge(graph: DataFrame | None, found: DataFrame, blocks: int, setting: Setting, salt: int) -> DataFrame:
-    """Each node's best neighbours of the graph's and those found; picks new ones for the next round."""
+    """Each node's best neighbours of the graph's and those found (rows by node, or, besides a graph, packed by block); picks new ones for the next round."""
 
-    def run(key: tuple, t: pa.Table) -> pa.Table:
-        us = t.column("u").to_numpy()
-        v, row = flat(t, "v")
-        s, _ = flat(t, "s")
-        old, old_row = flat(t, "old")
-        x = np.zeros(len(v), bool)
-        has = np.isin(row, np.unique(old_row))
-        x[has] = old.astype(bool)
-        u, v, s, x = best(us[row], v, s, setting.degree, x)
+    def kept(u: np.ndarray, v: np.ndarray, s: np.ndarray, x: np.ndarray) -> pa.Table:
+        u, v, s, x = best(u, v, s, setting.degree, x)
         # of the new ones a sample: those with the least hashed ends
         h = (u.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ v.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93 + 2 * salt)
         o = np.lexsort((h ^ (h >> np.uint64(32)), x, u))
-        first = np.flatnonzero(np.append(True, u[o][1:] != u[o][:-1])) if len(u) else np.zeros(0, np.int64)
+        first = np.flatnonzero(np.append(True, u[1:] != u[:-1])) if len(u) else np.zeros(0, np.int64)
         rank = np.arange(len(u)) - np.repeat(first, np.diff(np.append(first, len(u))))
         pick = np.zeros(len(u), bool)
         pick[o] = (rank < setting.sample) & ~x[o]
         out = edge_table(u, v, s)
-        first = np.flatnonzero(np.append(True, u[1:] != u[:-1])) if len(u) else np.zeros(0, np.int64)
         return out.append_column("old", lists(x | pick, first, pa.bool_())).append_column("pick", lists(pick, first, pa.bool_()))
 
-    all_ = found.withColumn("old", F.lit(None).cast("array<boolean>"))
-    if graph is not None:
-        all_ = all_.union(graph.select("u", "v", "s", "old"))
-    return cut(all_.groupBy(block_of("u", blocks).alias("b")).applyInArrow(run, GRAPH), "graph")
+    def edges(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        v, row = flat(t, "v")
+        return t.column("u").to_numpy()[row], v, flat(t, "s")[0]
+
+    def first(key: tuple, t: pa.Table) -> pa.Table:
+        u, v, s = edges(t)
+        return kept(u, v, s, np.zeros(len(u), bool))
+
+    def more(key: tuple, g: pa.Table, t: pa.Table) -> pa.Table:
+        u, v, s = edges(g)
+        x = flat(g, "old")[0].astype(bool)
+        u2, v2, s2 = flat(t, "u")[0], flat(t, "v")[0], flat(t, "s")[0]
+        return kept(np.concatenate((u, u2)), np.concatenate((v, v2)), np.concatenate((s, s2)), np.concatenate((x, np.zeros(len(u2), bool))))
+
+    if graph is None:
+        return cut(found.groupBy(block_of("u", blocks).alias("b")).applyInArrow(first, GRAPH), "graph")
+    return cut(graph.groupBy(block_of("u", blocks).alias("at")).cogroup(found.groupBy("b")).applyInArrow(more, GRAPH), "graph")
 
 
 def descend(graph: DataFrame, vecs: DataFrame, dim: int, blocks: int, setting: Setting, salt: int) -> DataFrame:
@@ -162,12 +178,27 @@ def descend(graph: DataFrame, vecs: DataFrame, dim: int, blocks: int, setting: S
     members = cut(e.select(F.col("u").alias("node"), F.col("v").alias("member"), "new").union(back).withColumn("b", block_of("node", blocks)), "members")
     worst = graph.select("u", F.when(F.size("s") >= setting.degree, F.element_at("s", -1)).otherwise(F.lit(float("-inf"))).cast("float").alias("worst"))
     known = vecs.select("u", "vec").join(worst, "u")
-    asked = members.select(F.col("b").alias("at"), F.col("member").alias("u")).distinct().join(known, "u").select("at", "u", "vec", "worst")
+    wanted = members.select(F.col("b").alias("at"), F.col("member").alias("u")).distinct().withColumn("home", block_of("u", blocks))
+    here = known.select("u", "vec", "worst", block_of("u", blocks).alias("own"))
 
-    def meet(key: tuple, m: pa.Table, x: pa.Table) -> pa.Table:
+    def send(key: tuple, w: pa.Table, x: pa.Table) -> pa.Table:
+        """For each block that wants some of this block's vectors, one row of them."""
         ids = x.column("u").to_numpy()
         o = np.argsort(ids)
         ids, vec, worst = ids[o], matrix(x.column("vec"), dim)[o], x.column("worst").to_numpy()[o]
+        at, place = w.column("at").to_numpy(), np.searchsorted(ids, w.column("u").to_numpy())
+        o = np.argsort(at, kind="stable")
+        at, place = at[o], place[o]
+        first = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else np.zeros(0, np.int64)
+        return pa.table({"at": pa.array(at[first], pa.int32()), "home": pa.array([key[0].as_py()] * len(first), pa.int32()), "u": lists(ids[place], first, pa.int64()), "vec": lists(vec[place].ravel(), first * dim, pa.float32()), "worst": lists(worst[place].astype(np.float32), first, pa.float32())})
+
+    asked = wanted.groupBy("home").cogroup(here.groupBy("own")).applyInArrow(send, "at int, home int, u array<long>, vec array<float>, worst array<float>")
+
+    def meet(key: tuple, m: pa.Table, x: pa.Table) -> pa.Table:
+        ids, row = flat(x, "u")
+        o = np.argsort(ids)
+        ids, home, worst = ids[o], x.column("home").to_numpy()[row][o], flat(x, "worst")[0][o]
+        vec = flat(x, "vec")[0].reshape(-1, dim)[o]
         node, member, new = (m.column(c).to_numpy() for c in ("node", "member", "new"))
         at = np.searchsorted(ids, member)
         o = np.lexsort((at, ~new, node))
@@ -194,9 +225,9 @@ def descend(graph: DataFrame, vecs: DataFrame, dim: int, blocks: int, setting: S
                 got = best(np.concatenate(us), np.concatenate(vs), np.concatenate(ss), setting.degree)
                 us, vs, ss, size = [got[0]], [got[1]], [got[2]], 0
         u, v, s, _ = best(np.concatenate(us), np.concatenate(vs), np.concatenate(ss), setting.degree)
-        return edge_table(ids[u] if len(u) else u, ids[v] if len(v) else v, s)
+        return packed(home[u], ids[u], ids[v], s)
 
-    found = members.groupBy("b").cogroup(asked.groupBy("at")).applyInArrow(meet, EDGES)
+    found = members.groupBy("b").cogroup(asked.groupBy("at")).applyInArrow(meet, PACKED)
     return merge(graph, found, blocks, setting, salt)
 
 
