@@ -386,3 +386,39 @@ def test_pipeline(spark, sf, docs):
     last = corpus_pipeline.STAGES[-1][1](spark, d, sf)
     assert last.count() == sizes[-1] and last.agg(F.min("n_tokens")).first()[0] > 0
     assert d.groupBy("doc_id").count().where("count > 1").count() == 0
+
+
+def brute_contexts(counted):
+    """Counts of the two bits after each context: its bytes before, of an order or all (0), the bits so far of its byte."""
+    c = Counter()
+    for u, n in counted.items():
+        for at in range(1, len(u)):
+            bits = f"{u[at]:08b}"
+            for o in (*mixing.ORDERS, 0):
+                before = u[:at] if o == 0 else (u[max(0, at - o) : at], at < o)
+                for b in range(8):
+                    c[(o, before, bits[:b], bits[b])] += n
+    return c
+
+
+def test_op2_counts_are_exact_over_parts(spark):
+    """Contexts never share counts, however many units there are and wherever the ranges of units end."""
+    rng = random.Random(3)
+    counted = {bytes([10]) + "".join(rng.choices("abcé", k=rng.randint(1, 6))).encode() + b" ": rng.randint(0, 5) for _ in range(600)}
+    rows = spark.createDataFrame([(bytearray(u), n) for u, n in counted.items()], "unit binary, n long").repartitionByRange(7, "unit").withColumn("part", F.spark_partition_id())
+    rows = cut(rows, "parts")
+    given = mixing.shared_contexts(rows, 7).toArrow()
+    want, seen = brute_contexts(counted), 0
+    for part in {r["part"] for r in rows.collect()}:
+        mine = given.filter(np.array(given.column("part")) == part)
+        us, _, known = mixing.known_of(rows.where(F.col("part") == part).toArrow(), mine)
+        of, slots, _, bit = mixing.events(us, known, True)
+        place = np.arange(len(of)) - np.searchsorted(of, of)
+        for k, o in enumerate((*mixing.ORDERS, 0)):
+            for i in range(len(of)):
+                u, at, b = us[of[i]], 1 + place[i] // 8, place[i] % 8
+                before = u[:at] if o == 0 else (u[max(0, at - o) : at], at < o)
+                bits = f"{u[at]:08b}"
+                assert list(known.counts[slots[k][i]]) == [want[(o, before, bits[:b], x)] for x in "01"]
+                seen += 1
+    assert seen == sum(8 * (len(u) - 1) for u in counted) * mixing.N

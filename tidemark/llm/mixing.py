@@ -1,8 +1,12 @@
-"""Language-model scoring by online logistic mixing of hashed-context bit predictors.
+"""Language-model scoring by online logistic mixing of context bit predictors with exact counts.
 
 A text is read as bytes, closed by one 0xFF (which UTF-8 never has), and cut into units: a word with the one white-space
-byte, or the end, behind it. Bits are predicted in contexts within a unit, so a text's probability is the product over its
-units, and each distinct unit of the corpus is scored once.
+byte, or the end, behind it, headed by a byte that tells how the unit before ended. Bits are predicted in contexts within
+a unit, so a text's probability is the product over its units, and each distinct unit of the corpus is scored once.
+
+Counts are kept by context, not in tables of a fixed size. Distinct units are dealt out by ranges into parts: a context of
+the whole unit so far is then known to one part alone, but where it begins the part's first or last unit. Those, and the
+contexts of the last bytes, are added up by key over all parts, and each part gets what it asked for.
 """
 
 from __future__ import annotations
@@ -12,6 +16,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -29,24 +34,38 @@ N = len(ORDERS) + 1
 BUCKETS = 33
 #: From these counts on a context counts as better known.
 LEVELS = (0.5, 1.5, 3.5, 30)
-#: Slots of a table that travel together.
-CHUNK = 8192
 
 
 @dataclass(frozen=True)
 class Setting:
-    """bits: each context's table has two to this power slots. sample units, in batches, tune the mixer, which moves by rate; the refining table by refine. A counting task has per_task units at least."""
+    """bits: of each context's keys (the last: of all further ones). The mixer moves by rate after each batch of units; sample, if any, has only about so many units tune it, chosen by hash. A part has per_part units."""
 
-    bits: tuple[int, ...] = (16, 18, 20, 22)
-    sample: int = 40_000
+    bits: tuple[int, ...] = (64,)
+    sample: int | None = 40_000
     batch: int = 64
     rate: float = 0.1
-    refine: float = 0.02
-    per_task: int = 1_500_000
+    per_part: int = 100_000
+
+
+class Kinds(dict):
+    """One byte for how a unit ended: its white space, and the kind of the byte before."""
+
+    def __missing__(self, unit: bytes) -> bytes:
+        if len(self) > 400_000:
+            self.clear()
+        x = unit[-2] if len(unit) > 1 else 32
+        kind = 0 if x <= 32 else 1 if 97 <= x <= 122 or x >= 128 else 2 if 65 <= x <= 90 else 3 if x in b".!?" else 4
+        got = self[unit] = bytes([kind * 2 + (unit[-1:] != b" ")])
+        return got
+
+
+KINDS = Kinds()
 
 
 def units(text: str | None) -> list[bytes]:
-    return UNIT.findall((text or "").encode() + END)
+    """A text's units, each after the byte for its predecessor's end (a text's first: 10)."""
+    u = UNIT.findall((text or "").encode() + END)
+    return list(map(add, [b"\x0a", *map(KINDS.__getitem__, u[:-1])], u))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -59,8 +78,8 @@ def squash(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-def events(us: list[bytes], bits: tuple[int, ...]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
-    """For each bit of each unit's bytes: the unit's number, the slots (of each context), the node within the byte, the bit."""
+def coded(us: list[bytes], headed: bool = True) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """For each byte of each unit (headed: but its first): the unit's number, the keys of its contexts, the byte."""
     raw = np.frombuffer(b"".join(us), np.uint8).astype(np.uint64)
     sizes = np.fromiter(map(len, us), np.int64, len(us))
     starts = np.cumsum(sizes) - sizes
@@ -70,25 +89,62 @@ def events(us: list[bytes], bits: tuple[int, ...]) -> tuple[np.ndarray, list[np.
     part = np.cumsum((raw + np.uint64(1)) * power[place])
     before = part - (raw + np.uint64(1)) * power[place]
     prefix = before - np.repeat(before[starts], sizes)
+    keep = place >= headed
     contexts = []
     for o in ORDERS:
         h = np.full(len(raw), o, np.uint64)
         for back in range(1, o + 1):
             ok = place >= back
             h = h * np.uint64(0x2545F4914F6CDD1D) + np.where(ok, np.roll(raw, back) + np.uint64(1), 0).astype(np.uint64)
-        contexts.append(h)
-    contexts.append(prefix * np.uint64(0x2545F4914F6CDD1D) + np.uint64(99))
-    sym = raw.astype(np.int64)
-    slots = [np.empty((len(sym), 8), np.int32) for _ in range(N)]
+        contexts.append(mix64(h[keep]))
+    contexts.append(mix64((prefix * np.uint64(0x2545F4914F6CDD1D) + np.uint64(99))[keep]))
+    return of[keep], contexts, raw[keep].astype(np.int64)
+
+
+def under(key: np.ndarray, sym: np.ndarray) -> np.ndarray:
+    """A key for a byte in a context."""
+    return mix64(key + (sym.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
+
+
+class Known:
+    """Exact counts of the bits of the bytes in each context, from rows of a context's key, a byte and its count."""
+
+    def __init__(self, key: np.ndarray, sym: np.ndarray, n: np.ndarray) -> None:
+        o = np.lexsort((sym, key))
+        key, sym, n = key[o], sym[o], n[o].astype(np.float64)
+        slots, counts, base = np.empty((len(key), 8), np.int32), [], 0
+        other = np.ones(len(key), bool)
+        other[1:] = key[1:] != key[:-1]
+        for b in range(8):
+            node, bit = sym >> (8 - b), sym >> (7 - b) & 1
+            new = other.copy()
+            new[1:] |= node[1:] != node[:-1]
+            g = np.cumsum(new) - 1
+            counts.append(np.stack([np.bincount(g, n * (1 - bit)), np.bincount(g, n * bit)], axis=1).astype(np.float32))
+            slots[:, b] = base + g
+            base += len(counts[-1])
+        self.counts = np.concatenate(counts)
+        find = under(key, sym)
+        o = np.argsort(find)
+        self.find, self.slots = find[o], slots[o]
+
+    def at(self, key: np.ndarray, sym: np.ndarray) -> np.ndarray:
+        return self.slots[np.searchsorted(self.find, under(key, sym))].ravel()
+
+
+def events(us: list[bytes], places: Known | tuple[int, ...], headed: bool = False) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    """For each bit of each unit's bytes: the unit's number, the slots (of each context), the node within the byte, the bit. Slots are the places of known contexts, or keys of so many bits."""
+    of, contexts, sym = coded(us, headed)
     nodes = np.empty((len(sym), 8), np.int32)
     bit = np.empty((len(sym), 8), np.int8)
     for b in range(8):
         nodes[:, b] = (sym >> (8 - b)) | (1 << b)
         bit[:, b] = (sym >> (7 - b)) & 1
-    for k, h in enumerate(contexts):
-        for b in range(8):
-            slots[k][:, b] = (mix64(h + nodes[:, b].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - bits[k])).astype(np.int32)
-    return np.repeat(of, 8), [x.ravel() for x in slots], nodes.ravel(), bit.ravel()
+    if isinstance(places, Known):
+        slots = [places.at(h, sym) for h in contexts]
+    else:
+        slots = [(under(h[:, None], nodes) >> np.uint64(64 - places[min(k, len(places) - 1)])).ravel() for k, h in enumerate(contexts)]
+    return np.repeat(of, 8), slots, nodes.ravel(), bit.ravel()
 
 
 Ready = tuple[list[np.ndarray], np.ndarray]
@@ -138,30 +194,46 @@ class Model:
         p = np.clip(0.5 * squash(s) + 0.5 * r, 2.0**-20, 1 - 2.0**-20)
         return p, low + (part > 0.5)
 
-    def learn(self, us: list[bytes], weight: np.ndarray, counts: list[np.ndarray]) -> None:
-        """One online pass: predict a batch's bits without their own count, then move weights and table."""
+    def learn(self, us: list[bytes], weight: np.ndarray, known: Known) -> list[np.ndarray]:
+        """Predict batches' bits without their own count and move the weights; what there is to add up over parts: by gate the bits and the weights times these, by cell of the refining table the bits and their ones."""
         s = self.setting
-        for i in range(0, len(us), s.batch):
-            of, slots, node, bit = events(us[i : i + s.batch], s.bits)
-            x, gate = self.inputs(slots, bit, counts)
-            z = self.mixed(x, gate)
-            w = weight[i : i + s.batch][of]
-            err = (bit - squash(z)) * w
-            told = np.bincount(gate, w, len(self.weights)) + 1e-9  # a gate moves by its bits' mean error
-            for k in range(N + 1):
-                self.weights[:, k] += s.rate * np.bincount(gate, err * x[:, k], len(self.weights)) / told
-            _, near = self.refining(z, node)
-            cell = node * BUCKETS + near
-            n = np.bincount(cell, w, 256 * BUCKETS).reshape(256, BUCKETS)
-            ones = np.bincount(cell, w * bit, 256 * BUCKETS).reshape(256, BUCKETS)
-            self.refined += (1 - (1 - s.refine) ** n) * (ones / np.maximum(n, 1e-9) - self.refined) * (n > 0)
-            np.clip(self.refined, 1e-6, 1 - 1e-6, out=self.refined)
-
-    def log10(self, us: list[bytes]) -> np.ndarray:
+        size = 256 * BUCKETS
+        told = [np.zeros(len(self.weights)), np.zeros(self.weights.shape), np.zeros(size), np.zeros(size)]
+        order = np.random.default_rng(0).permutation(len(us))
+        times = max(1, -(-200 * s.batch // max(1, len(us))))  # a part of few units goes round
+        for _ in range(times):
+            for i in range(0, len(us), 64 * s.batch):
+                at = order[i : i + 64 * s.batch]
+                of_, slots_, node_, bit_ = events([us[j] for j in at], known, True)
+                ends = np.searchsorted(of_, np.arange(0, len(at) + s.batch, s.batch))
+                w_ = weight[at][of_]
+                for lo, hi in zip(ends, ends[1:], strict=False):
+                    node, bit, w = node_[lo:hi], bit_[lo:hi], w_[lo:hi]
+                    x, gate = self.inputs([k[lo:hi] for k in slots_], bit, [known.counts] * N)
+                    z = self.mixed(x, gate)
+                    err = (bit - squash(z)) * w
+                    mass = np.bincount(gate, w, len(self.weights))
+                    for k in range(N + 1):  # a gate moves by its bits' mean error
+                        self.weights[:, k] += s.rate * np.bincount(gate, err * x[:, k], len(self.weights)) / (mass + 1e-9)
+                    told[0] += mass
+                    told[1] += mass[:, None] * self.weights
+                    cell = node * BUCKETS + self.refining(z, node)[1]
+                    told[2] += np.bincount(cell, w, size)
+                    told[3] += np.bincount(cell, w * bit, size)
+        return [x / times for x in told]
+
+    def merged(self, told: list[np.ndarray]) -> None:
+        """Takes the weights' means and the refining table's shares of what all parts learned."""
+        mass, weights, n, ones = told
+        self.weights = np.where(mass[:, None] > 0, weights / np.maximum(mass, 1e-9)[:, None], self.weights).astype(np.float32)
+        prior = 50.0
+        self.refined = np.clip((ones.reshape(256, -1) + prior * self.refined) / (n.reshape(256, -1) + prior), 1e-6, 1 - 1e-6).astype(np.float32)
+
+    def log10(self, us: list[bytes], known: Known) -> np.ndarray:
         """log10 of each unit's probability."""
         out = np.zeros(len(us))
         for i in range(0, len(us), 4096):
-            of, slots, node, bit = events(us[i : i + 4096], self.setting.bits)
+            of, slots, node, bit = events(us[i : i + 4096], known, True)
             x, gate = self.inputs(slots, bit)
             p, _ = self.refining(self.mixed(x, gate), node)
             out[i : i + 4096] = np.bincount(of, np.log10(np.where(bit == 1, p, 1 - p)), min(4096, len(us) - i))
@@ -204,39 +276,103 @@ def blocked(docs: DataFrame, rows: int, block_bytes: int) -> DataFrame:
         return docs.withColumn("block", F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(0))), F.lit(blocks_for(docs, "text", block_bytes))))
 
 
-def train_counts(known: DataFrame, setting: Setting) -> list[np.ndarray]:
-    """The tables of all training units; each task adds up its own, tables meet in chunks. Their size is fixed by setting."""
-    sizes = [2 << b for b in setting.bits]
-    total, size = sum(sizes), min([2 * CHUNK, *sizes])
+ASKED = "bucket int, part int, key binary, sym binary, n binary"
+GIVEN = "part int, key binary, size binary, sym binary, n binary"
 
-    def add_up(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = None
-        for b in it:
-            us, n = b.column(0).to_pylist(), np.array(b.column(1).to_pylist(), np.float64)
-            if t is None and us:
-                t = [np.zeros(x, np.float32) for x in sizes]
-            for i in range(0, len(us), 8192):
-                of, sl, _, bit = events(us[i : i + 8192], setting.bits)
-                w = n[i : i + 8192][of].astype(np.float32)
-                for k in range(N):
-                    np.add.at(t[k], sl[k] * 2 + bit, w)
-        for i, x in enumerate(() if t is None else (y for z in t for y in z.reshape(-1, size))):
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([x.tobytes()], pa.binary())], names=["chunk", "payload"])
-
-    def meet(key: tuple, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros(size)
+
+def summed(key: np.ndarray, sym: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    _, first, of = np.unique(under(key, sym), return_index=True, return_inverse=True)
+    return key[first], sym[first], np.bincount(of, n, len(first)).astype(np.int64)
+
+
+def arrays(t: pa.Table, name: str, kind: type) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), kind) for x in t.column(name)]
+
+
+def joint(arrays_: list[np.ndarray], kind: type) -> np.ndarray:
+    return np.concatenate(arrays_) if arrays_ else np.zeros(0, kind)
+
+
+def own_contexts(us: list[bytes], n: np.ndarray) -> tuple[list[tuple[np.ndarray, ...]], list[tuple[np.ndarray, ...]]]:
+    """Rows of (key, byte, count) of a part's units: those of contexts that other parts may have, and the others."""
+    of, contexts, sym = coded(us)
+    w = n[of]
+    _, (*_, border), _ = coded([min(us), max(us)])
+    shared = np.isin(contexts[-1], border)
+    both = [summed(h, sym, w) for h in contexts[:-1]]
+    both.append(summed(contexts[-1][shared], sym[shared], w[shared]))
+    return both, [summed(contexts[-1][~shared], sym[~shared], w[~shared])]
+
+
+def shared_contexts(every: DataFrame, parts: int) -> DataFrame:
+    """For each part of units (part, unit, n), rows of the contexts that it has and other parts may have, with their bytes and counts over all parts; packed by buckets of keys."""
+
+    def ask(key: tuple, t: pa.Table) -> pa.Table:
+        both, _ = own_contexts(t.column("unit").to_pylist(), t.column("n").to_numpy())
+        k, sym, n = (np.concatenate(x) for x in zip(*both, strict=True))
+        b = (k % np.uint64(parts)).astype(np.int64)
+        o = np.argsort(b, kind="stable")
+        k, sym, n, b = k[o], sym[o].astype(np.uint8), n[o], b[o]
+        first = np.flatnonzero(np.append(True, b[1:] != b[:-1]))
+        ends = np.append(first[1:], len(b))
+        cols = [[x[i:j].tobytes() for i, j in zip(first, ends, strict=True)] for x in (k, sym, n)]
+        return pa.table([pa.array(b[first], pa.int32()), pa.array([key[0].as_py()] * len(first), pa.int32()), *(pa.array(x, pa.binary()) for x in cols)], names=["bucket", "part", "key", "sym", "n"])
+
+    def give(key: tuple, t: pa.Table) -> pa.Table:
+        ks = arrays(t, "key", np.uint64)
+        k, sym, n = summed(np.concatenate(ks), np.concatenate(arrays(t, "sym", np.uint8)), np.concatenate(arrays(t, "n", np.int64)))
+        o = np.argsort(k, kind="stable")
+        k, sym, n = k[o], sym[o], n[o]
+        each, first, size = np.unique(k, return_index=True, return_counts=True)
+        out: list[list[bytes]] = [[], [], [], []]
+        for mine in ks:
+            at = np.searchsorted(each, np.unique(mine))
+            rows = np.repeat(first[at] - np.cumsum(size[at]) + size[at], size[at]) + np.arange(size[at].sum())
+            for c, x in zip(out, (each[at], size[at].astype(np.uint16), sym[rows], n[rows]), strict=True):
+                c.append(x.tobytes())
+        return pa.table([t.column("part"), *(pa.array(x, pa.binary()) for x in out)], names=["part", "key", "size", "sym", "n"])
+
+    asked = every.select("part", "unit", "n").groupBy("part").applyInArrow(ask, ASKED)
+    return cut(asked.groupBy("bucket").applyInArrow(give, GIVEN), "contexts")
+
+
+def known_of(units_: pa.Table, given: pa.Table) -> tuple[list[bytes], np.ndarray, Known]:
+    """A part's units, how often training texts have them, and the counts of all their contexts."""
+    us, n = units_.column("unit").to_pylist(), units_.column("n").to_numpy()
+    key = np.repeat(joint(arrays(given, "key", np.uint64), np.uint64), joint(arrays(given, "size", np.uint16), np.uint16))
+    rows = [(key, joint(arrays(given, "sym", np.uint8), np.uint8).astype(np.int64), joint(arrays(given, "n", np.int64), np.int64)), *own_contexts(us, n)[1]]
+    return us, n, Known(*(np.concatenate(x) for x in zip(*rows, strict=True)))
+
+
+def tuned(every: DataFrame, contexts: DataFrame, setting: Setting) -> tuple[np.ndarray, np.ndarray]:
+    """The mixer's weights and the refining table: each part learns from all its training units with their counts, what they learned is added up."""
+    start = Model(([], np.zeros(0)), setting)
+    size = [start.weights.shape[0], start.weights.size, start.refined.size, start.refined.size]
+    share = 1.0 if setting.sample is None else setting.sample / max(1, every.where("n > 0").count())
+
+    def learn(key: tuple, t: pa.Table, given: pa.Table) -> pa.Table:
+        out = np.zeros(sum(size))
+        if t.num_rows:
+            us, n, known = known_of(t, given)
+            mine = np.flatnonzero((n > 0) & t.column("tunes").to_numpy(zero_copy_only=False))
+            if len(mine):
+                out = np.concatenate([x.ravel() for x in Model(([], np.zeros(0)), setting).learn([us[i] for i in mine], n[mine].astype(np.float64), known)])
+        return pa.table([pa.array([key[0].as_py() // 64], pa.int32()), pa.array([out.tobytes()], pa.binary())], names=["g", "told"])
+
+    def add_up(key: tuple, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(sum(size))
         for b in it:
-            for p in b.column("payload"):
-                out += np.frombuffer(p.as_buffer(), np.float32)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([out.astype(np.float32).tobytes()], pa.binary())], names=["chunk", "payload"])
+            for x in b.column("told"):
+                out += np.frombuffer(x.as_buffer(), np.float64)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([out.tobytes()], pa.binary())], names=["g", "told"])
 
-    kind = "chunk int, payload binary"
-    tasks = max(1, -(-known.count() // setting.per_task))
-    got = known.select("unit", "n").repartition(tasks).mapInArrow(add_up, kind).groupBy("chunk").applyInArrow(meet, kind).toArrow()
-    flat = np.zeros((total // size, size), np.float32)
-    for i, x in zip(got.column("chunk").to_pylist(), got.column("payload"), strict=True):
-        flat[i] = np.frombuffer(x.as_buffer(), np.float32)
-    return [x.reshape(-1, 2) for x in np.split(flat.ravel(), np.cumsum(sizes)[:-1])]
+    tunes = F.pmod(F.xxhash64("unit"), F.lit(1 << 30)) < F.lit(share * (1 << 30))
+    told = every.select("part", "unit", "n", tunes.alias("tunes")).groupBy("part").cogroup(contexts.groupBy("part")).applyInArrow(learn, "g int, told binary")
+    got = arrays(cut(told, "told").groupBy("g").applyInArrow(add_up, "g int, told binary").toArrow(), "told", np.float64)
+    if got:
+        mass, weights, n, ones = np.split(sum(got), np.cumsum(size)[:-1])
+        start.merged([mass, weights.reshape(start.weights.shape), n, ones])
+    return start.weights, start.refined
 
 
 def score(docs: DataFrame, train: Column, setting: Setting = Setting(), block_rows: int = 8192, block_bytes: int = 16 << 20) -> DataFrame:
@@ -248,8 +384,8 @@ def score(docs: DataFrame, train: Column, setting: Setting = Setting(), block_ro
     time and get equal results; other columns are left out. Words may be of any length.
 
     Tasks count the units of their blocks of rows, a shuffle adds them up and scores each distinct unit once. Texts are
-    then shuffled once by block and meet the scores of just their own units. Only the model's tables, of fixed size, and
-    a bounded sample of units (which tunes the mixer) go to the driver.
+    then shuffled once by block and meet the scores of just their own units. Counts of contexts stay in the parts of units
+    that ask for them; only the mixer's weights and the refining table go to the driver, added up over 64 parts at a time.
     """
     spark = docs.sparkSession
     batches_of(spark)
@@ -257,39 +393,36 @@ def score(docs: DataFrame, train: Column, setting: Setting = Setting(), block_ro
     d = blocked(docs, block_rows, block_bytes).select(F.col("doc_id").cast("long").alias("doc_id"), "text", train.alias("train"), "block")
     own = cut(d.select("block", "text", "train").mapInArrow(_count_units, "block long, unit binary, n long"), "block-units")
     every = cut(own.groupBy("unit").agg(F.sum("n").alias("n")), "units")
-    word = F.expr(f"translate(cast(substring(unit, 1, octet_length(unit) - 1) as string), '{ASCII_UPPER}', '{ASCII_UPPER.lower()}')")
-    told = every.select("unit", "n", F.expr("if(octet_length(unit) > 1, null, '')").alias("none")).withColumn("token", F.when(F.col("none").isNull(), word)).drop("none")
+    parts = max(1, -(-every.count() // setting.per_part))
+    every = cut(every.repartitionByRange(parts, "unit").withColumn("part", F.spark_partition_id()), "parts")
+    word = F.expr(f"translate(cast(substring(unit, 2, octet_length(unit) - 2) as string), '{ASCII_UPPER}', '{ASCII_UPPER.lower()}')")
+    told = every.select("part", "unit", "n", F.expr("if(octet_length(unit) > 2, null, '')").alias("none")).withColumn("token", F.when(F.col("none").isNull(), word)).drop("none")
     words = cut(told.where("token is not null").groupBy("token").agg(F.sum("n").alias("c")), "words")
     ends = every.where("endswith(unit, X'FF')").agg(F.sum("n").alias("e")).first()["e"] or 0
     seen = words.where("c > 0").agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n_all, v_all = (seen["n"] or 0) + ends, seen["v"] + (ends > 0)
     floor = math.log10(n_all + v_all + 1)
 
-    known = every.where("n > 0")
-    counts = train_counts(known, setting)
-    model = Model(predictors(counts), setting)
-    picked = known.select("unit", "n", F.xxhash64("unit").alias("h")).orderBy("h", "unit").limit(setting.sample).collect()
-    if picked:
-        w = np.minimum(1 + np.log2([float(r["n"]) for r in picked]), 8)
-        for _ in range(2):
-            model.learn([bytes(r["unit"]) for r in picked], w, counts)
-    del counts
-    shipped = spark.sparkContext.broadcast((model.ready, model.weights, model.refined))
-
-    def scored(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready, weights, refined = shipped.value
-        m = Model(ready, setting, weights, refined)
-        for b in it:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(m.log10(b.column(0).to_pylist())), b.column(1)], names=["unit", "s", "c"])
+    contexts = shared_contexts(every, parts)
+    shipped = spark.sparkContext.broadcast(tuned(every, contexts, setting))
+
+    def scored(key: tuple, t: pa.Table, given: pa.Table) -> pa.Table:
+        s = np.zeros(0)
+        if t.num_rows:
+            us, _, known = known_of(t, given)
+            told, level = predictors([known.counts])
+            s = Model((told * N, level), setting, *shipped.value).log10(us, known)
+        return pa.table([t.column("unit"), pa.array(s), t.column("c")], names=["unit", "s", "c"])
 
-    table = told.join(words, "token", "left").select("unit", F.coalesce("c", F.lit(0).cast("long")).alias("c")).mapInArrow(scored, "unit binary, s double, c long")
+    table = told.join(words, "token", "left").select("part", "unit", "n", F.coalesce("c", F.lit(0).cast("long")).alias("c"))
+    table = table.groupBy("part").cogroup(contexts.groupBy("part")).applyInArrow(scored, "unit binary, s double, c long")
     table = cut(table, "unit-scores")
 
     def judged(key: tuple, texts: pa.Table, table: pa.Table) -> pa.Table:
         us = table.column("unit").to_pylist()
         place = dict(zip(us, range(len(us)), strict=True))
         c, s = table.column("c").to_numpy(), table.column("s").to_numpy().astype(np.float64)
-        real = np.fromiter(map(len, us), np.int64, len(us)) > 1
+        real = np.fromiter(map(len, us), np.int64, len(us)) > 2
         sums = np.stack([real, real & (c > 0), np.where(real, np.log10(c + 1.0) - floor, 0.0), s], axis=1)  # what a unit adds to a text
         out = []
         kept: list[list] = [[], []]
