@@ -422,3 +422,15 @@ def test_op2_counts_are_exact_over_parts(spark):
                 assert list(known.counts[slots[k][i]]) == [want[(o, before, bits[:b], x)] for x in "01"]
                 seen += 1
     assert seen == sum(8 * (len(u) - 1) for u in counted) * mixing.N
+
+
+def test_op2_learns_from_all_units():
+    """Every training unit tunes the mixer and the refining table, as often as it occurs; contexts reach 4 bytes and over a unit's border."""
+    assert mixing.Setting().sample is None and 4 in mixing.ORDERS
+    assert mixing.units("a. b")[1] != mixing.units("a b")[1]
+    us = [bytes([10]) + f"w{i} ".encode() for i in range(3000)]
+    n = np.arange(1, 3001)
+    (key, sym, c) = (np.concatenate(x) for x in zip(*(x for y in mixing.own_contexts(us, n) for x in y), strict=True))
+    told = mixing.Model(([], np.zeros(0)), mixing.Setting()).learn(us, n.astype(float), mixing.Known(key, sym, c))
+    bits = sum(8 * (len(u) - 1) * int(k) for u, k in zip(us, n, strict=True))
+    assert math.isclose(told[0].sum(), bits, rel_tol=1e-6) and math.isclose(told[2].sum(), bits, rel_tol=1e-6)

@@ -28,8 +28,8 @@ from tidemark.llm.common import ASCII_UPPER, batches_of, blocks_for, cut, rows_o
 
 UNIT = re.compile(rb"[^\x20\x09-\x0D\xff]*[\x20\x09-\x0D\xff]")
 END = b"\xff"
-#: Contexts of a bit: the 1, 2, 3 bytes before its byte, and the whole unit so far.
-ORDERS = (1, 2, 3)
+#: Contexts of a bit: the 1, 2, 3, 4 bytes before its byte, and the whole unit so far.
+ORDERS = (1, 2, 3, 4)
 N = len(ORDERS) + 1
 BUCKETS = 33
 #: From these counts on a context counts as better known.
@@ -41,7 +41,7 @@ class Setting:
     """bits: of each context's keys (the last: of all further ones). The mixer moves by rate after each batch of units; sample, if any, has only about so many units tune it, chosen by hash. A part has per_part units."""
 
     bits: tuple[int, ...] = (64,)
-    sample: int | None = 40_000
+    sample: int | None = None
     batch: int = 64
     rate: float = 0.1
     per_part: int = 100_000
