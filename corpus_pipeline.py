@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, language, piece_bpe, simhash, suffix_dedup
 from tidemark.llm.common import cut, remainder, table
+from tidemark.llm.components import components
 
 #: No SQL: language ID, SimHash and SentencePiece can't be expressed in it.
 ORACLE_SQL = None
@@ -21,15 +22,23 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return got.where(F.col("lang_pred") != language.UNDECIDED).select(*docs.columns)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with _th, a hash of the text, and _row, one of id and text: what stages drop rows by."""
+    return docs.withColumn("_th", F.xxhash64("text")).withColumn("_row", F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull()))
+
+
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays; of repeated rows of one id one."""
-    got = simhash.near_duplicates(docs)
-    gone = cut(got.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone")).distinct(), "near-copies")
-    kept = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
-    if docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").limit(1).count():
-        some = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-        kept = some.unionByName(kept.where("doc_id is null"))
-    return kept.select(*docs.columns)
+    """Of each group of near copies the row with the smallest id stays (with a null id only where none has another); of repeated rows one.
+
+    Near copies are linked by fingerprints of at most 3 differing bits, or 5-word Jaccard similarity of 0.8 or more.
+    """
+    d = keyed(docs)
+    texts = cut(d.groupBy("_th").agg(F.first("text").alias("text")).select(F.col("_th").alias("th"), "text"), "texts")
+    close = simhash.near_duplicates(texts.select(F.col("th").alias("doc_id"), "text")).select(F.col("doc_id").alias("u"), F.col("component_id").alias("v"))
+    roots = components(close.union(simhash.jaccard_links(texts)))
+    rows = d.select("_th", "_row", F.col("doc_id").isNull().alias("none"), "doc_id").join(roots, F.col("_th") == F.col("node"), "left").withColumn("root", F.coalesce("root", "_th"))
+    stay = cut(rows.groupBy("root").agg(F.min(F.struct("none", "doc_id", "_row")).alias("one")).select(F.col("one._row").alias("_row")), "kept")
+    return d.join(stay, "_row", "left_semi").dropDuplicates(["_row"]).select(*docs.columns)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

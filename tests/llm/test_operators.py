@@ -434,3 +434,22 @@ def test_op2_learns_from_all_units():
     told = mixing.Model(([], np.zeros(0)), mixing.Setting()).learn(us, n.astype(float), mixing.Known(key, sym, c))
     bits = sum(8 * (len(u) - 1) * int(k) for u, k in zip(us, n, strict=True))
     assert math.isclose(told[0].sum(), bits, rel_tol=1e-6) and math.isclose(told[2].sum(), bits, rel_tol=1e-6)
+
+
+def test_pipeline_near_copies(spark):
+    """Texts of 5-word Jaccard 0.8 and more go, whatever their fingerprints; rows without an id are dropped for their own text only."""
+    rng = random.Random(5)
+    rows, i = [], 0
+    for _ in range(40):
+        w = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(120)]
+        other = [*w]
+        other[rng.randint(20, 100)] = "changed"  # 5 of 116 shingles differ: Jaccard .917
+        other[rng.randint(0, 10)] = "too"
+        rows += [(i, " ".join(w)), (i + 1, " ".join(other))]
+        i += 2
+    alone = " ".join("".join(rng.choices("klmnop", k=6)) for _ in range(60))
+    rows += [(None, rows[0][1] + " end"), (None, alone), (0, alone + " and more of it " + " ".join("".join(rng.choices("qrst", k=6)) for _ in range(60)))]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in corpus_pipeline.simhash_dedup(spark, d, "").collect()]
+    assert sorted(r[0] for r in got if r[0]) == list(range(2, 80, 2))
+    assert {r[1] for r in got if not r[0]} == {rows[0][1], rows[-2][1], rows[-1][1]}
