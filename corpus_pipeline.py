@@ -42,8 +42,8 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages of 400 bytes or more go from all documents that have them; documents left without words go."""
-    got = suffix_dedup.remove_repeats(docs, as_text=True)
+    """Repeated passages of 400 bytes or more, or of 51 words or more, go from all documents that have them; documents left without words go."""
+    got = suffix_dedup.remove_repeats(docs, as_text=True, words=51)
     return got.where(F.trim(F.regexp_replace("text", r"\s+", " ")) != "").withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -453,3 +453,14 @@ def test_pipeline_near_copies(spark):
     got = [tuple(r) for r in corpus_pipeline.simhash_dedup(spark, d, "").collect()]
     assert sorted(r[0] for r in got if r[0]) == list(range(2, 80, 2))
     assert {r[1] for r in got if not r[0]} == {rows[0][1], rows[-2][1], rows[-1][1]}
+
+
+def test_pipeline_short_passages(spark):
+    """Passages of 51 words go although shorter than 400 bytes; of 50 words they stay."""
+    rng = random.Random(6)
+    word = lambda k: " ".join("".join(rng.choices("abcdefgh", k=4)) for _ in range(k))
+    long, short = word(51), word(50)
+    rows = [(i, f"{word(30)} x{i} {p} y{i} {word(30)}") for i, p in enumerate((long, long, short, short))]
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.suffix_array_dedup(spark, spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, n_chars long"), "").collect()}
+    assert len(long) < 400 and all((p in got[i]) == (p == short) for i, p in enumerate((long, long, short, short)))
+    assert got[2] == rows[2][1] and got[0] == rows[0][1].replace(long, "")

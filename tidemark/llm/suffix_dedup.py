@@ -8,6 +8,7 @@ windows occur twice.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import cmp_to_key, lru_cache
 
@@ -239,11 +240,45 @@ def near(d: DataFrame, some: DataFrame, kind: str = "left_semi") -> DataFrame:
     return d.withColumn("_b", bucket(d)).join(F.broadcast(some.select(bucket(some).alias("_b")).distinct()), "_b", kind).drop("_b")
 
 
-def remove_repeats(docs: DataFrame, size: int = 400, as_text: bool = False) -> DataFrame:
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def repeated_passages(docs: DataFrame, words: int) -> DataFrame:
+    """doc, th, s, e as repeated_spans: the runs of so many whole words that also stand, byte for byte, elsewhere.
+
+    Such a run has 2 * words - 1 bytes at least, so it lies within spans of repeated strings of that size; only there are
+    its places hashed and counted.
+    """
+    size = 2 * words - 1
+    spans = cut(repeated_spans(docs, size, max(1, size // 4)), "short-spans").groupBy("doc", "th").agg(F.collect_list(F.struct("s", "e")).alias("found"))
+    spans = cut(spans, "short-document-spans")
+    d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), F.xxhash64("text").alias("th"), "text").where(F.octet_length("text") >= size)
+
+    def runs_of_words(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            for doc, th, text, found in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                raw = text.encode()
+                for s, e in joined([(x["s"], x["e"]) for x in found]):
+                    at = [m.span() for m in WORD.finditer(raw, s, e)]
+                    if at and at[0][0] == s > 0 and WORD.match(raw, s - 1):  # cut by the span's start
+                        at = at[1:]
+                    if at and at[-1][1] == e and WORD.match(raw, e):
+                        at = at[:-1]
+                    w = [(x[0], y[1]) for x, y in zip(at, at[words - 1 :], strict=False)]
+                    if w:
+                        yield pa.RecordBatch.from_arrays([pa.array([signed(xxhash.xxh3_64_intdigest(raw[x:y])) for x, y in w], pa.int64()), pa.array([doc] * len(w), pa.int64()), pa.array([th] * len(w), pa.int64()), pa.array([x for x, _ in w], pa.int32()), pa.array([y for _, y in w], pa.int32())], names=["wh", "doc", "th", "s", "e"])
+
+    got = near(d, spans).join(spans, ["doc", "th"]).select("doc", "th", "text", "found").mapInArrow(runs_of_words, "wh long, doc long, th long, s int, e int")
+    got = cut(got, "word-runs")
+    twice = got.groupBy("wh").agg(F.count("*").alias("k")).where("k > 1").select("wh")
+    return got.join(twice, "wh").select("doc", "th", "s", "e")
+
+
+def remove_repeats(docs: DataFrame, size: int = 400, as_text: bool = False, words: int | None = None) -> DataFrame:
     """doc_id, n_bytes, spans (of s, e) and kept (binary) of each row of docs (doc_id, text); or all columns of docs, text being what is kept, without characters that a cut splits, and spans (as_text).
 
     Removed is each byte of the text's UTF-8 that a string of size bytes covers which also starts anywhere else, in any
-    row or the same one; all judged on the input. Kept are the other bytes in their order; a cut may split a character.
+    row or the same one, or (words) a run of so many whole words that also stands elsewhere; all judged on the input. Kept are the other bytes in their order; a cut may split a character.
     Null texts count as empty; texts shorter than size keep all. Rows with equal ids are different texts, repeated rows
     copies of each other. Texts may be of any length; other columns are left out; empty tables give no rows.
 
@@ -251,7 +286,10 @@ def remove_repeats(docs: DataFrame, size: int = 400, as_text: bool = False) -> D
     different strings, one for each. An anchor in more strings than one task should sort has its windows counted singly.
     Texts are shuffled only near those with something to remove.
     """
-    spans = cut(repeated_spans(docs, size), "spans").groupBy("doc", "th").agg(F.collect_list(F.struct("s", "e")).alias("found"))
+    spans = repeated_spans(docs, size)
+    if words:
+        spans = spans.union(repeated_passages(docs, words))
+    spans = cut(spans, "spans").groupBy("doc", "th").agg(F.collect_list(F.struct("s", "e")).alias("found"))
     spans = cut(spans, "document-spans").select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), F.col("found").alias("_found"))
     text = F.coalesce("text", F.lit(""))
     d = (docs.drop("spans") if as_text else docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_doc"), F.xxhash64("text").alias("_th"))
