@@ -49,9 +49,10 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    pairs = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    gone = cut(pairs.select(F.col("doc_id").alias("gone")).distinct(), "contaminated")
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti").select(*docs.columns)
+    d = keyed(docs)
+    pairs = decontaminate.contaminated(d.select(F.col("_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    gone = cut(pairs.select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
+    return d.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

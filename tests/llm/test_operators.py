@@ -464,3 +464,11 @@ def test_pipeline_short_passages(spark):
     got = {r["doc_id"]: r["text"] for r in corpus_pipeline.suffix_array_dedup(spark, spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, n_chars long"), "").collect()}
     assert len(long) < 400 and all((p in got[i]) == (p == short) for i, p in enumerate((long, long, short, short)))
     assert got[2] == rows[2][1] and got[0] == rows[0][1].replace(long, "")
+
+
+def test_pipeline_contaminated_rows_only(spark, sf):
+    """A contaminated row goes alone: clean rows with its id, or without an id like it, stay."""
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").where("length(text) > 100").first()["text"]
+    rows = [(None, item), (None, "quite clean"), (1, item), (1, "clean as well")]
+    got = corpus_pipeline.benchmark_decontamination(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf).collect()
+    assert {tuple(r) for r in got} == {rows[1], rows[3]}
