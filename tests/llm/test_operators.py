@@ -84,6 +84,40 @@ def test_op1_pieces_and_collisions(monkeypatch):
     assert suffix_dedup.common(a, b) == 3
 
 
+def test_op1_passages_against_brute_force(spark):
+    """Runs of so many words that also stand elsewhere, whatever white space parts them; repeated rows and null ids too."""
+    rng = random.Random(4)
+    rows = [(i if i % 9 else None, "".join(rng.choice("ab") + rng.choice([" ", "\n", "  ", "\t"]) for _ in range(rng.randint(0, 60)))) for i in range(40)]
+    rows += [rows[3], (100, None), (101, ""), (102, "a " * 30)]
+    size = 7
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in rows]
+    seen = Counter(tuple(w[i : i + size]) for w in words for i in range(len(w) - size + 1))
+    want = []
+    for (i, t), w in zip(rows, words, strict=True):
+        in_ = [seen[tuple(w[j : j + size])] > 1 for j in range(len(w) - size + 1)]
+        hit = [any(in_[max(0, k - size + 1) : k + 1]) for k in range(len(w))]
+        # two runs that touch without sharing a word stay two
+        runs, end = 0, -1
+        for j, x in enumerate(in_):
+            if x:
+                runs, end = runs + (j > end), j + size - 1
+        want.append((i, sum(hit), runs))
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = suffix_dedup.repeated_passages(d, size).collect()
+    texts = {(i if i is not None else -(1 << 63), t): n for (i, t), n in zip(rows, range(len(rows)), strict=True)}
+    found = {}
+    for r in spans:
+        found.setdefault((r["doc"], r["th"]), set()).add((r["s"], r["e"]))
+    hashes = {(r["doc"], r["th"]): r["text"] for r in d.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc"), F.xxhash64("text").alias("th"), "text").collect()}
+    for key, text in hashes.items():
+        i, n_words, n_runs = want[texts[key[0], text]]
+        runs = suffix_dedup.joined(list(found.get(key, ())))
+        assert (sum(len(text[s:e].split()) for s, e in runs) if text else 0, len(runs)) == (n_words, n_runs)
+    told = suffix_dedup.remove_repeats(d, 10_000, words=size, told=True).collect()
+    assert len(told) == len(rows) and sorted((str(r["doc_id"]), r["n_passages"]) for r in told) == sorted((str(i), n) for i, _, n in want)
+    assert Counter((r["doc_id"], bytes(r["kept"]).decode()) for r in told) == Counter((i, t or "") for i, t in rows)
+
+
 def test_op1_edges(spark, edge, empty):
     assert len(removed(edge)) == len(EDGE) and removed(empty) == []
     t = suffix_dedup.remove_repeats(edge, as_text=True)
@@ -251,6 +285,23 @@ def test_op7(docs, edge, empty):
     assert kept.columns == [*edge.columns, "lang_pred", "score"] and kept.count() == len(EDGE)
 
 
+def test_op7_letters_and_long_texts(spark):
+    """Fractions and raised digits aren't letters; a long text's parse is one, whatever stands in its batch."""
+    rows = [(i, t, lang, "x", 1) for i, (t, lang) in enumerate([("the cat sat on the mat", "en"), ("le chat est assis ici", "fr"), ("\xbd \xb2 12", None), ("\u4e2d", None)] + [("the mat sat " * 900, None)] * 40)]
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got[2] == "und" and got[3] != "und" and got[4] == got[43] == "en"
+    p = language.Parser((("a", ("the cat sat",)), ("b", ("le chat",))))
+    text = "the cat le sat cha " * 300
+    alone = p.costs([text])[0]
+    assert all((p.costs([text, *["the cat"] * k, text[:4000]])[0] == alone).all() for k in (0, 40, 100))
+
+
+def test_op7_samples_are_whole_texts(spark):
+    rows = [(i, "ab " * n, "en", "x", 1) for i, n in enumerate((1, 2, 3, 300, 200))]
+    got = language.labelled_samples(spark.createDataFrame(rows, DOCS).select("doc_id", "text", "lang"), F.lit(True), 4, 20)
+    assert sorted(map(len, got[0][1])) == [3, 6, 9, 600]
+
+
 def test_op7_counts_phrases():
     samples = (("a", ("the cat sat", "on a mat")), ("b", ("le chat noir", "est ici")))
     p = language.Parser(samples)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,11 +51,31 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def batches_of(spark: SparkSession, rows: int = 1000) -> None:
-    """Small Arrow batches, so that a batch of long texts stays small; a session's own setting holds."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key, "10000") == "10000":
-        spark.conf.set(key, str(rows))
+def batches_of(spark: SparkSession, rows: int = 1000, size: int = 16 << 20) -> None:
+    """Arrow batches of so many rows and bytes at most, so that one of long texts stays small; a session's own settings hold."""
+    for key, usual, own in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", str(rows)), ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", f"{size}b")):
+        if spark.conf.get(key, usual) == usual:
+            spark.conf.set(key, own)
+
+
+def released() -> None:
+    """Gives what a Python worker has freed back to its machine: workers outlive tasks, stages and queries."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For mapInArrow: run, after which the worker's free memory goes back."""
+
+    def whole(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(it)
+        finally:
+            released()
+
+    return whole
 
 
 def blocks_for(df: DataFrame, text: str, block_bytes: int) -> int:
@@ -72,7 +95,7 @@ def per_batch(f: Callable[..., list], schema: pa.Schema, columns: list[str]) ->
         for b in it:
             yield rows_out(schema, f(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in columns)))
 
-    return run
+    return tidy(run)
 
 
 def groups(it: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[tuple[tuple, dict[str, list]]]:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,13 +12,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import batches_of
+from tidemark.llm.common import batches_of, tidy
 
 UNDECIDED = "und"
-LETTER = re.compile(r"[^\W\d_]")
 GAP, END = 1, 2  # symbols; 0: bytes that no sample has
-#: Parses begin anew after so many symbols, whatever else stands in a batch.
-LANE = 1024
+#: So many texts and more take each step together; fewer, the longest ones' rest, one by one.
+TOGETHER = 32
 
 
 def plain_bytes() -> np.ndarray:
@@ -105,50 +103,60 @@ class Parser:
         for i, c in enumerate(seen):
             table[c] = END + 1 + i
         self.table, self.width = table, END + 1 + len(seen)
-        self.steps, self.price = [], []
+        self.price = [math.log2(2 + sum(map(len, texts))) for texts in cleaned]
+        parts, self.roots, base = [], [], 0
         for texts in cleaned:
             sa = suffix_automaton([bytes(t) for t in texts])
             # a step: the next state's row times 4, and how many phrases end; a symbol that no state has is a phrase itself
-            root = np.full(self.width, 2, np.int64)
+            kind = np.int32 if (base + len(sa)) * self.width < 1 << 29 else np.int64
+            root = np.full(self.width, base * self.width * 4 + 2, kind)
             for c, q in sa[0].items():
-                root[GAP if c == 32 else table[c]] = q * self.width * 4 + 1
+                root[GAP if c == 32 else table[c]] = (base + q) * self.width * 4 + 1
             steps = np.tile(root, (len(sa), 1))
             steps[0] -= 1
             for v, out in enumerate(sa):
                 for c, q in out.items():
-                    steps[v, GAP if c == 32 else table[c]] = q * self.width * 4
-            self.steps.append(steps.astype(np.int32).ravel())
-            self.price.append(math.log2(2 + sum(map(len, texts))))
+                    steps[v, GAP if c == 32 else table[c]] = (base + q) * self.width * 4
+            parts.append(steps.ravel())
+            self.roots.append(base * self.width)
+            base += len(sa)
+        self.steps = np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
     def costs(self, texts: list[str]) -> np.ndarray:
-        """For each text and language, the bits of naming its phrases, by symbol of the text."""
+        """For each text and language, the bits of naming its phrases, by symbol of the text. A text's parse is one from its start to its end."""
         s, ends = symbols(texts, self.table)
         starts = np.concatenate(([0], ends[:-1] + 1))
-        sizes = ends - starts
-        lanes = np.maximum(1, -(-sizes // LANE))
-        of = np.repeat(np.arange(len(texts)), lanes)
-        first = np.repeat(starts, lanes) + LANE * (np.arange(len(of)) - np.repeat(np.cumsum(lanes) - lanes, lanes))
-        size = np.minimum(LANE, np.repeat(ends, lanes) - first)
-        order = np.argsort(-size, kind="stable")
-        first, size, of = first[order], size[order], of[order]
-        counts = np.zeros((len(self.langs), len(of)), np.int32)
-        at = np.zeros((len(self.langs), len(of)), np.int32)
-        longest = int(size[0]) if len(size) else 0
-        live = np.searchsorted(-size, -np.arange(longest), "left")  # lanes longer than each step's number
-        for i in range(longest):
+        order = np.argsort(starts - ends, kind="stable")
+        first, size = starts[order], (ends - starts)[order]
+        counts = np.zeros((len(self.langs), len(order)), np.int64)
+        roots = np.array(self.roots, self.steps.dtype)[:, None]
+        at = np.repeat(roots, len(order), axis=1)
+        shared = int(size[TOGETHER - 1]) if len(size) >= TOGETHER else 0
+        live = np.searchsorted(-size, -np.arange(shared), "left")  # texts longer than each step's number
+        for i in range(shared):
             n = live[i]
-            c = s[first[:n] + i]
-            for k, steps in enumerate(self.steps):
-                x = steps[at[k, :n] + c]
-                counts[k, :n] += x & 3
-                at[k, :n] = x >> 2
-        out = np.zeros((len(texts), len(self.langs)))
-        for k, price in enumerate(self.price):
-            np.add.at(out[:, k], of, (counts[k] + (at[k] > 0)) * price)
-        return out / np.maximum(1, sizes)[:, None]
+            x = self.steps[at[:, :n] + s[first[:n] + i]]
+            counts[:, :n] += x & 3
+            at[:, :n] = x >> 2
+        step = memoryview(self.steps)
+        for j in range(len(order)):
+            if size[j] <= shared:
+                break
+            rest = s[first[j] + shared : first[j] + size[j]].tolist()
+            for k in range(len(self.langs)):
+                p, n = int(at[k, j]), 0
+                for c in rest:
+                    x = step[p + c]
+                    n += x & 3
+                    p = x >> 2
+                counts[k, j] += n
+                at[k, j] = p
+        out = np.empty((len(texts), len(self.langs)))
+        out[order] = ((counts + (at != roots)) * np.array(self.price)[:, None]).T
+        return out / np.maximum(1, ends - starts)[:, None]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        told = [i for i, t in enumerate(texts) if self.langs and t and LETTER.search(t)]
+        told = [i for i, t in enumerate(texts) if self.langs and t and any(map(str.isalpha, t))]
         lang, score = [UNDECIDED] * len(texts), [0.0] * len(texts)
         if told:
             c = self.costs([texts[i] for i in told])
@@ -162,43 +170,49 @@ class Parser:
         return lang, score
 
 
-@lru_cache(2)
-def parser(samples: tuple[tuple[str, tuple[str, ...]], ...]) -> Parser:
-    """One for all tasks of a Python worker."""
-    return Parser(samples)
-
-
 def labelled_samples(docs: DataFrame, train: Column, rows: int, chars: int) -> tuple[tuple[str, tuple[str, ...]], ...]:
-    """For each non-null lang, chars characters of each of the rows whose ids hash lowest."""
-    w = Window.partitionBy("lang").orderBy("h", "doc_id", "text")
-    s = docs.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", F.xxhash64("doc_id").alias("h"), "doc_id", F.substring("text", 1, chars).alias("text"))
-    s = s.withColumn("n", F.row_number().over(w)).where(F.col("n") <= rows).select("lang", "n", "text")
+    """For each non-null lang, the whole texts of so many rows: those of chars characters at most whose ids hash lowest; if they are too few, the shortest longer ones."""
+    told = docs.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    long = F.greatest(F.lit(0), F.length("text") - chars).alias("long")
+    s = told.select("lang", long, F.xxhash64("doc_id").alias("h"), "doc_id", F.xxhash64("text").alias("th"), F.when(F.length("text") <= chars, F.col("text")).alias("text"))
+    w = Window.partitionBy("lang").orderBy("long", "h", "doc_id", "th")
+    got = s.withColumn("n", F.row_number().over(w)).where(F.col("n") <= rows).select("lang", "n", "h", "th", "text").collect()  # rows * languages at most
     out: dict[str, list[tuple[int, str]]] = {}
-    for r in s.collect():  # rows * chars * languages at most
-        out.setdefault(r["lang"], []).append((r["n"], r["text"]))
+    far: dict[tuple[str, int, int], int] = {}
+    for r in got:
+        if r["text"] is None:
+            far[r["lang"], r["h"], r["th"]] = r["n"]
+        else:
+            out.setdefault(r["lang"], []).append((r["n"], r["text"]))
+    if far:
+        keys = F.broadcast(docs.sparkSession.createDataFrame(list(far), "lang string, h long, th long"))
+        for r in told.select("lang", F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("th"), "text").join(keys, ["lang", "h", "th"]).dropDuplicates(["lang", "h", "th"]).collect():
+            out.setdefault(r["lang"], []).append((far[r["lang"], r["h"], r["th"]], r["text"]))
     return tuple((k, tuple(t for _, t in sorted(v))) for k, v in sorted(out.items()))
 
 
-def identify(docs: DataFrame, train: Column | None = None, rows: int = 96, chars: int = 256, carry: bool = False) -> DataFrame:
+def identify(docs: DataFrame, train: Column | None = None, rows: int = 48, chars: int = 768, carry: bool = False) -> DataFrame:
     """doc_id, lang_pred and score (0 to 1) of each row of docs (doc_id, text, lang).
 
-    Each language's suffix automaton is built of a bounded sample of its labelled rows among train (rows times chars
-    characters of each; null: all rows). A whole text is parsed greedily into the longest phrases that a language's
-    sample holds; phrases are counted over all of it, weighted by the bits that name a place in the sample. The
-    language with the fewest bits wins, of equals the first by name; the score is the runner-up's share of both costs.
-    A null text, one without letters, or no labelled rows at all: und with score 0. Repeated rows get equal results;
-    other columns are left out, or carried along before lang_pred and score (carry; own columns of these names are
-    replaced). No shuffle of texts; only the samples go to the driver.
+    Each language's suffix automaton is built of the whole texts of a bounded sample of its labelled rows among train
+    (null: all rows): so many rows, of chars characters at most where there are enough of these. A whole text is parsed
+    greedily, from its start to its end, into the longest phrases that a language's sample holds; phrases are counted,
+    weighted by the bits that name a place in the sample. The language with the fewest bits wins, of equals the first by
+    name; the score is the runner-up's share of both costs. A null text, one without letters (Unicode's), or no labelled
+    rows at all: und with score 0. Repeated rows get equal results; empty tables give no rows; other columns are left
+    out, or carried along before lang_pred and score (carry; own columns of these names are replaced). No shuffle of
+    texts; the samples go to the driver, and the automata from there to the workers, which drop them with the job.
     """
-    batches_of(docs.sparkSession)
-    samples = labelled_samples(docs.select("doc_id", "text", "lang"), F.lit(True) if train is None else train, rows, chars)
+    spark = docs.sparkSession
+    batches_of(spark)
+    parser = spark.sparkContext.broadcast(Parser(labelled_samples(docs.select("doc_id", "text", "lang"), F.lit(True) if train is None else train, rows, chars)))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            lang, score = parser(samples).predict(b.column(b.schema.get_field_index("text")).to_pylist())
+            lang, score = parser.value.predict(b.column(b.schema.get_field_index("text")).to_pylist())
             kept = [(c, n) for c, n in zip(b.columns, b.schema.names, strict=True) if carry or n == "doc_id"]
             yield pa.RecordBatch.from_arrays([*(c for c, _ in kept), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*(n for _, n in kept), "lang_pred", "score"])
 
     d = docs.drop("lang_pred", "score") if carry else docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = T.StructType([*(x for x in d.schema.fields if carry or x.name == "doc_id"), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return d.mapInArrow(run, out)
+    return d.mapInArrow(tidy(run), out)

@@ -24,7 +24,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ASCII_UPPER, batches_of, blocks_for, cut, rows_out, shared_folder
+from tidemark.llm.common import ASCII_UPPER, batches_of, blocks_for, cut, rows_out, shared_folder, tidy
 
 UNIT = re.compile(rb"[^\x20\x09-\x0D\xff]*[\x20\x09-\x0D\xff]")
 END = b"\xff"
@@ -391,7 +391,7 @@ def score(docs: DataFrame, train: Column, setting: Setting = Setting(), block_ro
     batches_of(spark)
     shared_folder(spark)
     d = blocked(docs, block_rows, block_bytes).select(F.col("doc_id").cast("long").alias("doc_id"), "text", train.alias("train"), "block")
-    own = cut(d.select("block", "text", "train").mapInArrow(_count_units, "block long, unit binary, n long"), "block-units")
+    own = cut(d.select("block", "text", "train").mapInArrow(tidy(_count_units), "block long, unit binary, n long"), "block-units")
     every = cut(own.groupBy("unit").agg(F.sum("n").alias("n")), "units")
     parts = max(1, -(-every.count() // setting.per_part))
     every = cut(every.repartitionByRange(parts, "unit").withColumn("part", F.spark_partition_id()), "parts")

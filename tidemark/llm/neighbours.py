@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import cut, tidy
 
 
 @dataclass(frozen=True)
@@ -130,7 +130,7 @@ def first_graph(vecs: DataFrame, dim: int, setting: Setting, n: int) -> DataFram
             at = np.argpartition(-m, k - 1, axis=1)[:, :k]
             return edge_table(*best(np.repeat(u, k), u[at].ravel(), np.take_along_axis(m, at, 1).ravel(), k)[:3]).to_batches()
 
-        rows = vecs.select("u", "vec").mapInArrow(project, "u long, vec array<float>, code long, along double").repartitionByRange(parts, "code", "along").sortWithinPartitions("code", "along").mapInArrow(leaves, EDGES)
+        rows = vecs.select("u", "vec").mapInArrow(tidy(project), "u long, vec array<float>, code long, along double").repartitionByRange(parts, "code", "along").sortWithinPartitions("code", "along").mapInArrow(tidy(leaves), EDGES)
         out = rows if out is None else out.union(rows)
     return out
 
@@ -331,7 +331,7 @@ def search(queries: DataFrame, vecs: DataFrame, graph: DataFrame, dim: int, bloc
     for _ in range(setting.steps):
         if not state.where(F.exists("done", lambda x: ~x)).limit(1).count():
             break
-        f = state.mapInArrow(frontier, "q long, vec array<float>, worst double, f long").withColumn("b", block_of("f", blocks))
+        f = state.mapInArrow(tidy(frontier), "q long, vec array<float>, worst double, f long").withColumn("b", block_of("f", blocks))
         named = f.groupBy("b").cogroup(near.groupBy("b")).applyInArrow(expand, "q long, vec array<float>, worst double, w array<long>")
         named = named.select("q", "vec", "worst", F.explode("w").alias("w")).withColumn("b", block_of("w", blocks)).groupBy("b", "q").agg(F.first("vec").alias("vec"), F.first("worst").alias("worst"), F.collect_set("w").alias("w"))
         found = named.groupBy("b").cogroup(places.groupBy("b")).applyInArrow(score, "q long, c array<long>, s array<double>")

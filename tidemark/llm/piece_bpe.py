@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches_of, per_batch
+from tidemark.llm.common import batches_of, per_batch, released
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -29,22 +29,26 @@ LINE_WORDS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n+")
 
 
 class Recent(dict):
-    """Keeps what make gave for the keys used last: at most twice most of them."""
+    """Keeps what make gave for the keys used last, texts only up to a size: at most twice most of them."""
 
-    def __init__(self, make: Callable[[str], object], most: int, size: int) -> None:
+    def __init__(self, make: Callable, most: int, size: int | None = None) -> None:
         self.make, self.most, self.size, self.old = make, most, size, {}
 
-    def __missing__(self, key: str) -> object:
-        got = self.old.get(key)
-        if got is None:
+    def __missing__(self, key: str | bytes | int) -> object:
+        got = self.old.get(key, self)
+        if got is self:
             got = self.make(key)
-        if len(key) <= self.size:
+        if self.size is None or len(key) <= self.size:
             if len(self) >= self.most:
                 self.old = dict(self)
                 self.clear()
             self[key] = got
         return got
 
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
 
 def _fields(b: bytes) -> Iterator[tuple[int, object]]:
     """Fields of a protocol buffer message."""
@@ -74,7 +78,7 @@ def _fields(b: bytes) -> Iterator[tuple[int, object]]:
 class Pieces:
     """A model's pieces, its encoding and decoding. model: the bytes of a .model file of merge type with byte fallback and no text normalisation."""
 
-    def __init__(self, model: bytes, word_cache: int = 300_000) -> None:
+    def __init__(self, model: bytes, word_cache: int = 200_000, pair_cache: int = 300_000) -> None:
         self.pieces: list[str] = []
         self.kinds: list[int] = []
         scores: list[float] = []
@@ -104,13 +108,14 @@ class Pieces:
         for p, i in self.ids.items():
             self.automaton.add_word(p, (len(p), i))
         self.automaton.make_automaton()
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.own: dict[int, bool] = {}
+        self.longest = max(map(len, self.ids), default=0)
+        self.pairs = Recent(self.together, pair_cache)
+        self.own = Recent(lambda t: self.merged(self.pieces[t]) == [self.pieces[t]], len(self.pieces))  # whether merging makes a piece of its characters
+        self.shorter = Recent(self.prefix, len(self.pieces))
         # no merge crosses two characters that no piece has side by side
         self.inside = frozenset(a + b for p in self.ids for a, b in zip(p, p[1:], strict=False))
-        self.id_texts = Recent(self.word_text, word_cache, 48)
-        self.parts = Recent(lambda w: ",".join(map(str, self.encode_word(w))), word_cache, 48)
-        self.surfaces = Recent(self.surface, word_cache, 256)
+        self.words = Recent(self.coded, word_cache, 48)
+        self.parts = Recent(lambda w: ",".join(map(str, self.encode_word(w))), word_cache // 2, 48)
         self.cut = WORDS if any("\n" in p for p in self.ids) else LINE_WORDS
 
     def merged(self, s: str) -> list[str]:
@@ -123,47 +128,41 @@ class Pieces:
             i = min(found)[1]
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
-    def alone(self, t: int) -> bool:
-        """Whether merging makes piece t of its characters."""
-        if t not in self.own:
-            self.own[t] = self.merged(self.pieces[t]) == [self.pieces[t]]
-        return self.own[t]
-
-    def together(self, a: int, b: int) -> bool:
-        """Whether pieces a and b stay side by side when their characters are merged anew."""
-        key = (a, b)
-        if key not in self.pairs:
-            if len(self.pairs) > 400_000:
-                self.pairs.clear()
-            self.pairs[key] = self.merged(self.pieces[a] + self.pieces[b]) == [self.pieces[a], self.pieces[b]]
-        return self.pairs[key]
+    def together(self, key: int) -> bool:
+        """Whether two pieces, the first times 2^32 plus the second, stay side by side when their characters are merged anew."""
+        a, b = key >> 32, key & 0xFFFFFFFF
+        return self.merged(self.pieces[a] + self.pieces[b]) == [self.pieces[a], self.pieces[b]]
+
+    def prefix(self, t: int) -> tuple[int, int] | None:
+        """The longest piece that begins piece t and is shorter, with its length."""
+        p = self.pieces[t]
+        return next(((n, self.ids[p[:n]]) for n in range(len(p) - 1, 0, -1) if p[:n] in self.ids), None)
 
     def backtrack(self, s: str) -> list[int]:
         """The encoding of a string of known characters."""
-        n = len(s)
-        starts: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, m in self.automaton.iter(s):
-            starts[end + 1 - m[0]].append(m)  # shorter matches come first
+        n, far = len(s), self.longest
+        match, alone, pairs, shorter = self.automaton.iter_long, self.own, self.pairs, self.shorter
         alive = (1 << (n + 1)) - 1  # bit p: an encoding may still go on from p
         out: list[int] = []
-        at: list[tuple[int, int]] = []  # where each piece of out starts, and the place of its match
-        pos, k = 0, len(starts[0]) - 1
+        at: list[int] = []  # where each piece of out starts
+        pos = 0
+        m = next(match(s[:far]))[1]  # every known character is a piece, so the first longest match begins here
         while pos < n:
-            while k >= 0:
-                size, t = starts[pos][k]
-                if alive >> (pos + size) & 1 and self.alone(t) and (not out or self.together(out[-1], t)):
+            while m is not None:
+                size, t = m
+                if alive >> (pos + size) & 1 and alone[t] and (not out or pairs[out[-1] << 32 | t]):
                     break
-                k -= 1
-            if k >= 0:
+                m = shorter[t]
+            if m is None:
+                alive &= ~(1 << pos)
+                m = shorter[out.pop()]
+                pos = at.pop()
+            else:
                 out.append(t)
-                at.append((pos, k))
+                at.append(pos)
                 pos += size
-                k = len(starts[pos]) - 1 if pos < n else -1
-            else:
-                alive &= ~(1 << pos)
-                out.pop()
-                pos, k = at.pop()
-                k -= 1
+                if pos < n:
+                    m = next(match(s[pos : pos + far]))[1]
         return out
 
     def encode_word(self, word: str) -> list[int]:
@@ -194,10 +193,9 @@ class Pieces:
         return ",".join([*out, self.parts[word[start:]]])
 
     def forget(self) -> None:
-        """Frees what is kept of words."""
-        for kept in (self.id_texts, self.parts, self.surfaces):
-            kept.clear()
-            kept.old = {}
+        """Frees what is kept of words and pieces."""
+        for kept in (self.words, self.parts, self.pairs, self.own, self.shorter):
+            kept.forget()
 
     def split(self, text: str) -> list[str]:
         if not text:
@@ -210,18 +208,36 @@ class Pieces:
     def surface(self, ids: str) -> bytes:
         return b"".join(bytes([int(self.pieces[i][3:5], 16)]) if self.kinds[i] == BYTE else b"" if self.kinds[i] == CONTROL else b" \xe2\x81\x87 " if self.kinds[i] == UNKNOWN else self.pieces[i].replace(SPACE, " ").encode() for i in map(int, ids.split(",")))
 
-    def joined(self, words: list[str]) -> str:
-        """The text of ids, given as texts of whole words. Bytes that aren't UTF-8 become U+FFFD."""
-        out = b"".join(map(self.surfaces.__getitem__, words))
-        if self.dummy_prefix and out[:1] == b" " and words and self.kinds[int(words[0].split(",", 1)[0])] == NORMAL:
+    def coded(self, word: str) -> str | tuple[str, bytes]:
+        """A word's ids as text; with what they decode to, where that isn't the word itself."""
+        ids = self.word_text(word)
+        back = self.surface(ids)
+        return ids if back == word.replace(SPACE, " ").encode() else (ids, back)
+
+    def joined(self, parts: list[bytes], first: str) -> str:
+        """The text of ids' parts, the first id as text. Bytes that aren't UTF-8 become U+FFFD."""
+        out = b"".join(parts)
+        if self.dummy_prefix and out[:1] == b" " and first and self.kinds[int(first.split(",", 1)[0])] == NORMAL:
             out = out[1:]
         return out.decode("utf-8", "replace")
 
+    def both(self, text: str) -> tuple[str, str]:
+        """A text's ids as text, and what they decode to."""
+        words = self.split(text)
+        got = list(map(self.words.__getitem__, words))
+        try:
+            ids, parts = ",".join(got), ["".join(words).replace(SPACE, " ").encode()]  # each word decodes to itself
+        except TypeError:
+            ids = ",".join(x if isinstance(x, str) else x[0] for x in got)
+            parts = [w.replace(SPACE, " ").encode() if isinstance(x, str) else x[1] for w, x in zip(words, got, strict=True)]
+        return ids, self.joined(parts, ids)
+
     def decode(self, ids: list[int]) -> str:
-        return self.joined([",".join(map(str, ids))] if ids else [])
+        text = ",".join(map(str, ids))
+        return self.joined([self.surface(text)] if ids else [], text)
 
 
-@lru_cache(2)
+@lru_cache(1)
 def loaded(model: bytes) -> Pieces:
     """One for all tasks of a Python worker."""
     return Pieces(model)
@@ -252,9 +268,7 @@ def encode_texts(docs: DataFrame, model: bytes, digests: bool = False) -> DataFr
         p = loaded(model)
         n, enc, dec = [], [], []
         for t in texts:
-            words = list(map(p.id_texts.__getitem__, p.split(t or "")))
-            s = ",".join(words)
-            d = p.joined(words)
+            s, d = p.both(t or "")
             n.append(s.count(",") + 1 if s else 0)
             enc.append(hashlib.sha256(s.encode()).hexdigest() if digests else [int(x) for x in s.split(",")] if s else [])
             dec.append(hashlib.sha256(d.encode()).hexdigest() if digests else d)
@@ -264,7 +278,8 @@ def encode_texts(docs: DataFrame, model: bytes, digests: bool = False) -> DataFr
         try:
             yield from per_batch(encode, schema, ["doc_id", "text"])(it)
         finally:
-            loaded(model).forget()  # a worker's memory is for the next task
+            loaded.cache_clear()  # a worker's memory is for the next task
+            released()
 
     schema = DIGESTS if digests else OUT
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "doc_id long, n_tokens long, ids array<int>, decoded string")

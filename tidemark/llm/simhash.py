@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches_of, cut, groups, per_batch
+from tidemark.llm.common import batches_of, cut, groups, per_batch, tidy
 from tidemark.llm.components import components
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -193,7 +193,7 @@ def near_duplicates(docs: DataFrame, most: int = 3) -> DataFrame:
                 u, v = [], []
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-    pairs = k.join(live, "key").select("key", "f").repartition("key").sortWithinPartitions("key").mapInArrow(linked, "u long, v long")
+    pairs = k.join(live, "key").select("key", "f").repartition("key").sortWithinPartitions("key").mapInArrow(tidy(linked), "u long, v long")
     roots = components(pairs)
     classes = nodes.join(roots, nodes["f"] == roots["node"], "left").select("f", "low", F.coalesce("root", "f").alias("root"))
     lows = classes.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -242,7 +242,7 @@ def jaccard_links(texts: DataFrame, least: float = 0.8) -> DataFrame:
             cols = list(zip(*rows, strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.list_(pa.int64()))], names=["th", "x", "ks"])
 
-    d = cut(texts.select("th", "text").mapInArrow(sets, "th long, x binary, ks array<long>"), "shingle-sets")
+    d = cut(texts.select("th", "text").mapInArrow(tidy(sets), "th long, x binary, ks array<long>"), "shingle-sets")
     k = cut(d.select("th", F.explode("ks").alias("key")), "bands")
     live = k.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     pairs = cut(k.join(live, "key"), "live-bands")
@@ -264,4 +264,4 @@ def jaccard_links(texts: DataFrame, least: float = 0.8) -> DataFrame:
                 u, v = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-    return pairs.join(d.select("th", "x"), "th").repartition("key").sortWithinPartitions("key").mapInArrow(linked, "u long, v long")
+    return pairs.join(d.select("th", "x"), "th").repartition("key").sortWithinPartitions("key").mapInArrow(tidy(linked), "u long, v long")

@@ -3,14 +3,15 @@
 Every window of the wanted size picks one anchor by its content alone: the least hashed gram in it. Equal windows pick
 equal anchors at equal places, so only texts around equal anchors are compared: their suffixes from the anchor on, and
 their reversed prefixes before it, are sorted by comparing prefix hashes, and neighbours' common extensions tell which
-windows occur twice.
+windows occur twice. Common extensions are verified by their bytes; strings that are only counted, by cryptographic
+digests (BLAKE2b, 128 bits), never by the short hashes that bring them together.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import cmp_to_key, lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import batches_of, cut, groups
+from tidemark.llm.common import batches_of, cut, groups, tidy
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -69,6 +70,10 @@ def runs(raw: bytes, size: int, gram: int) -> Iterator[tuple[int, int, int]]:
             yield s0 + lo, k, s0 + a
 
 
+def digest(raw: bytes) -> bytes:
+    return blake2b(raw, digest_size=16).digest()
+
+
 def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -153,7 +158,7 @@ def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
-OCC = pa.schema([("ah", pa.int64()), ("sh", pa.int64()), ("doc", pa.int64()), ("th", pa.int64()), ("lo", pa.int32()), ("n", pa.int32()), ("off", pa.int32())])
+OCC = pa.schema([("ah", pa.int64()), ("sh", pa.binary()), ("doc", pa.int64()), ("th", pa.int64()), ("lo", pa.int32()), ("n", pa.int32()), ("off", pa.int32())])
 
 
 def repeated_spans(docs: DataFrame, size: int = 400, gram: int = 100, together: int = 1000) -> DataFrame:
@@ -167,11 +172,11 @@ def repeated_spans(docs: DataFrame, size: int = 400, gram: int = 100, together:
             for doc, th, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 raw = text.encode()
                 for lo, n, a in runs(raw, size, gram):
-                    for o, x in zip(out, (signed(xxhash.xxh3_64_intdigest(raw[a : a + gram])), signed(xxhash.xxh3_64_intdigest(raw[lo : lo + n - 1 + size])), doc, th, lo, n, a - lo), strict=True):
+                    for o, x in zip(out, (signed(xxhash.xxh3_64_intdigest(raw[a : a + gram])), digest(raw[lo : lo + n - 1 + size]), doc, th, lo, n, a - lo), strict=True):
                         o.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, OCC, strict=True)], schema=OCC)
 
-    occ = cut(d.mapInArrow(occurrences, "ah long, sh long, doc long, th long, lo int, n int, off int"), "anchors")
+    occ = cut(d.mapInArrow(tidy(occurrences), "ah long, sh binary, doc long, th long, lo int, n int, off int"), "anchors")
     # written first, so that the join's larger side comes straight from a shuffle and a hot anchor can be split
     often = cut(occ.groupBy("ah").agg(F.count("*").alias("k")).where("k > 1").select("ah"), "anchors-often")
     occ = cut(occ.join(often, "ah"), "repeated-anchors")
@@ -195,7 +200,7 @@ def repeated_spans(docs: DataFrame, size: int = 400, gram: int = 100, together:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), STRINGS.types, strict=True)], schema=STRINGS)
 
     STRINGS = pa.schema([("ah", pa.int64()), ("m", pa.int64()), ("k", pa.int64()), ("doc", pa.int64()), ("th", pa.int64()), ("lo", pa.int32()), ("n", pa.int32()), ("off", pa.int32()), ("raw", pa.binary())])
-    got = text.join(per_doc, ["doc", "th"]).select("doc", "th", "text", "need").mapInArrow(strings, "ah long, m long, k long, doc long, th long, lo int, n int, off int, raw binary")
+    got = text.join(per_doc, ["doc", "th"]).select("doc", "th", "text", "need").mapInArrow(tidy(strings), "ah long, m long, k long, doc long, th long, lo int, n int, off int, raw binary")
     got = cut(got, "strings")
 
     def sorted_groups(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,14 +219,14 @@ def repeated_spans(docs: DataFrame, size: int = 400, gram: int = 100, together:
     def windows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             for ah, doc, th, lo, n, off, raw in zip(*(b.column(c).to_pylist() for c in ("ah", "doc", "th", "lo", "n", "off", "raw")), strict=True):
-                hs = [signed(xxhash.xxh3_64_intdigest(raw[t : t + size])) for t in range(n)]
-                yield pa.RecordBatch.from_arrays([pa.array([ah] * n), pa.array(hs, pa.int64()), pa.array([off - t for t in range(n)], pa.int32()), pa.array([doc] * n), pa.array([th] * n), pa.array([lo + t for t in range(n)], pa.int32())], names=["ah", "wh", "o", "doc", "th", "s"])
+                hs = [digest(raw[t : t + size]) for t in range(n)]
+                yield pa.RecordBatch.from_arrays([pa.array([ah] * n), pa.array(hs, pa.binary()), pa.array([off - t for t in range(n)], pa.int32()), pa.array([doc] * n), pa.array([th] * n), pa.array([lo + t for t in range(n)], pa.int32())], names=["ah", "wh", "o", "doc", "th", "s"])
 
     kind = "doc long, th long, s int, e int"
-    few = got.where(F.col("m") <= together).repartition("ah").sortWithinPartitions("ah").mapInArrow(sorted_groups, kind)
+    few = got.where(F.col("m") <= together).repartition("ah").sortWithinPartitions("ah").mapInArrow(tidy(sorted_groups), kind)
     # anchors in more different strings than one task should sort: their windows one by one
-    each = got.where(F.col("m") > together).mapInArrow(windows, "ah long, wh long, o int, doc long, th long, s int")
-    twice = each.groupBy("ah", "wh", "o").agg(F.count("*").alias("k")).where("k > 1").select("ah", "wh", "o")
+    each = cut(got.where(F.col("m") > together).mapInArrow(tidy(windows), "ah long, wh binary, o int, doc long, th long, s int"), "windows")
+    twice = cut(each.groupBy("ah", "wh", "o").agg(F.count("*").alias("k")).where("k > 1").select("ah", "wh", "o"), "windows-twice")
     many = each.join(twice, ["ah", "wh", "o"]).select("doc", "th", "s", (F.col("s") + size).alias("e"))
     return whole.union(few).union(many)
 
@@ -240,56 +245,108 @@ def near(d: DataFrame, some: DataFrame, kind: str = "left_semi") -> DataFrame:
     return d.withColumn("_b", bucket(d)).join(F.broadcast(some.select(bucket(some).alias("_b")).distinct()), "_b", kind).drop("_b")
 
 
-WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+BLANK = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+
+
+def word_spans(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start and end."""
+    blank = np.ones(len(raw) + 2, bool)
+    blank[1:-1] = BLANK[np.frombuffer(raw, np.uint8)]
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    return edges[::2], edges[1::2]
+
+
+def word_runs(raw: bytes, words: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Of runs of windows of so many words with one anchor: the first bytes, those after the last, and the anchors' hashes. Anchors are picked by words alone, whatever white space parts them."""
+    starts, ends = word_spans(raw)
+    if len(starts) < words:
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
+    h = prefix_hashes(raw)
+    size = 1 << max(10, len(raw).bit_length())
+    token = mix((h[ends] - h[starts]) * powers(size, int(INVERSE))[starts])
+    h = np.zeros(len(token) + 1, np.uint64)
+    np.cumsum(token * powers(size, int(BASE))[: len(token)], out=h[1:])
+    n = len(token) - gram + 1
+    g = mix((h[gram:] - h[:n]) * powers(size, int(INVERSE))[:n])
+    low = (g & np.uint64(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)  # of equal ones the leftmost
+    wide, length = words - gram + 1, 1
+    while length * 2 <= wide:
+        low = np.minimum(low[:-length], low[length:])
+        length *= 2
+    count = len(token) - words + 1
+    own = (np.minimum(low[:count], low[wide - length : wide - length + count]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    first = np.concatenate(([0], np.flatnonzero(np.diff(own)) + 1))
+    last = np.append(first[1:], count) - 1
+    return starts[first], ends[last + words - 1], g[own[first]]
 
 
 def repeated_passages(docs: DataFrame, words: int) -> DataFrame:
-    """doc, th, s, e as repeated_spans: the runs of so many whole words that also stand, byte for byte, elsewhere.
+    """doc, th, s, e as repeated_spans: the runs of so many whole words that also stand elsewhere, whatever white space parts them.
 
-    Such a run has 2 * words - 1 bytes at least, so it lies within spans of repeated strings of that size; only there are
-    its places hashed and counted.
+    Windows of words pick anchors as windows of bytes do. Texts around an anchor that are the same count as a whole;
+    those that differ have their windows counted one by one, each by its digest, so that no anchor meets in one task.
     """
-    size = 2 * words - 1
-    spans = cut(repeated_spans(docs, size, max(1, size // 4)), "short-spans").groupBy("doc", "th").agg(F.collect_list(F.struct("s", "e")).alias("found"))
-    spans = cut(spans, "short-document-spans")
-    d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), F.xxhash64("text").alias("th"), "text").where(F.octet_length("text") >= size)
+    batches_of(docs.sparkSession)
+    gram = max(1, words // 4)
+    d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), F.xxhash64("text").alias("th"), "text").where(F.octet_length("text") >= 2 * words - 1)
+    kind = pa.schema([("ah", pa.int64()), ("sh", pa.binary()), ("doc", pa.int64()), ("th", pa.int64()), ("s", pa.int32()), ("e", pa.int32())])
 
-    def runs_of_words(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def occurrences(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            for doc, th, text, found in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            out: list[list] = [[] for _ in kind.names]
+            for doc, th, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                raw = text.encode()
+                s, e, ah = word_runs(raw, words, gram)
+                s, e = s.tolist(), e.tolist()
+                for o, x in zip(out, (ah.view(np.int64).tolist(), [digest(b" ".join(raw[x:y].split())) for x, y in zip(s, e, strict=True)], [doc] * len(s), [th] * len(s), s, e), strict=True):
+                    o.extend(x)
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, kind, strict=True)], schema=kind)
+
+    occ = cut(d.mapInArrow(tidy(occurrences), "ah long, sh binary, doc long, th long, s int, e int"), "word-anchors")
+    often = cut(occ.groupBy("ah").agg(F.count("*").alias("k")).where("k > 1").select("ah"), "word-anchors-often")
+    occ = cut(occ.join(often, "ah"), "repeated-word-anchors")
+    classes = cut(occ.groupBy("ah", "sh").agg(F.count("*").alias("k"), F.min(F.struct("doc", "th", "s", "e")).alias("one")), "word-classes")
+    whole = occ.join(classes.where("k > 1").select("ah", "sh"), ["ah", "sh"]).select("doc", "th", "s", "e")
+    open_ = cut(classes.groupBy("ah").agg(F.count("*").alias("m"), F.sum((F.col("k") == 1).cast("long")).alias("single")).where("m > 1 and single > 0").select("ah"), "word-anchors-open")
+    need = classes.join(open_, "ah").select((F.col("k") == 1).alias("single"), "one.*")
+    need = cut(need.groupBy("doc", "th").agg(F.collect_list(F.struct("single", "s", "e")).alias("need")), "open-word-anchors")
+    found = pa.schema([("wh", pa.binary()), ("single", pa.bool_()), ("doc", pa.int64()), ("th", pa.int64()), ("s", pa.int32()), ("e", pa.int32())])
+
+    def windows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            for doc, th, text, parts in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 raw = text.encode()
-                for s, e in joined([(x["s"], x["e"]) for x in found]):
-                    at = [m.span() for m in WORD.finditer(raw, s, e)]
-                    if at and at[0][0] == s > 0 and WORD.match(raw, s - 1):  # cut by the span's start
-                        at = at[1:]
-                    if at and at[-1][1] == e and WORD.match(raw, e):
-                        at = at[:-1]
-                    w = [(x[0], y[1]) for x, y in zip(at, at[words - 1 :], strict=False)]
-                    if w:
-                        yield pa.RecordBatch.from_arrays([pa.array([signed(xxhash.xxh3_64_intdigest(raw[x:y])) for x, y in w], pa.int64()), pa.array([doc] * len(w), pa.int64()), pa.array([th] * len(w), pa.int64()), pa.array([x for x, _ in w], pa.int32()), pa.array([y for _, y in w], pa.int32())], names=["wh", "doc", "th", "s", "e"])
-
-    got = near(d, spans).join(spans, ["doc", "th"]).select("doc", "th", "text", "found").mapInArrow(runs_of_words, "wh long, doc long, th long, s int, e int")
-    got = cut(got, "word-runs")
-    twice = got.groupBy("wh").agg(F.count("*").alias("k")).where("k > 1").select("wh")
-    return got.join(twice, "wh").select("doc", "th", "s", "e")
-
-
-def remove_repeats(docs: DataFrame, size: int = 400, as_text: bool = False, words: int | None = None) -> DataFrame:
+                for x in parts:
+                    starts, ends = word_spans(raw[x["s"] : x["e"]])
+                    ws = raw[x["s"] : x["e"]].split()
+                    n = len(ws) - words + 1
+                    hs = [digest(b" ".join(ws[i : i + words])) for i in range(n)]
+                    yield pa.RecordBatch.from_arrays([pa.array(hs, pa.binary()), pa.array([x["single"]] * n, pa.bool_()), pa.array([doc] * n, pa.int64()), pa.array([th] * n, pa.int64()), pa.array((starts[:n] + x["s"]).astype(np.int32)), pa.array((ends[words - 1 :] + x["s"]).astype(np.int32))], schema=found)
+
+    each = near(d, need).join(need, ["doc", "th"]).select("doc", "th", "text", "need").mapInArrow(tidy(windows), "wh binary, single boolean, doc long, th long, s int, e int")
+    each = cut(each, "word-windows")
+    twice = cut(each.groupBy("wh").agg(F.count("*").alias("k")).where("k > 1").select("wh"), "word-windows-twice")
+    return whole.union(each.where("single").join(twice, "wh").select("doc", "th", "s", "e"))
+
+
+def remove_repeats(docs: DataFrame, size: int = 400, as_text: bool = False, words: int | None = None, told: bool = False) -> DataFrame:
     """doc_id, n_bytes, spans (of s, e) and kept (binary) of each row of docs (doc_id, text); or all columns of docs, text being what is kept, without characters that a cut splits, and spans (as_text).
 
     Removed is each byte of the text's UTF-8 that a string of size bytes covers which also starts anywhere else, in any
-    row or the same one, or (words) a run of so many whole words that also stands elsewhere; all judged on the input. Kept are the other bytes in their order; a cut may split a character.
-    Null texts count as empty; texts shorter than size keep all. Rows with equal ids are different texts, repeated rows
-    copies of each other. Texts may be of any length; other columns are left out; empty tables give no rows.
-
-    Documents' anchors (some 2 per 300 bytes) are shuffled as numbers; strings only around anchors that occur in
-    different strings, one for each. An anchor in more strings than one task should sort has its windows counted singly.
-    Texts are shuffled only near those with something to remove.
+    row or the same one, and (words) each run of so many whole words that also stands elsewhere, whatever white space
+    parts them; all judged on the input. With told, such runs of words stay, and n_passages counts the maximal ones.
+    Kept are the other bytes in their order; a cut may split a character. Null texts count as empty; shorter texts keep
+    all. Rows with equal ids are different texts, repeated rows copies of each other. Texts may be of any length; other
+    columns are left out; empty tables give no rows.
+
+    Documents' anchors (some 2 per 300 bytes, 2 per 40 words) are shuffled as numbers; strings only around anchors that
+    occur in different strings, one for each. An anchor in more strings than one task should sort has its windows
+    counted singly. Texts are shuffled only near those with something to remove.
     """
-    spans = repeated_spans(docs, size)
+    spans = repeated_spans(docs, size).withColumn("w", F.lit(False))
     if words:
-        spans = spans.union(repeated_passages(docs, words))
-    spans = cut(spans, "spans").groupBy("doc", "th").agg(F.collect_list(F.struct("s", "e")).alias("found"))
+        spans = spans.union(repeated_passages(docs, words).withColumn("w", F.lit(told)))
+    spans = cut(spans, "spans").groupBy("doc", "th").agg(F.collect_list(F.struct("s", "e", "w")).alias("found"))
     spans = cut(spans, "document-spans").select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), F.col("found").alias("_found"))
     text = F.coalesce("text", F.lit(""))
     d = (docs.drop("spans") if as_text else docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_doc"), F.xxhash64("text").alias("_th"))
@@ -299,27 +356,29 @@ def remove_repeats(docs: DataFrame, size: int = 400, as_text: bool = False, word
     def remove(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             place = b.schema.get_field_index
-            sizes, done, kept = [], [], []
+            sizes, done, kept, passages = [], [], [], []
             for t, found in zip(b.column(place("text")).to_pylist(), b.column(place("_found")).to_pylist(), strict=True):
                 raw = (t or "").encode()
-                out = joined([(x["s"], x["e"]) for x in found or []])
+                out = joined([(x["s"], x["e"]) for x in found or [] if not x["w"]])
                 sizes.append(len(raw))
                 done.append([{"s": s, "e": e} for s, e in out])
                 kept.append(b"".join(raw[e:s] for e, s in zip([0, *(e for _, e in out)], [*(s for s, _ in out), len(raw)], strict=True)))
+                passages.append(len(joined([(x["s"], x["e"]) for x in found or [] if x["w"]])))
             done_ = pa.array(done, pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())])))
             if as_text:
                 new = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())
                 yield pa.RecordBatch.from_arrays([*(new if n == "text" else b.column(place(n)) for n in names), done_], names=[*names, "spans"])
             else:
-                yield pa.RecordBatch.from_arrays([b.column(place("doc_id")), pa.array(sizes, pa.int64()), done_, pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
+                more = [pa.array(passages, pa.int64())] if told else []
+                yield pa.RecordBatch.from_arrays([b.column(place("doc_id")), pa.array(sizes, pa.int64()), done_, pa.array(kept, pa.binary()), *more], names=["doc_id", "n_bytes", "spans", "kept", *(["n_passages"] if told else [])])
 
     span_list = "array<struct<s:bigint,e:bigint>>"
     none = F.expr(f"cast(array() as {span_list})").alias("spans")
     if as_text:
         out = T.StructType([*kinds, T.StructField("spans", T.ArrayType(T.StructType([T.StructField("s", T.LongType()), T.StructField("e", T.LongType())])))])
     else:
-        out = f"doc_id long, n_bytes long, spans {span_list}, kept binary"
-    touched = near(d, spans).join(spans, ["_doc", "_th"], "left").select(*dict.fromkeys([*names, "text"]), "_found").mapInArrow(remove, out)
+        out = f"doc_id long, n_bytes long, spans {span_list}, kept binary" + (", n_passages long" if told else "")
+    touched = near(d, spans).join(spans, ["_doc", "_th"], "left").select(*dict.fromkeys([*names, "text"]), "_found").mapInArrow(tidy(remove), out)
     rest = near(d, spans, "left_anti")
-    rest = rest.select(*(text.alias("text") if n == "text" else F.col(n) for n in names), none) if as_text else rest.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), none, text.cast("binary").alias("kept"))
+    rest = rest.select(*(text.alias("text") if n == "text" else F.col(n) for n in names), none) if as_text else rest.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), none, text.cast("binary").alias("kept"), *([F.lit(0).cast("long").alias("n_passages")] if told else []))
     return rest.union(touched)
