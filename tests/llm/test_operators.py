@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -193,9 +194,28 @@ def test_op4(spark, sf, edge, empty):
     assert all(0 <= x["score"] <= 1 and x["predicted"] == int(x["score"] >= 0.5) for x in got.values())
     assert toxicity.score_texts(edge, labels, F.lit(True)).count() == len(EDGE)
     none = labels.limit(0)
+    assert {r["predicted"] for r in toxicity.score_texts(edge, labels.where("toxic = 1").join(d.limit(0), "doc_id", "left_anti"), F.lit(True)).collect()} <= {0, 1}
     assert toxicity.score_texts(edge, none, F.lit(True)).agg(F.max("score")).first()[0] == 0 and toxicity.score_texts(empty, none, F.lit(True)).count() == 0
 
 
+def test_op4_windows_by_dictionaries():
+    """The dictionaries are the trainer's, the toxic one holds its words in their frames, and savings are differences of compressed lengths."""
+    rng = random.Random(1)
+    names = ["".join(rng.choice("aeinrstlo") for _ in range(rng.randint(4, 9))).encode() for _ in range(2000)]
+    bad = [b"zorgblat", b"quuxfrum", b"blixnark"]
+    texts = [tuple(sorted(set(rng.choices(names, k=80)) | set(rng.sample(bad, 2) if i % 4 == 0 else []))) for i in range(800)]
+    o, t = toxicity.dictionaries(texts[::4], [x for i, x in enumerate(texts) if i % 4], toxicity.Setting())
+    assert all(toxicity.AROUND[-6:] + b in t and b not in o for b in bad) and o.startswith(b"\x37\xa4\x30\xec") and t.startswith(b"\x37\xa4\x30\xec")
+    gains = toxicity.savings(o, t)
+    for w in [*bad, *names[:200]]:
+        raw = toxicity.AROUND + w + toxicity.AROUND
+        want = [len(toxicity.coder(c).compress(raw)) for c in (o, t)]
+        assert gains[w] == want[0] - want[1]
+    assert min(gains[b] for b in bad) >= 3 and sum(gains[w] >= 3 for w in names) < 0.02 * len(names)
+    g = [gains[w] for w in toxicity.words("Zorgblat, " + names[0].decode())]
+    assert toxicity.features("Zorgblat, " + names[0].decode(), gains)[:2] == [min(6.0, max(0.0, x)) for x in sorted(g, reverse=True)]
+
+
 @pytest.fixture(scope="module")
 def model():
     return piece_bpe.model_bytes(public_tokenizers.path("piece_bpe_32k.model"))
@@ -331,6 +351,45 @@ def test_op8(page, want):
     assert html_text.main_text(page) == want
 
 
+def test_op8_two_passes_against_plain_search():
+    """Labels against a plain search for the nearest decided blocks; stop words, lengths and links decide, in articles too."""
+    rng = random.Random(2)
+    rules = html_text.Rules()
+    for _ in range(300):
+        found = [html_text.Block(" ".join(rng.choices(["the", "of", "and", "zork", "blim"], k=rng.choice([2, 8, 30, 80]))), 0, rng.choice(["open", "open", "away"]), rng.random() < 0.2) for _ in range(rng.randint(1, 12))]
+        for b in found:
+            b.linked = rng.choice([0, 0, 0, len(b.text) // 2])
+        first = [html_text.first_pass(b, rules) for b in found]
+        html_text.classify(found, rules)
+        for i, b in enumerate(found):
+            if first[i] in ("good", "bad"):
+                assert b.label == first[i]
+                continue
+            before = next((x for x in first[:i][::-1] if x in ("good", "bad")), "bad")
+            after = next((x for x in first[i + 1 :] if x in ("good", "bad")), "bad")
+            assert b.label == (before if before == after else "good" if first[i] == "near" or (b.heading and after == "good") else "bad")
+
+
+def test_op8_features_decide(monkeypatch):
+    body = "the cat is in the house and of the dog " * 8
+    odd = "zork blim quux frum " * 15
+    links = "<ul><li><a href=x>one more long link</a></li><li><a href=y>and another link</a></li></ul>"
+    page = f"<div><p>{body}</p><p>{odd}</p>{links}</div>"
+    assert html_text.main_text(page) == body.strip()
+    article = f"<article><p>{body}</p>{links}<p>Short.</p>{links}<p>{odd}</p></article>"
+    assert html_text.main_text(article) == f"{body.strip()}\n\n{odd.strip()}"  # links go, and what stands among them
+    monkeypatch.setattr(html_text, "STOP", frozenset())
+    assert html_text.main_text(page) == "" and html_text.main_text(article) == f"{body.strip()}\n\n{odd.strip()}"
+
+
+@pytest.mark.parametrize("part", ["<a ", "<a \"", "<a '\">", "<div>", "<script ", "<div class=\"", "<article><nav>", "<p>x</nav>", "</b><b>", "<!--"])
+def test_op8_hostile_pages_take_linear_time(part):
+    page = part * (400_000 // len(part))
+    began = time.perf_counter()
+    html_text.main_text(page)
+    assert time.perf_counter() - began < 10
+
+
 def test_op8_without_article(spark):
     body = "the cat is in the house and of the dog " * 8
     page = f"<p>short</p><p>{body}</p><p>between</p><p>{body}</p><div><a href=x>link link</a></div><p>end</p>"

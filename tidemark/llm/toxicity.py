@@ -1,9 +1,9 @@
 """Toxicity by compression distance: how much shorter a toxic dictionary makes a text's windows than an ordinary one.
 
-Both are zstandard dictionaries of raw content. The ordinary one holds the words that most ordinary training texts share;
-the toxic one is trained on toxic texts: the fewest words and word beginnings that cover them and that ordinary texts
-lack, before the same common ground. A window is one word between two fixed runs of words; a toxic word stands in the
-same runs in its dictionary, so that it is coded with the run before it and saves as many bytes as it has.
+Both dictionaries come from zstandard's trainer. The ordinary one is trained on the words of ordinary training texts. The
+toxic one is trained on windows of toxic training texts, of words that these have far more often than ordinary texts,
+and holds the ordinary one's content too. A window is one word between two fixed runs of words, so that a segment which
+the trainer picked is coded in one piece and what it saves isn't lost in the noise of its neighbours.
 """
 
 from __future__ import annotations
@@ -12,78 +12,72 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches_of, per_batch
+from tidemark.llm.common import batches_of, cut, per_batch, tidy
 from tidemark.llm.piece_bpe import Recent
 
 #: ASCII letters lower-cased, other ASCII but digits to spaces.
 PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
 #: What stands around a word in its window; both dictionaries hold it.
 AROUND = b" the of and in that "
-STARTS = (4, 5, 6, 7)
 
 
 @dataclass(frozen=True)
 class Setting:
-    """toxic and ordinary: labelled rows that are learned from, at most; a fourth of them only calibrates. common: words of the ordinary dictionary. share: of the toxic texts that a segment must add; ratio: how much more often toxic texts must have it. cover: segments wanted for each toxic text. candidates are looked at for segments, forms of the chosen beginnings added."""
+    """toxic and ordinary: labelled rows that are learned from, at most; a fourth of them only calibrates. share: of the toxic texts that must have a word (least: so many at least) whose windows train the toxic dictionary; ratio: how much more often they must have it than ordinary texts; longest: longer words train none. toxic_bytes, ordinary_bytes and segment: the trainer's sizes."""
 
     toxic: int = 1500
     ordinary: int = 6000
-    common: int = 1200
-    share: float = 0.02
+    share: float = 0.025
+    least: int = 4
     ratio: float = 12.0
-    cover: int = 3
-    candidates: int = 3000
-    forms: int = 150
+    longest: int = 24
+    toxic_bytes: int = 1536
+    ordinary_bytes: int = 8192
+    segment: int = 44
 
 
 def words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(PLAIN).split()
 
 
-def grams(ws: set[bytes]) -> set[bytes]:
-    """The words, ended by a space, and their beginnings."""
-    return {w + b" " for w in ws} | {w[:n] for w in ws for n in STARTS if len(w) > n}
+def window(word: bytes) -> bytes:
+    return AROUND + word + AROUND
 
 
-def pick_segments(texts: list[set[bytes]], ordinary: dict[bytes, float], setting: Setting) -> list[bytes]:
-    """Greedily the candidates that most toxic texts (their candidate sets) still want, as long as they add their share; of nearly equal ones the longest."""
-    inside: dict[bytes, list[int]] = {}
-    for i, t in enumerate(texts):
-        for g in t:
-            inside.setdefault(g, []).append(i)
-    have = np.zeros(len(texts), np.int64)
-    out: list[bytes] = []
-    while inside:
-        gain = {g: int((have[at] < setting.cover).sum()) - 3 * ordinary.get(g, 0.0) * len(texts) for g, at in inside.items()}
-        most = max(gain.values())
-        if most < max(3, setting.share * len(texts)):
-            break
-        g = max((g for g, x in gain.items() if x >= 0.85 * most), key=lambda g: (len(g), g))
-        out.append(g)
-        have[inside[g]] += 1
-        stem = g.rstrip()
-        inside = {k: v for k, v in inside.items() if not k.startswith(stem) and not stem.startswith(k.rstrip())}
-    return out
+def trained(samples: list[bytes], size: int, segment: int) -> bytes:
+    """A dictionary by zstandard's trainer; of too few samples for it, their commonest ones, the very commonest last."""
+    try:
+        return zstandard.train_dictionary(size, samples, k=segment, d=8).as_bytes()
+    except zstandard.ZstdError:
+        n = Counter(samples)
+        return b"".join(sorted(n, key=lambda x: (n[x], x)))[-size:]
+
 
+def dictionaries(toxic: list[tuple[bytes, ...]], ordinary: list[tuple[bytes, ...]], setting: Setting) -> tuple[bytes, bytes]:
+    """The contents of the ordinary and the toxic dictionary, from the distinct words of texts of both kinds, in order."""
+    base = trained([b" " + b" ".join(t) + b" " for t in ordinary if t], setting.ordinary_bytes, setting.segment + 4) + AROUND * 2
+    have, lack = Counter(w for t in toxic for w in t), Counter(w for t in ordinary for w in t)
+    need = max(setting.least, int(setting.share * len(toxic)))
+    own = {w for w, n in have.items() if n >= need and 4 <= len(w) <= setting.longest and n / len(toxic) > setting.ratio * (lack[w] + 0.2) / max(1, len(ordinary))}
+    return base, trained([window(w) for t in toxic for w in t if w in own], setting.toxic_bytes, setting.segment) + b" " + base
 
-@lru_cache(2)
-def coders(ordinary: bytes, toxic: bytes) -> Recent:
-    """Bytes that the toxic dictionary saves on a word's window."""
 
-    def coder(content: bytes) -> zstandard.ZstdCompressor:
-        how = zstandard.ZstdCompressionParameters(window_log=15, hash_log=14, chain_log=15, search_log=8, min_match=4, target_length=32, strategy=zstandard.STRATEGY_GREEDY, write_checksum=False, write_content_size=False, write_dict_id=False)
-        return zstandard.ZstdCompressor(compression_params=how, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+def coder(content: bytes) -> zstandard.ZstdCompressor:
+    how = zstandard.ZstdCompressionParameters(window_log=17, hash_log=16, chain_log=17, search_log=8, min_match=4, target_length=32, strategy=zstandard.STRATEGY_LAZY2, write_checksum=False, write_content_size=False, write_dict_id=False)
+    return zstandard.ZstdCompressor(compression_params=how, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
 
+
+def savings(ordinary: bytes, toxic: bytes) -> Recent:
+    """Bytes that the toxic dictionary saves on a word's window, for the words used last."""
     o, t = coder(ordinary), coder(toxic)
-    return Recent(lambda w: len(o.compress(AROUND + w + AROUND)) - len(t.compress(AROUND + w + AROUND)), 400_000, 64)
+    return Recent(lambda w: len(o.compress(window(w))) - len(t.compress(window(w))), 150_000, 64)
 
 
 def features(text: str | None, gains: Recent) -> list[float]:
@@ -114,66 +108,59 @@ def score_texts(docs: DataFrame, labels: DataFrame, train: Column, setting: Sett
     """doc_id, score (0 to 1) and predicted (1 from 0.5 on) of each row of docs (doc_id, text).
 
     labels (doc_id, toxic) are learned from where train holds of a doc_id, from at most so many rows of each label as
-    setting has, those whose ids hash lowest. Of a doc_id with several labels the greater counts; null ids, null labels
-    and labels without a document teach nothing. With only one label to learn, every score is 0 or 1 accordingly, with
-    none 0. Null and empty texts have no windows and the score of such texts. Repeated rows get equal scores; other
-    columns are left out. Texts are scored whole, where they are read; nothing but the sample's counts is shuffled.
+    setting has, those whose ids hash lowest. Of a doc_id with several labels the greater counts, with several texts the
+    least; null ids, null labels and labels without a document teach nothing. With only one label to learn, every score
+    is 0 or 1 accordingly, with none 0. Null and empty texts have no windows and the score of such texts. Repeated rows
+    get equal scores, empty tables give no rows; other columns are left out. Texts are scored whole, where they are read;
+    the sample is written once, its dictionaries are trained in one task, and only they and the calibrating rows'
+    features go to the driver.
     """
-    spark = docs.sparkSession
-    batches_of(spark)
+    batches_of(docs.sparkSession)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    told = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).where(train).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("y"))
-    told = told.withColumn("r", F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id"))).where(F.col("r") <= F.when(F.col("y") == 1, setting.toxic).otherwise(setting.ordinary))
-    told = told.select("doc_id", "y", (F.col("r") % 4 == 0).alias("last"))
-    sample = d.join(F.broadcast(told), "doc_id").dropDuplicates(["doc_id"])  # rows of the sample at most
+    told = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).where(train).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).cast("int").alias("y"))
+    pick = lambda y, n: told.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    told = pick(1, setting.toxic).union(pick(0, setting.ordinary)).withColumn("last", F.pmod(F.xxhash64("doc_id", F.lit("last")), F.lit(4)) == 0)
+    sample = d.join(F.broadcast(told), "doc_id").groupBy("doc_id").agg(F.min(F.struct("y", "last", "text")).alias("x"))
+    sample = cut(sample.select("x.y", "x.last", "x.text"), "toxicity-sample")
     n = {(r["y"], r["last"]): r["n"] for r in sample.groupBy("y", "last").agg(F.count("*").alias("n")).collect()}
-    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("predicted", pa.int32())])
-    kind = "doc_id long, score double, predicted int"
     nt, no = n.get((1, False), 0), n.get((0, False), 0)
     if not nt or not no:
         s = 1.0 if nt else 0.0
         return d.select("doc_id", F.lit(s).alias("score"), F.lit(int(s)).alias("predicted"))
 
-    def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[tuple[bytes, int]] = Counter()
+    def learn(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, bytes] = {}
+        texts: tuple[list, list] = ([], [])
         for b in it:
             for text, y in zip(b.column("text").to_pylist(), b.column("y").to_pylist(), strict=True):
-                held.update((g, y) for g in grams(set(words(text))))
-            if len(held) > 500_000:
-                yield counted(held)
-        yield counted(held)
-
-    def counted(held: Counter) -> pa.RecordBatch:
-        ks = list(held)
-        out = pa.RecordBatch.from_arrays([pa.array([k[0] for k in ks], pa.binary()), pa.array([held[k] if k[1] else 0 for k in ks], pa.int64()), pa.array([0 if k[1] else held[k] for k in ks], pa.int64())], names=["g", "t", "o"])
-        held.clear()
-        return out
-
-    learn = sample.where("not last").select("text", "y")
-    counts = learn.mapInArrow(count, "g binary, t long, o long").groupBy("g").agg(F.sum("t").alias("t"), F.sum("o").alias("o")).cache()
-    z = (F.col("t") - (F.col("t") + F.col("o")) * nt / (nt + no)) / F.sqrt(F.col("t") + F.col("o"))
-    found = counts.where((F.col("t") >= max(4, setting.share * nt / 2)) & (F.col("t") / nt > setting.ratio * (F.col("o") + 0.2) / no)).orderBy(z.desc(), "g").limit(setting.candidates).collect()
-    shared = [bytes(r["g"]) for r in counts.where("endswith(g, X'20')").orderBy(F.desc("o"), "g").limit(setting.common).collect()]
-    counts.unpersist()
-    candidates = {bytes(r["g"]): r["o"] / no for r in found}
-    has = [{g for g in grams(set(words(r["text"]))) if g in candidates} for r in learn.where("y = 1").select("text").toLocalIterator()]
-    segments = pick_segments(has, candidates, setting)
-    stems = tuple(g for g in segments if not g.endswith(b" "))
-    segments += [g for g in candidates if g.startswith(stems) and g not in segments][: setting.forms] if stems else []
-    common = b" ".join(g.rstrip() for g in reversed(shared)) + AROUND * 2
-    toxic = b"".join(AROUND + (g + AROUND[1:] if g.endswith(b" ") else g) for g in segments) + b" " + common
+                texts[y].append(tuple(known.setdefault(w, w) for w in sorted(set(words(text)))))
+        if texts[0] or texts[1]:
+            got = dictionaries(sorted(texts[1]), sorted(texts[0]), setting)
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in got], names=["o", "t"])
+
+    got = sample.where("not last").select("text", "y").repartition(1).mapInArrow(tidy(learn), "o binary, t binary").first()  # rows of the sample at most
+    common, toxic = bytes(got["o"]), bytes(got["t"])
 
     def measured(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gains = coders(common, toxic)
+        gains = savings(common, toxic)
         for b in it:
             yield pa.RecordBatch.from_arrays([pa.array([features(t, gains) for t in b.column("text").to_pylist()], pa.list_(pa.float64())), b.column("y")], names=["x", "y"])
 
-    rows = sample.where("last").select("text", "y").mapInArrow(measured, "x array<double>, y int").collect() or sample.select("text", "y").mapInArrow(measured, "x array<double>, y int").collect()
-    w = fit(np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows], float))
+    kind = "x array<double>, y int"
+    rows = sample.where("last").select("text", "y").mapInArrow(tidy(measured), kind).collect()
+    if len({r["y"] for r in rows}) < 2:
+        rows = sample.select("text", "y").mapInArrow(tidy(measured), kind).collect()
+    rows = sorted((r["y"], *r["x"]) for r in rows)
+    w = fit(np.array([r[1:] for r in rows]), np.array([r[0] for r in rows], float))
+    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("predicted", pa.int32())])
+
+    def scored(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gains = savings(common, toxic)
+
+        def judge(ids: list[int], texts: list[str | None]) -> list:
+            s = [1 / (1 + math.exp(-max(-30.0, min(30.0, float(np.dot(w[:-1], features(t, gains)) + w[-1]))))) for t in texts]
+            return [ids, s, [int(x >= 0.5) for x in s]]
 
-    def scored(ids: list[int], texts: list[str | None]) -> list:
-        gains = coders(common, toxic)
-        s = [1 / (1 + math.exp(-max(-30.0, min(30.0, float(np.dot(w[:-1], features(t, gains)) + w[-1]))))) for t in texts]
-        return [ids, s, [int(x >= 0.5) for x in s]]
+        return per_batch(judge, schema, ["doc_id", "text"])(it)
 
-    return d.mapInArrow(per_batch(scored, schema, ["doc_id", "text"]), kind)
+    return d.mapInArrow(scored, "doc_id long, score double, predicted int")
