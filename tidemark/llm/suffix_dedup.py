@@ -4,7 +4,8 @@ Every window of the wanted size picks one anchor by its content alone: the least
 equal anchors at equal places, so only texts around equal anchors are compared: their suffixes from the anchor on, and
 their reversed prefixes before it, are sorted by comparing prefix hashes, and neighbours' common extensions tell which
 windows occur twice. Common extensions are verified by their bytes; strings that are only counted, by cryptographic
-digests (BLAKE2b, 128 bits), never by the short hashes that bring them together.
+digests (BLAKE2b, 128 bits), never by the short hashes that bring them together. Runs of words, an addition, compare by
+two independent polynomial hashes, 128 bits in all.
 """
 
 from __future__ import annotations
@@ -24,24 +25,31 @@ from tidemark.llm.common import batches_of, cut, groups, tidy
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: A second pair, for hashes of words that don't depend on the first.
+BASE2 = np.uint64(0xC2B2AE3D27D4EB4F)
+INVERSE2 = np.uint64(pow(0xC2B2AE3D27D4EB4F, -1, 1 << 64))
 #: So many windows of a text are looked at together; more only bounds memory, runs of windows end there.
 PIECE = 1 << 19
 #: Documents meet small tables by a hash of so many values, whatever their number.
 BUCKETS = 1 << 20
 
 
-@lru_cache(2)
+@lru_cache(4)
 def powers(n: int, base: int) -> np.ndarray:
     p = np.full(n, base, np.uint64)
     p[:1] = 1
     return np.cumprod(p)
 
 
-def prefix_hashes(raw: bytes) -> np.ndarray:
-    """Polynomial hashes of all prefixes, modulo 2^64; hash n is of the first n bytes."""
+def room(n: int) -> int:
+    return 1 << max(10, n.bit_length())
+
+
+def prefix_hashes(raw: bytes | np.ndarray, base: np.uint64 = BASE) -> np.ndarray:
+    """Polynomial hashes of all prefixes, of bytes or numbers, modulo 2^64; hash n is of the first n."""
     h = np.zeros(len(raw) + 1, np.uint64)
-    size = 1 << max(10, len(raw).bit_length())
-    np.cumsum((np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1)) * powers(size, int(BASE))[: len(raw)], out=h[1:])
+    x = raw if isinstance(raw, np.ndarray) else np.frombuffer(raw, np.uint8).astype(np.uint64)
+    np.cumsum((x + np.uint64(1)) * powers(room(len(raw)), int(base))[: len(raw)], out=h[1:])
     return h
 
 
@@ -256,77 +264,86 @@ def word_spans(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def word_runs(raw: bytes, words: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Of runs of windows of so many words with one anchor: the first bytes, those after the last, and the anchors' hashes. Anchors are picked by words alone, whatever white space parts them."""
-    starts, ends = word_spans(raw)
-    if len(starts) < words:
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
-    h = prefix_hashes(raw)
-    size = 1 << max(10, len(raw).bit_length())
-    token = mix((h[ends] - h[starts]) * powers(size, int(INVERSE))[starts])
-    h = np.zeros(len(token) + 1, np.uint64)
-    np.cumsum(token * powers(size, int(BASE))[: len(token)], out=h[1:])
-    n = len(token) - gram + 1
-    g = mix((h[gram:] - h[:n]) * powers(size, int(INVERSE))[:n])
+class Words:
+    """Places of a text's words, and hashes of runs of them, whatever white space parts them."""
+
+    def __init__(self, raw: bytes) -> None:
+        self.starts, self.ends = word_spans(raw)
+        self.size = room(len(raw))
+        h = prefix_hashes(raw)
+        token = mix((h[self.ends] - h[self.starts]) * powers(self.size, int(INVERSE))[self.starts])
+        self.sums = [(prefix_hashes(token), INVERSE), (prefix_hashes(mix(token + BASE2), BASE2), INVERSE2)]
+
+    def hashes(self, first: np.ndarray | slice, after: np.ndarray | slice) -> list[np.ndarray]:
+        """Two hashes of the runs from each first word to before each after."""
+        return [mix((h[after] - h[first]) * powers(self.size, int(inverse))[: len(h)][first]) for h, inverse in self.sums]
+
+
+def word_runs(w: Words, words: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of runs of windows of so many words with one anchor: the first word, that after the last, and the anchor's hash."""
+    n = len(w.starts) - gram + 1
+    g = w.hashes(slice(0, n), slice(gram, None))[0]
     low = (g & np.uint64(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)  # of equal ones the leftmost
     wide, length = words - gram + 1, 1
     while length * 2 <= wide:
         low = np.minimum(low[:-length], low[length:])
         length *= 2
-    count = len(token) - words + 1
+    count = len(w.starts) - words + 1
     own = (np.minimum(low[:count], low[wide - length : wide - length + count]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     first = np.concatenate(([0], np.flatnonzero(np.diff(own)) + 1))
-    last = np.append(first[1:], count) - 1
-    return starts[first], ends[last + words - 1], g[own[first]]
+    return first, np.append(first[1:], count) - 1 + words, g[own[first]]
 
 
 def repeated_passages(docs: DataFrame, words: int) -> DataFrame:
     """doc, th, s, e as repeated_spans: the runs of so many whole words that also stand elsewhere, whatever white space parts them.
 
     Windows of words pick anchors as windows of bytes do. Texts around an anchor that are the same count as a whole;
-    those that differ have their windows counted one by one, each by its digest, so that no anchor meets in one task.
+    those that differ have their windows counted one by one, so that no anchor meets in one task.
     """
     batches_of(docs.sparkSession)
-    gram = max(1, words // 4)
+    gram = max(1, words // 8)
     d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), F.xxhash64("text").alias("th"), "text").where(F.octet_length("text") >= 2 * words - 1)
-    kind = pa.schema([("ah", pa.int64()), ("sh", pa.binary()), ("doc", pa.int64()), ("th", pa.int64()), ("s", pa.int32()), ("e", pa.int32())])
+
+    def batch(names: list[str], parts: list[tuple]) -> pa.RecordBatch:
+        """Rows of arrays; a number stands for as many as the part has."""
+        kinds = [pa.int32() if n in ("s", "e") else pa.bool_() if n == "single" else pa.int64() for n in names]
+        cols = [np.concatenate([x if isinstance(x, np.ndarray) else np.full(len(p[0]), x) for p in parts for x in [p[i]]]) if parts else np.zeros(0, np.int64) for i in range(len(names))]
+        return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c).cast(k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
     def occurrences(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            out: list[list] = [[] for _ in kind.names]
+            parts = []
             for doc, th, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                raw = text.encode()
-                s, e, ah = word_runs(raw, words, gram)
-                s, e = s.tolist(), e.tolist()
-                for o, x in zip(out, (ah.view(np.int64).tolist(), [digest(b" ".join(raw[x:y].split())) for x, y in zip(s, e, strict=True)], [doc] * len(s), [th] * len(s), s, e), strict=True):
-                    o.extend(x)
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, kind, strict=True)], schema=kind)
+                w = Words(text.encode())
+                if len(w.starts) >= words:
+                    first, after, ah = word_runs(w, words, gram)
+                    parts.append((ah, *w.hashes(first, after), doc, th, w.starts[first], w.ends[after - 1]))
+            yield batch(["ah", "sh", "sh2", "doc", "th", "s", "e"], parts)
 
-    occ = cut(d.mapInArrow(tidy(occurrences), "ah long, sh binary, doc long, th long, s int, e int"), "word-anchors")
+    occ = cut(d.mapInArrow(tidy(occurrences), "ah long, sh long, sh2 long, doc long, th long, s int, e int"), "word-anchors")
     often = cut(occ.groupBy("ah").agg(F.count("*").alias("k")).where("k > 1").select("ah"), "word-anchors-often")
     occ = cut(occ.join(often, "ah"), "repeated-word-anchors")
-    classes = cut(occ.groupBy("ah", "sh").agg(F.count("*").alias("k"), F.min(F.struct("doc", "th", "s", "e")).alias("one")), "word-classes")
-    whole = occ.join(classes.where("k > 1").select("ah", "sh"), ["ah", "sh"]).select("doc", "th", "s", "e")
+    classes = cut(occ.groupBy("ah", "sh", "sh2").agg(F.count("*").alias("k"), F.min(F.struct("doc", "th", "s", "e")).alias("one")), "word-classes")
+    whole = occ.join(classes.where("k > 1").select("ah", "sh", "sh2"), ["ah", "sh", "sh2"]).select("doc", "th", "s", "e")
     open_ = cut(classes.groupBy("ah").agg(F.count("*").alias("m"), F.sum((F.col("k") == 1).cast("long")).alias("single")).where("m > 1 and single > 0").select("ah"), "word-anchors-open")
     need = classes.join(open_, "ah").select((F.col("k") == 1).alias("single"), "one.*")
     need = cut(need.groupBy("doc", "th").agg(F.collect_list(F.struct("single", "s", "e")).alias("need")), "open-word-anchors")
-    found = pa.schema([("wh", pa.binary()), ("single", pa.bool_()), ("doc", pa.int64()), ("th", pa.int64()), ("s", pa.int32()), ("e", pa.int32())])
 
     def windows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            for doc, th, text, parts in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                raw = text.encode()
-                for x in parts:
-                    starts, ends = word_spans(raw[x["s"] : x["e"]])
-                    ws = raw[x["s"] : x["e"]].split()
-                    n = len(ws) - words + 1
-                    hs = [digest(b" ".join(ws[i : i + words])) for i in range(n)]
-                    yield pa.RecordBatch.from_arrays([pa.array(hs, pa.binary()), pa.array([x["single"]] * n, pa.bool_()), pa.array([doc] * n, pa.int64()), pa.array([th] * n, pa.int64()), pa.array((starts[:n] + x["s"]).astype(np.int32)), pa.array((ends[words - 1 :] + x["s"]).astype(np.int32))], schema=found)
-
-    each = near(d, need).join(need, ["doc", "th"]).select("doc", "th", "text", "need").mapInArrow(tidy(windows), "wh binary, single boolean, doc long, th long, s int, e int")
+            for doc, th, text, need in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                w = Words(text.encode())
+                parts = []
+                for x in need:
+                    i, n = np.searchsorted(w.starts, x["s"]), np.searchsorted(w.ends, x["e"]) + 1
+                    n -= i + words - 1
+                    parts.append((*w.hashes(slice(i, i + n), slice(i + words, i + words + n)), x["single"], doc, th, w.starts[i : i + n], w.ends[i + words - 1 : i + words - 1 + n]))
+                yield batch(["wh", "wh2", "single", "doc", "th", "s", "e"], parts)
+
+    each = near(d, need).join(need, ["doc", "th"]).select("doc", "th", "text", "need").mapInArrow(tidy(windows), "wh long, wh2 long, single boolean, doc long, th long, s int, e int")
     each = cut(each, "word-windows")
-    twice = cut(each.groupBy("wh").agg(F.count("*").alias("k")).where("k > 1").select("wh"), "word-windows-twice")
-    return whole.union(each.where("single").join(twice, "wh").select("doc", "th", "s", "e"))
+    twice = cut(each.groupBy("wh", "wh2").agg(F.count("*").alias("k")).where("k > 1").select("wh", "wh2"), "word-windows-twice")
+    return whole.union(each.where("single").join(twice, ["wh", "wh2"]).select("doc", "th", "s", "e"))
 
 
 def remove_repeats(docs: DataFrame, size: int = 400, as_text: bool = False, words: int | None = None, told: bool = False) -> DataFrame:
