@@ -17,7 +17,7 @@ def col(c: Text) -> Column:
 
 
 def strip(c: Text) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(col(c), F.lit(" \t\n\x0b\f\r"))
 
 
 def collapse(c: Text) -> Column:
@@ -127,6 +127,11 @@ def normalize_keyword(c: Text) -> Column:
     return casefold(strip(collapse(F.replace(F.replace(s, F.lit("&"), F.lit(" and ")), F.lit("/"), F.lit(" ")))))
 
 
+def metric_key(c: Text) -> Column:
+    """The metrics' own form of a keyword: unlike the dictionary's it keeps dashes and slashes."""
+    return casefold(strip(collapse(F.replace(F.coalesce(col(c), F.lit("")), F.lit("&"), F.lit(" and ")))))
+
+
 def match_text(c: Text) -> Column:
     """The form that keywords are looked for in: its word tokens, lower-cased, one space apart."""
     s = F.regexp_replace(F.coalesce(c, F.lit("")), r"[-‐-―−]", " ")

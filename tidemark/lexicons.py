@@ -57,7 +57,6 @@ NUMBERED_HEADING = r"^\s*((?:\d+|[A-Z])(?:[.)]\d+)*[.)]?)\s+([A-Z][A-Za-z0-9&,\-
 PAGE_BREAK = r"(?i)\f|\n\s*[-–—]*\s*page\s+break\s*[-–—]*\s*\n"
 PAGE_MARK = r"(?i)\n\s*(?:page\s+)?\d{1,4}\s*\n"
 WORD = r"[\p{L}\p{N}]+(?:[&'-][\p{L}\p{N}]+)*"
-FINDABLE = {"financial_year": r"(?i)\b(?:FY|F\.Y\.|financial year)\s*[-:]?\s*(20\d{2})", "year": r"\b(?:19|20)\d{2}\b", "isin": r"\bIN[A-Z0-9]{10}\b", "email": r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b", "url": r"\bhttps?://[^\s<>()]+"}
 # The score's weights, and the keyword density that counts as full.
 WEIGHTS = {"keyword_density": 0.40, "category_coverage": 0.30, "section_coverage": 0.20, "keyword_diversity": 0.10}
 DENSITY_BENCHMARK = 10.0

@@ -46,14 +46,61 @@ def visible(df: DataFrame, chosen: DataFrame, key: str = "record_id") -> DataFra
     return df.join(chosen.select(key).distinct(), key, "left_semi")
 
 
-def enrich(df: DataFrame, lookup: DataFrame, key: str = "ticker", value: str = "industry") -> DataFrame:
-    """df with value from lookup by key in any case; of a key's rows the least value. Unknown: Not available."""
-    small = lookup.where(F.col(value).isNotNull()).groupBy(X.casefold(key).alias("_k")).agg(F.min(value).alias("_v"))
+def enrich(df: DataFrame, lookup: DataFrame, key: str = "ticker", value: str = "industry", order: str | None = None) -> DataFrame:
+    """df with value from lookup by key in any case; of a key's rows the first (by order, else as lookup is read). Unknown: Not available."""
+    place = F.col(order) if order else F.monotonically_increasing_id()
+    small = lookup.withColumn("_p", place).where(F.col(value).isNotNull()).groupBy(X.casefold(key).alias("_k")).agg(F.min_by(value, "_p").alias("_v"))
     j = df.withColumn("_k", X.casefold(key)).join(small, "_k", "left")
     own = F.col(value) if value in df.columns else F.lit(None).cast("string")
     return j.withColumn(value, F.coalesce(own, F.col("_v"), F.lit("Not available"))).drop("_k", "_v")
 
 
+def with_identity(df: DataFrame, path: X.Text, suffix: str = "_analysis") -> DataFrame:
+    """df with _record_id and _workbook_path, and company_name, ticker and report_year where they lack: from the file's name, <ticker>_<year>."""
+    p = X.col(path)
+    stem = F.regexp_replace(F.regexp_extract(p, r"([^/\\]+?)(?:\.[^./\\]*)?$", 1), rf"\Q{suffix}\E$", "")
+    own = {"company_name": F.regexp_replace(stem, r"_(?:19|20)\d{2}$", ""), "ticker": F.upper(F.regexp_replace(stem, r"_(?:19|20)\d{2}$", "")), "report_year": X.parse_year(F.regexp_extract(stem, r"(?:19|20)\d{2}$", 0))}
+    out = df.withColumn("_record_id", stem).withColumn("_workbook_path", p)
+    return out.withColumns({c: F.coalesce(F.col(c), v.cast(dict(df.dtypes)[c])) if c in df.columns else v for c, v in own.items()})
+
+
+def report_paths(workbooks: DataFrame, reports: DataFrame) -> DataFrame:
+    """workbooks (path) with report: the path of the Markdown report whose name has _report where the workbook's has _analysis; null where there is none."""
+    stem = lambda c: F.regexp_extract(c, r"([^/\\]+?)(?:\.[^./\\]*)?$", 1)
+    r = reports.select(stem("path").alias("_k"), F.col("path").alias("report")).groupBy("_k").agg(F.min("report").alias("report"))
+    return workbooks.withColumn("_k", F.regexp_replace(stem("path"), "_analysis$", "_report")).join(r, "_k", "left").drop("_k")
+
+
+def where_in(df: DataFrame, chosen: dict[str, Sequence[str]]) -> DataFrame:
+    """Rows whose columns, as shown, are among the chosen values; no values choose all."""
+    return reduce(lambda d, c: d.where(shown(c[0]).isin(*c[1])) if c[1] else d, chosen.items(), df)
+
+
+def shown(c: X.Text) -> Column:
+    return X.col(c).cast("string")
+
+
+def options(df: DataFrame, column: str, descending: bool = False) -> DataFrame:
+    """A column's distinct values, sorted; nulls and blank ones left out."""
+    d = df.where(F.col(column).isNotNull() & (X.strip(shown(column)) != "")).select(column).distinct()
+    return d.orderBy(F.desc(column) if descending else F.asc(column))
+
+
+def latest(files: DataFrame, modified: str = "modified") -> DataFrame:
+    return files.agg(F.max(modified).alias("latest"))
+
+
+def number(c: X.Text, default: float = 0.0) -> Column:
+    """A cell as a finite number, else the default."""
+    v = X.col(c).try_cast("double")
+    return F.when(v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf"))), F.lit(default)).otherwise(v)
+
+
+def first_value(columns: Sequence[str], default: str = "Not available") -> Column:
+    """The first of a row's columns that isn't blank."""
+    return F.coalesce(*[F.when(X.strip(shown(c)) != "", shown(c)) for c in columns], F.lit(default))
+
+
 def kpis(df: DataFrame, value: str, key: str) -> DataFrame:
     v = F.expr(f"try_cast(`{value}` as double)")
     return df.agg(F.count_distinct(key).alias("n"), X.round4(F.avg(v)).alias("mean"), F.max(v).alias("highest"), F.min(v).alias("lowest"))

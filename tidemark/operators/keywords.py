@@ -44,6 +44,16 @@ def all_keywords(e: DataFrame) -> list[str]:
     return [r["keyword"] for r in e.groupBy("keyword").agg(F.min(F.struct("cat_pos", F.length("keyword"), "keyword")).alias("o")).orderBy("o").select("keyword").collect()]
 
 
+def categories(e: DataFrame) -> list[str]:
+    """The dictionary's categories, in its order."""
+    return [r["category"] for r in e.groupBy("category").agg(F.min("pos").alias("p")).orderBy("p").collect()]
+
+
+def keywords_of(e: DataFrame, category: str) -> list[str]:
+    """A category's keywords, by length, then letters; white space in its name doesn't matter, case does. Unknown: none."""
+    return [r["keyword"] for r in e.where(F.col("category") == " ".join(category.split())).select("keyword").orderBy(F.length("keyword"), "keyword").collect()]
+
+
 def count_keywords(sections: DataFrame, keywords: Sequence[str]) -> DataFrame:
     """record_id, section, keyword, n of the keywords that occur as whole words in sections (record_id, name, text)."""
     s = sections.select("record_id", F.col("name").alias("section"), X.match_text("text").alias("norm"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -75,8 +75,9 @@ def drop_consecutive(text: X.Text) -> Column:
     """A line equal to the one before goes, but headings; blank lines part."""
     a = X.lines(text)
     keys = F.transform(a, lambda x: X.canonical_line(x))
-    pairs = F.arrays_zip(a.alias("l"), keys.alias("k"))
-    kept = F.filter(F.transform(pairs, lambda p, i: F.struct(p["l"].alias("l"), p["k"].alias("k"), F.when(i > 0, F.get(keys, i - 1)).alias("b"))), lambda p: (p["k"] == "") | p["b"].isNull() | (p["k"] != p["b"]) | X.heading_like(p["l"], company_suffix=True))
+    # lines beside their keys and the keys before theirs, so that no line looks an array up
+    rows = F.slice(F.arrays_zip(a.alias("l"), keys.alias("k"), F.concat(F.array(F.lit(None).cast("string")), keys).alias("b")), 1, F.size(a))
+    kept = F.filter(rows, lambda p: (p["k"] == "") | p["b"].isNull() | (p["k"] != p["b"]) | X.heading_like(p["l"], company_suffix=True))
     return F.array_join(F.transform(kept, lambda p: p["l"]), "\n")
 
 
@@ -106,11 +107,19 @@ def without_contents(text: str | None) -> str:
     return text or ""
 
 
+def attempted(f: Callable[[str | None], str], text: str | None) -> str | None:
+    """f of a text; null where it fails, so that one report's failure isn't the run's."""
+    try:
+        return f(text)
+    except Exception:
+        return None
+
+
 @F.pandas_udf(T.StringType())
 def drop_contents(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """A state machine over at most 180 lines: no expression for it."""
     for t in texts:
-        yield t.map(without_contents)
+        yield t.map(lambda x: attempted(without_contents, x))
 
 
 @F.pandas_udf(T.StringType())
@@ -121,7 +130,7 @@ def nfkc(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def clean(reports: DataFrame, headers_footers: bool = True) -> DataFrame:
     """Reports with cleaned texts: the whole chain, in its order. Null texts count as empty."""
-    r = reports.withColumn("text", drop_contents(X.tabs(F.coalesce("text", F.lit("")))))
+    r = reports.withColumn("text", drop_contents(X.tabs(F.coalesce("text", F.lit("")))))  # null where it failed
     if headers_footers:
         r = drop_keys(r, edge_lines(r, True))
         r = drop_keys(r, edge_lines(r, False))
@@ -150,8 +159,8 @@ def normalize_headings(text: X.Text) -> Column:
 
 
 def normalize(reports: DataFrame, lowercase: bool = False) -> DataFrame:
-    """Reports with normalised texts: the whole chain, in its order."""
-    r = reports.withColumn("text", nfkc(F.coalesce("text", F.lit(""))))
+    """Reports with normalised texts: the whole chain, in its order. Null texts stay null."""
+    r = reports.withColumn("text", nfkc("text"))
     r = r.withColumn("text", X.inline_spaces(X.newlines(X.bullets(X.hyphens(X.quotes("text"))))))
     r = r.withColumn("text", X.newlines(X.inline_spaces(normalize_headings("text"))))
     r = r.withColumn("text", X.lower_but_acronyms("text")) if lowercase else r

@@ -13,6 +13,10 @@ from tidemark import lexicons as L
 from tidemark.functions import text as X
 
 
+#: No heading has more characters.
+LONGEST = 140
+
+
 def wordings() -> list[tuple[str, str]]:
     """(canonical, wording) of all headings, the first canonical of a wording's form first."""
     groups = L.HEADING_GROUPS | {h: (h,) for h in L.REPORT_HEADINGS if h not in L.HEADING_GROUPS}
@@ -30,15 +34,18 @@ def lexicon(spark: SparkSession) -> DataFrame:
 def valid_heading(line: X.Text, known: Column) -> Column:
     s = X.strip(line)
     words = F.size(F.regexp_extract_all(s, F.lit("[A-Za-z&]+"), F.lit(0)))
-    shape = F.length(s).between(2, 140) & (F.size(F.split(s, r"\s+")) <= 14) & ~s.rlike(r"[.,;]$") & s.rlike("[A-Za-z]")
+    shape = F.length(s).between(2, LONGEST) & (F.size(F.split(s, r"\s+")) <= 14) & ~s.rlike(r"[.,;]$") & s.rlike("[A-Za-z]")
     return shape & (known | (words <= 4) | X.title_share(s, "[A-Za-z&]+", 0.6))
 
 
 def candidates(reports: DataFrame) -> DataFrame:
-    """record_id, start, end (code points), line and form of all lines, by running lengths within the row."""
+    """record_id, start, end (code points), line and form of all lines that may be headings by their length, by running lengths within the row."""
     a = F.split("text", "\n", -1)
     run = F.aggregate(a, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(x) + 1)))
-    rows = reports.select("record_id", F.posexplode(F.arrays_zip(a.alias("l"), F.slice(run, 1, F.size(a)).alias("s"))).alias("line_no", "x")).select("record_id", "line_no", F.col("x.l").alias("raw"), F.col("x.s").alias("at"))
+    placed = F.transform(F.arrays_zip(a.alias("l"), F.slice(run, 1, F.size(a)).alias("s")), lambda x, i: F.struct(i.alias("i"), x["l"].alias("l"), x["s"].alias("s")))
+    # only lines as short as a heading go on, before any pattern looks at them
+    short = F.filter(placed, lambda x: F.length(X.strip(x["l"])).between(1, LONGEST))
+    rows = reports.select("record_id", F.explode(short).alias("x")).select("record_id", F.col("x.i").alias("line_no"), F.col("x.l").alias("raw"), F.col("x.s").alias("at"))
     lead = F.length("raw") - F.length(F.regexp_replace("raw", r"^\s+", ""))
     return rows.select("record_id", "line_no", (F.col("at") + lead).cast("long").alias("start"), X.strip("raw").alias("line")).withColumn("end", (F.col("start") + F.length("line")).cast("long")).withColumn("form", X.normalized_heading("line")).where("line != ''")
 
@@ -75,6 +82,24 @@ def headings(reports: DataFrame, use_fuzzy: bool = True) -> DataFrame:
     return exact.union(pick(rest.join(fuzzy(rest, lex), "form"), F.col("confidence")))
 
 
+def by_location(found: DataFrame) -> DataFrame:
+    """Of headings at one place of a report the surest, of equals the first by name."""
+    best = found.groupBy("record_id", "start", "end").agg(F.min_by(F.struct(*[c for c in found.columns if c not in ("record_id", "start", "end")]), F.struct(-F.col("confidence"), "heading")).alias("x"))
+    return best.select("record_id", "start", "end", "x.*").select(*found.columns)
+
+
+def named(found: DataFrame, heading: str) -> DataFrame:
+    """record_id and text of the sections that a wording of a heading stands for; an unknown wording finds none."""
+    lex = lexicon(found.sparkSession).where(F.col("pattern") == X.normalized_heading(F.lit(heading))).select(F.col("canonical").alias("name"))
+    return found.join(F.broadcast(lex), "name", "left_semi").select("record_id", "text")
+
+
+def as_json(found: DataFrame) -> DataFrame:
+    """record_id and its sections as a JSON object of names and texts, in their order."""
+    g = found.groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct("ord", "name", "text"))).alias("x"))
+    return g.select("record_id", F.to_json(F.map_from_entries(F.transform("x", lambda y: F.struct(y["name"], y["text"])))).alias("sections"))
+
+
 def section_text(c: X.Text) -> Column:
     return F.regexp_replace(X.strip(X.each_line(c, lambda x: X.strip(F.regexp_replace(x, r"[ \t]+", " ")))), r"\n{3,}", "\n\n")
 

@@ -19,7 +19,26 @@ def first_of(columns: Sequence[str], wanted: Sequence[str]) -> str | None:
 
 
 def label(c: X.Text) -> Column:
-    return X.strip(X.collapse(X.col(c).cast("string")))
+    """A name with single spaces; one that is missing or blank is an error."""
+    s = X.strip(X.collapse(X.col(c).cast("string")))
+    return F.when(F.coalesce(s, F.lit("")) == "", F.raise_error(F.lit("a company or keyword is missing"))).otherwise(s)
+
+
+def mapping_counts(df: DataFrame, column: str = "counts") -> DataFrame:
+    """company, keyword, n from a map of companies to maps of keywords to counts, or from such a JSON object as text; equal ones add up."""
+    kind = "map<string,map<string,string>>"
+    whole = F.from_json(column, kind) if dict(df.dtypes)[column] == "string" else F.col(column).cast(kind)
+    bad = F.raise_error(F.lit("manual counts aren't a mapping of companies"))
+    rows = df.select(F.explode(F.when(whole.isNull() & F.col(column).isNotNull(), bad).otherwise(whole)).alias("c", "m")).select("c", F.explode("m").alias("k", "count"))
+    rows = rows.select(label("c").alias("company"), X.casefold(label("k")).alias("keyword"), count("count").alias("n"))
+    return rows.groupBy("company", "keyword").agg(F.sum("n").cast("long").alias("n"))
+
+
+def flat_counts(df: DataFrame, column: str = "counts") -> DataFrame:
+    """keyword and n from a map of keywords to counts, or of categories to such maps; equal keywords add up."""
+    nested = dict(df.dtypes)[column].startswith("map<string,map")
+    rows = df.select(F.explode(column).alias("c", "m")).select(F.explode("m").alias("k", "count")) if nested else df.select(F.explode(column).alias("k", "count"))
+    return rows.groupBy(X.casefold(label("k")).alias("keyword")).agg(F.sum(F.col("count").cast("long")).alias("n"))
 
 
 def count(c: X.Text) -> Column:
@@ -93,6 +112,11 @@ def report(auto: DataFrame, manual: DataFrame) -> DataFrame:
     return quality(confusion(c)).join(differences(c), "company")
 
 
+def optional_report(auto: DataFrame, manual: DataFrame | None) -> DataFrame | None:
+    """The validation of those companies that have manual counts; without any table of them, none."""
+    return None if manual is None else report(auto.join(manual.select("company").distinct(), "company", "left_semi"), manual)
+
+
 def manual_for(records: DataFrame, manual: DataFrame) -> DataFrame:
     """record_id, keyword, n: each record's manual counts, by its company's name, else by its ticker, in any case."""
     m = manual.select(X.casefold("company").alias("c"), "keyword", "n")

@@ -17,6 +17,7 @@ from tidemark.operators import keywords as K
 from tidemark.operators import lines as C
 from tidemark.operators import sections as S
 from tidemark.operators import validation as V
+from tidemark.plans import disclosure
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -172,7 +173,7 @@ def disclosure_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_table(spark, sf_dir).select("record_id", "ticker", "industry", "report_year", "total_word_count", "keyword_density", "overall_score")
 
 
-@query()
+@query(f"WITH {SCORES} SELECT record_id, 'Overall Disclosure Score is a weighted mathematical score: 40% keyword density (' || keyword_density_score || '), 30% category coverage (' || category_coverage_score || '), 20% section coverage (' || section_coverage_score || '), and 10% keyword diversity (' || keyword_diversity_score || '). The final reproducible score is ' || overall_score || ' out of 100.' AS explanation FROM scores")
 def score_explanation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_table(spark, sf_dir).select("record_id", K.explanation().alias("explanation"))
 
@@ -198,9 +199,9 @@ def year_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.trend(score_table(spark, sf_dir), "report_year", "overall_score")
 
 
-@query(f"WITH {SCORES} SELECT row_number() OVER (ORDER BY overall_score) AS x, overall_score AS y FROM scores WHERE report_year = 2024")
+@query(f"WITH {SCORES} SELECT row_number() OVER (ORDER BY overall_score) AS x, overall_score AS y FROM scores")
 def score_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.trend(score_table(spark, sf_dir).where("report_year = 2024"), "report_year", "overall_score")
+    return A.trend(score_table(spark, sf_dir).withColumn("report_year", F.lit(2024)), "report_year", "overall_score")
 
 
 @query(f"WITH {SCORES} (SELECT 'top' AS side, record_id, overall_score FROM scores ORDER BY overall_score DESC, record_id LIMIT 10) UNION ALL (SELECT 'bottom', record_id, overall_score FROM scores ORDER BY overall_score, record_id LIMIT 10)")
@@ -407,7 +408,11 @@ def heading_like_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports(spark, sf_dir).select("record_id", n.cast("long").alias("n"))
 
 
-@query()
+_PLAIN_KEY = KEY.format(r"regexp_replace(regexp_replace({0}, '^:+', ''), ':+$', '')")
+_HEADN = rf"(length({{0}}) BETWEEN 1 AND 120 AND NOT regexp_matches({{0}}, '[.,;]$') AND regexp_matches({{0}}, '[A-Za-z&'']') AND ({_PLAIN_KEY} IN ({_HEADS}) OR {_SHAPE}))"
+
+
+@query(f"SELECT record_id, (count(*) FILTER ({_HEADN.format('s')}))::INT AS n FROM (SELECT record_id, {STRIP.format('line')} AS s FROM ({_LINES.format('(SELECT doc_id AS record_id, text FROM documents)')})) GROUP BY record_id")
 def heading_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports(spark, sf_dir).select("record_id", C.heading_count("text").alias("n"))
 
@@ -417,7 +422,7 @@ def nfkc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports(spark, sf_dir).select("record_id", C.nfkc("text").alias("text"))
 
 
-@query()
+@query("SELECT doc_id AS record_id, regexp_replace(text, '\\n$', '') AS text FROM documents")
 def contents_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
     toc = F.lit("Contents\nOne ..... 1\nTwo ..... 2\nThree ..... 3\n")
     return reports(spark, sf_dir).select("record_id", C.drop_contents(F.concat(toc, "text")).alias("text"))
@@ -480,15 +485,15 @@ def section_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.summary(section_spans(spark, sf_dir))
 
 
-@query("WITH x AS (SELECT doc_id AS record_id, source AS name, min(doc_id) AS o, text FROM documents GROUP BY ALL), y AS (SELECT name, text, min(record_id) AS o FROM x GROUP BY ALL) SELECT name, string_agg(text, chr(10) || chr(10) ORDER BY o, text) AS text FROM y GROUP BY name")
+@query("SELECT record_id, name, min(o)::INT AS ord, string_agg(text, chr(10) || chr(10) ORDER BY o, text) AS text FROM (SELECT conv_id AS record_id, role AS name, text, min(turn) AS o FROM conversations GROUP BY ALL) GROUP BY record_id, name")
 def section_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = reports(spark, sf_dir).select(F.lit(0).alias("record_id"), F.col("ticker").alias("name"), F.col("record_id").alias("ord"), "text")
-    return S.merge(x).select("name", "text")
+    x = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("record_id"), F.col("role").alias("name"), F.col("turn").cast("int").alias("ord"), "text")
+    return S.merge(x)
 
 
-@query(f"WITH {_SPANS}, r AS (SELECT doc_id AS record_id, text FROM documents), f AS (SELECT * FROM sec WHERE length(text) >= 40 AND record_id % 2 = 0) SELECT record_id, name, text FROM f UNION ALL SELECT record_id, 'Full Report', text FROM r WHERE record_id NOT IN (SELECT record_id FROM f)")
+@query(f"WITH {_SPANS}, r AS (SELECT doc_id AS record_id, text FROM documents), f AS (SELECT * FROM sec WHERE length(text) >= 1500) SELECT record_id, name, text FROM f UNION ALL SELECT record_id, 'Full Report', text FROM r WHERE record_id NOT IN (SELECT record_id FROM f)")
 def full_report_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.or_full_report(reports(spark, sf_dir), section_spans(spark, sf_dir).where("record_id % 2 = 0")).select("record_id", "name", "text")
+    return S.or_full_report(reports(spark, sf_dir), S.sections(headed(spark, sf_dir), S.headings(headed(spark, sf_dir), False), least=1500)).select("record_id", "name", "text")
 
 
 @query(f"WITH {_SPANS}, f AS (SELECT DISTINCT record_id, name FROM sec WHERE length(text) >= 40), n AS (SELECT r.record_id, count(name) AS n, coalesce(string_agg(name, '|' ORDER BY name), '') AS detected FROM (SELECT record_id FROM hd) r LEFT JOIN f USING (record_id) GROUP BY 1) SELECT record_id, detected, n::INT AS n_detected, {RATIO.format('n', '10', '100.0')} AS percentage FROM n")
@@ -587,3 +592,102 @@ def flatten_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = score_table(spark, sf_dir)
     raw = F.struct("keyword_density", "total_word_count")
     return A.flatten(s.select("record_id", "overall_score", raw.alias("raw"), F.array(F.lit("a"), F.lit("b")).alias("tags")))
+
+
+# ---- more of the dashboard, the files and the run
+@query(f"WITH {STATS} SELECT category, ticker, sum(count)::BIGINT AS count FROM stats JOIN rep USING (record_id) GROUP BY category, ticker")
+def category_by_company(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = category_stats(spark, sf_dir).join(reports(spark, sf_dir).select("record_id", "ticker"), "record_id")
+    return c.groupBy("category", "ticker").agg(F.sum("count").alias("count"))
+
+
+@query(r"SELECT doc_id AS record_id, regexp_replace(regexp_replace(regexp_replace(replace(text, '. ', '. ' || chr(9) || chr(13) || chr(10) || chr(13) || chr(10) || chr(10)), '\r\n?', chr(10), 'g'), '[ \t]+\n', chr(10), 'g'), '\n{3,}', chr(10) || chr(10), 'g') AS text FROM documents")
+def newline_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports(spark, sf_dir).select("record_id", X.newlines(F.replace("text", F.lit(". "), F.lit(". \t\r\n\r\n\n"))).alias("text"))
+
+
+@query(r"SELECT record_id, string_agg(regexp_replace(regexp_replace(regexp_replace(line, '[^\S\r\n]{2,}', ' ', 'g'), '^\s+', ''), '\s+$', ''), chr(10) ORDER BY line_no) AS text FROM (" + _LINES.format("(SELECT doc_id AS record_id, replace(text, ' a', ' ' || chr(9) || ' a') AS text FROM documents)") + ") GROUP BY record_id")
+def inline_blanks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports(spark, sf_dir).select("record_id", X.inline_spaces(F.replace("text", F.lit(" a"), F.lit(" \t a"))).alias("text"))
+
+
+@query(r"""WITH a AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace('. ' || url || '??', '[<>:"/\\|?*\x00-\x1f]', '_', 'g'), '\s+', ' ', 'g'), '^[ .]+', ''), '[ .]+$', '') AS s FROM pages)
+    SELECT page_id, regexp_replace(substring(CASE WHEN s = '' THEN 'untitled' ELSE regexp_replace(s, '_+', '_', 'g') END, 1, 40), '[ .]+$', '') AS name FROM a""")
+def safe_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", X.safe_filename(F.concat(F.lit(". "), "url", F.lit("??")), most=40).alias("name"))
+
+
+_RECORDS = "(SELECT doc_id AS record_id, CASE WHEN lang = 'es' THEN ' ' ELSE source END AS company_name, lang AS ticker, (1850 + n_chars % 300)::INT AS report_year, CASE WHEN lang = 'de' THEN 'ftp://x.y' ELSE 'https://x.y/' || source END AS source_url, n_chars / 20.0::DOUBLE AS disclosure_score FROM documents)"
+
+
+@query(f"""SELECT record_id, problem FROM (SELECT record_id, unnest([CASE WHEN trim(company_name) = '' THEN 'company_name is blank' END, CASE WHEN report_year NOT BETWEEN 1900 AND year(current_date) + 1 THEN 'report_year is out of range' END,
+    CASE WHEN NOT regexp_matches(source_url, '^https?://[^/\\s]+') THEN 'source_url isn''t a web address' END, CASE WHEN disclosure_score NOT BETWEEN 0 AND 100 THEN 'disclosure_score is out of range' END]) AS problem FROM {_RECORDS}) WHERE problem IS NOT NULL""")
+def record_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    name = F.when(F.col("lang") == "es", " ").otherwise(F.col("source"))
+    url = F.when(F.col("lang") == "de", "ftp://x.y").otherwise(F.concat(F.lit("https://x.y/"), "source"))
+    return A.violations(d.select(F.col("doc_id").alias("record_id"), name.alias("company_name"), F.col("lang").alias("ticker"), (1850 + F.col("n_chars") % 300).cast("int").alias("report_year"), url.alias("source_url"), (F.col("n_chars") / 20.0).alias("disclosure_score")))
+
+
+@query("SELECT DISTINCT o_orderpriority FROM orders WHERE trim(o_orderpriority) <> ''")
+def distinct_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.options(table(spark, sf_dir, "orders"), "o_orderpriority")
+
+
+@query("SELECT o_orderkey, CASE WHEN p = floor(p) THEN p::BIGINT::VARCHAR ELSE p::VARCHAR END AS shown FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN floor(o_totalprice::DOUBLE) ELSE o_totalprice::DOUBLE END AS p FROM orders)")
+def numbers_shown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = F.col("o_totalprice").cast("double")
+    return table(spark, sf_dir, "orders").select("o_orderkey", A.number_text(F.when(F.col("o_orderkey") % 2 == 0, F.floor(p).cast("double")).otherwise(p)).alias("shown"))
+
+
+@query(f"WITH c AS ({_COMPANY}) SELECT * FROM c WHERE report_year::VARCHAR IN ('2021', '2024') AND ticker IN ('BUILDING', 'MACHINERY')")
+def chosen_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.where_in(companies(spark, sf_dir), {"report_year": ["2021", "2024"], "ticker": ["BUILDING", "MACHINERY"], "company_name": []})
+
+
+@query("SELECT doc_id, stem AS _record_id, path AS _workbook_path, regexp_replace(stem, '_(?:19|20)\\d{2}$', '') AS company_name, coalesce(ticker, upper(regexp_replace(stem, '_(?:19|20)\\d{2}$', ''))) AS ticker, y AS report_year FROM (SELECT doc_id, source || '_' || (2000 + n_chars % 30) AS stem, '/out/' || source || '_' || (2000 + n_chars % 30) || '_analysis.xlsx' AS path, CASE WHEN lang <> 'en' THEN lang END AS ticker, (2000 + n_chars % 30)::INT AS y FROM documents)")
+def identity_attached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    path = F.concat(F.lit("/out/"), "source", F.lit("_"), (2000 + F.col("n_chars") % 30).cast("string"), F.lit("_analysis.xlsx"))
+    return A.with_identity(d.select("doc_id", path.alias("p"), F.when(F.col("lang") != "en", F.col("lang")).alias("ticker")), "p").drop("p")
+
+
+@query("SELECT DISTINCT '/x/' || source || '_' || lang || '_analysis.xlsx' AS path, CASE WHEN lang = 'en' THEN '/r/' || source || '_' || lang || '_report.md' END AS report FROM documents")
+def report_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("source", "lang").distinct()
+    books = d.select(F.concat(F.lit("/x/"), "source", F.lit("_"), "lang", F.lit("_analysis.xlsx")).alias("path"))
+    return A.report_paths(books, d.where("lang = 'en'").select(F.concat(F.lit("/r/"), "source", F.lit("_"), "lang", F.lit("_report.md")).alias("path")))
+
+
+@query("SELECT doc_id, lang, CASE lang WHEN 'fr' THEN 0 ELSE 1 END AS ord FROM documents WHERE lang IN ('fr', 'en')")
+def custom_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.in_order(table(spark, sf_dir, "documents").select("doc_id", "lang"), "lang", ["fr", "en"])
+
+
+@query("SELECT s_suppkey, coalesce(seg, 'Not available') AS industry FROM supplier LEFT JOIN (SELECT c_nationkey, arg_min(c_mktsegment, c_custkey) AS seg FROM customer GROUP BY 1) ON s_nationkey = c_nationkey")
+def first_industry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    look = table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("ticker"), F.col("c_mktsegment").alias("industry"), "c_custkey")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").cast("string").alias("ticker"))
+    return A.enrich(s, look, order="c_custkey").select("s_suppkey", "industry")
+
+
+@query(f"SELECT * FROM {_AUTO}")
+def validation_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = auto_counts(spark, sf_dir).groupBy("company").agg(F.map_from_entries(F.collect_list(F.struct("keyword", F.col("n").cast("string")))).alias("m"))
+    return V.mapping_counts(g.select(F.to_json(F.create_map("company", "m")).alias("counts")))
+
+
+@query(f"WITH {DICT} SELECT category, keyword FROM e WHERE category = 'Licensing'")
+def category_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = K.keywords_of(entries(spark), " Licensing ")
+    return spark.createDataFrame([("Licensing", k) for k in found], "category string, keyword string")
+
+
+@query()
+def whole_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaning, headings, sections, counts and scores of all documents as one run."""
+    r = headed(spark, sf_dir)
+    c = reports(spark, sf_dir).select("record_id", F.col("ticker").alias("company_name"), "ticker", "industry", "report_year")
+    res = disclosure.analyse(c, r, entries(spark), False)
+    n = res.sections.groupBy("record_id").agg(F.array_join(F.array_sort(F.collect_list("name")), "|").alias("sections"))
+    return res.status.join(n, "record_id", "left").join(res.scores.select("record_id", "total_word_count", "section_coverage", "overall_score"), "record_id", "left")
