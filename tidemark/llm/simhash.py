@@ -229,27 +229,30 @@ def alike(x: np.ndarray, y: np.ndarray, least: float) -> bool:
 
 
 def jaccard_links(texts: DataFrame, least: float = 0.8) -> DataFrame:
-    """u, v: links that connect texts (th, a text's own number, and text) whose sets of 5-word shingles have at least this Jaccard similarity.
+    """u, v: links that connect texts (th, a text's own number, and text; repeated rows count once) whose sets of 5-word shingles have at least this Jaccard similarity.
 
     Texts that share a band of MinHash minima are compared by their whole sets; of each band a spanning forest of
-    verified links goes on, never all pairs. Sets only travel for texts that share a band.
+    verified links goes on, never all pairs. Of bands that hold the same texts one is compared. Only texts that share a
+    band travel, and only there are their sets made anew.
     """
     batches_of(texts.sparkSession)
 
-    def sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def banded(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            rows = [(th, x.tobytes(), band_keys(x)) for th, x in zip(b.column(0).to_pylist(), map(shingle_set, b.column(1).to_pylist()), strict=True) if len(x)]
-            cols = list(zip(*rows, strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.list_(pa.int64()))], names=["th", "x", "ks"])
+            rows = [(th, band_keys(x)) for th, x in zip(b.column(0).to_pylist(), map(shingle_set, b.column(1).to_pylist()), strict=True) if len(x)]
+            yield pa.RecordBatch.from_arrays([pa.array([th for th, _ in rows], pa.int64()), pa.array([ks for _, ks in rows], pa.list_(pa.int64()))], names=["th", "ks"])
 
-    d = cut(texts.select("th", "text").mapInArrow(tidy(sets), "th long, x binary, ks array<long>"), "shingle-sets")
-    k = cut(d.select("th", F.explode("ks").alias("key")), "bands")
-    live = k.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    pairs = cut(k.join(live, "key"), "live-bands")
+    d = cut(texts.select("th", "text").mapInArrow(tidy(banded), "th long, ks array<long>").dropDuplicates(["th"]), "bands")
+    k = d.select("th", F.explode("ks").alias("key"))
+    held = k.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("th")).alias("x"), F.bit_xor(F.xxhash64("th", F.lit(1))).alias("y")).where("n > 1")
+    live = cut(held.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key"), "live-bands")
+    pairs = cut(k.join(live, "key"), "live-texts")
+    bucket = F.pmod(F.xxhash64("th"), F.lit(1 << 20))  # numbers broadcast: so many at most
+    body = texts.select("th", "text").withColumn("_b", bucket).join(F.broadcast(pairs.select(bucket.alias("_b")).distinct()), "_b", "left_semi").groupBy("th").agg(F.first("text").alias("text"))
 
     def linked(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, g in groups(it, ["key"]):
-            rest = [(th, np.frombuffer(x, np.uint64)) for th, x in zip(g["th"], g["x"], strict=True)]
+            rest = [(th, shingle_set(x)) for th, x in zip(g["th"], g["text"], strict=True)]
             out: list[tuple[int, int]] = []
             while rest:
                 queue = [rest.pop()]
@@ -264,4 +267,4 @@ def jaccard_links(texts: DataFrame, least: float = 0.8) -> DataFrame:
                 u, v = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-    return pairs.join(d.select("th", "x"), "th").repartition("key").sortWithinPartitions("key").mapInArrow(tidy(linked), "u long, v long")
+    return pairs.join(body, "th").repartition("key").sortWithinPartitions("key").mapInArrow(tidy(linked), "u long, v long")
