@@ -33,7 +33,7 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Near copies are linked by fingerprints of at most 3 differing bits, or 5-word Jaccard similarity of 0.8 or more.
     """
     d = keyed(docs)
-    texts = cut(d.groupBy("_th").agg(F.first("text").alias("text")).select(F.col("_th").alias("th"), "text"), "texts")
+    texts = d.select(F.col("_th").alias("th"), "text")
     close = simhash.near_duplicates(texts.select(F.col("th").alias("doc_id"), "text")).select(F.col("doc_id").alias("u"), F.col("component_id").alias("v"))
     roots = components(close.union(simhash.jaccard_links(texts)))
     rows = d.select("_th", "_row", F.col("doc_id").isNull().alias("none"), "doc_id").join(roots, F.col("_th") == F.col("node"), "left").withColumn("root", F.coalesce("root", "_th"))
