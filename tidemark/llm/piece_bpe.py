@@ -15,6 +15,7 @@ from functools import lru_cache
 from operator import add
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -78,7 +79,7 @@ def _fields(b: bytes) -> Iterator[tuple[int, object]]:
 class Pieces:
     """A model's pieces, its encoding and decoding. model: the bytes of a .model file of merge type with byte fallback and no text normalisation."""
 
-    def __init__(self, model: bytes, word_cache: int = 200_000, pair_cache: int = 300_000) -> None:
+    def __init__(self, model: bytes, word_cache: int = 150_000, pair_cache: int = 200_000) -> None:
         self.pieces: list[str] = []
         self.kinds: list[int] = []
         scores: list[float] = []
@@ -270,8 +271,10 @@ def encode_texts(docs: DataFrame, model: bytes, digests: bool = False) -> DataFr
         for t in texts:
             s, d = p.both(t or "")
             n.append(s.count(",") + 1 if s else 0)
-            enc.append(hashlib.sha256(s.encode()).hexdigest() if digests else [int(x) for x in s.split(",")] if s else [])
+            enc.append(hashlib.sha256(s.encode()).hexdigest() if digests else np.fromstring(s, np.int32, sep=","))
             dec.append(hashlib.sha256(d.encode()).hexdigest() if digests else d)
+        if not digests:  # lists without a Python number for each id
+            enc = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, enc)]), pa.int32()), pa.array(np.concatenate([*enc, np.zeros(0, np.int32)])))
         return [ids, n, enc, dec]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
