@@ -582,3 +582,19 @@ def test_pipeline_contaminated_rows_only(spark, sf):
     rows = [(None, item), (None, "quite clean"), (1, item), (1, "clean as well")]
     got = corpus_pipeline.benchmark_decontamination(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf).collect()
     assert {tuple(r) for r in got} == {rows[1], rows[3]}
+
+EMPTY_STAGES = [name for name, _ in corpus_pipeline.STAGES]
+
+
+@pytest.mark.parametrize("name", EMPTY_STAGES)
+def test_pipeline_stages_on_odd_tables(spark, sf, name):
+    """Stages on an empty table and on null ids, empty texts, repeated rows and columns named like their own."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    kind = "doc_id long, text string, lang string, source string, n_chars long, th long, spans string, root string, key string"
+    rows = [(1, "the cat sat on the mat", "en", "s", 22, 1, "x", "r", "k"), (1, "the cat sat on the mat", "en", "s", 22, 1, "x", "r", "k"), (None, "another text here", "en", None, None, None, None, None, None), (None, None, None, None, None, None, None, None, None), (2, "", "en", "s", 0, 1, "x", "r", "k")]
+    assert stage(spark, spark.createDataFrame([], kind), sf).count() == 0
+    d = spark.createDataFrame(rows, kind)
+    got = stage(spark, d, sf)
+    assert got.count() == {"language_id": 3, "simhash_dedup": 3, "suffix_array_dedup": 3}.get(name, 5)
+    if name != "sentencepiece":
+        assert got.columns == d.columns and {r["spans"] for r in got.collect()} == {"x", None}

@@ -29,7 +29,8 @@ def lower_ascii(c: Column | str) -> Column:
 
 def remainder(doc_id: Column | str, n: int) -> Column:
     """crc32 of an id's decimal text, modulo n (null ids: of the empty text)."""
-    return F.crc32(F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit("")).cast("string").cast("binary")) % n
+    c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
+    return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % n
 
 
 def shared_folder(spark: SparkSession) -> str:
