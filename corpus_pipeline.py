@@ -43,7 +43,8 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages of 400 bytes or more, or of 51 words or more, go from all documents that have them; documents left without words go."""
-    got = suffix_dedup.remove_repeats(docs, as_text=True, words=51)
+    own = {c: f"_c{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}  # columns named like the operator's are none of its
+    got = suffix_dedup.remove_repeats(docs.withColumnsRenamed(own), as_text=True, words=51).drop("spans").withColumnsRenamed({v: k for k, v in own.items()})
     return got.where(F.trim(F.regexp_replace("text", r"\s+", " ")) != "").withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
