@@ -460,7 +460,7 @@ def test_op10_small(spark):
 def test_op10_recall(spark):
     x = np.random.default_rng(0).normal(size=(1500, 16)).astype(np.float32)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
-    s = neighbours.Setting(leaf=128, rounds=3, beam=80, block=512)
+    s = neighbours.Setting(leaf=128, beam=80, values=512 * 16)
     got = {}
     for r in neighbours.nearest(df, F.col("vec_id") % 20 == 0, 20, s).collect():
         got.setdefault(r["query_id"], set()).add(r["vec_id"])

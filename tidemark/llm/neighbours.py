@@ -7,7 +7,7 @@ rows and each vector that these name once, and sends lists of better neighbours
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -19,17 +19,16 @@ from tidemark.llm.common import cut, tidy
 
 @dataclass(frozen=True)
 class Setting:
-    """degree: neighbours kept of each node. The first graph is of trees random orders, cut into leaves of so many nodes, then come rounds of NN-descent with sample new neighbours (and reverse ones) of each node at a time. A search keeps its beam best nodes and ends when all are expanded, or after steps. block: nodes of a block."""
+    """degree: neighbours kept of each node. The first graph is of trees random orders, cut into leaves of so many nodes, then come rounds of NN-descent with sample new neighbours (and reverse ones) of each node at a time, until less than settled of all neighbours are new. A search keeps its beam best nodes (ten for each doubling of the nodes, where that is more) and ends when all are expanded. values: vector components of a block's nodes."""
 
     degree: int = 32
     trees: int = 4
     leaf: int = 512
-    rounds: int = 4
+    settled: float = 0.01
     sample: int = 16
     reverse: int = 64
     beam: int = 160
-    steps: int = 12
-    block: int = 8192
+    values: int = 8192 * 64
 
 
 EDGES = "u long, v array<long>, s array<float>"
@@ -231,6 +230,13 @@ def descend(graph: DataFrame, vecs: DataFrame, dim: int, blocks: int, setting: S
     return merge(graph, found, blocks, setting, salt)
 
 
+def unsettled(graph: DataFrame, setting: Setting) -> bool:
+    """Whether enough neighbours are new since the round before, or wait for a round that takes them."""
+    new = F.size(F.filter(F.arrays_zip("old", "pick"), lambda e: ~e["old"] | e["pick"]))
+    told = graph.agg(F.sum(new).alias("new"), F.sum(F.size("old")).alias("all")).first()
+    return (told["new"] or 0) > setting.settled * (told["all"] or 0)
+
+
 def adjacency(graph: DataFrame, setting: Setting) -> DataFrame:
     """u and its neighbours either way; of very many reverse ones those with the least hashed ids."""
     e = graph.select("u", F.explode("v").alias("v"))
@@ -328,9 +334,8 @@ def search(queries: DataFrame, vecs: DataFrame, graph: DataFrame, dim: int, bloc
         first = np.searchsorted(u, np.arange(st.num_rows))
         return pa.table({"q": st.column("q"), "vec": st.column("vec"), "c": lists(v, first, pa.int64()), "s": lists(s, first, pa.float64()), "done": lists(x, first, pa.bool_())})
 
-    for _ in range(setting.steps):
-        if not state.where(F.exists("done", lambda x: ~x)).limit(1).count():
-            break
+    # ends: a beam only gets better, and no node that left it comes back
+    while state.where(F.exists("done", lambda x: ~x)).limit(1).count():
         f = state.mapInArrow(tidy(frontier), "q long, vec array<float>, worst double, f long").withColumn("b", block_of("f", blocks))
         named = f.groupBy("b").cogroup(near.groupBy("b")).applyInArrow(expand, "q long, vec array<float>, worst double, w array<long>")
         named = named.select("q", "vec", "worst", F.explode("w").alias("w")).withColumn("b", block_of("w", blocks)).groupBy("b", "q").agg(F.first("vec").alias("vec"), F.first("worst").alias("worst"), F.collect_set("w").alias("w"))
@@ -360,27 +365,30 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, setting: Setting = S
         return empty
     dim = size["n"]
     d = d.where(F.size("raw") == dim).groupBy("vec_id").agg(F.min("raw").alias("raw"))
-    d = d.withColumn("r", F.row_number().over(Window.partitionBy("raw").orderBy("vec_id")))
-    d = d.withColumn("ask", is_query)
-    ids = cut(d, "vectors")
-    nodes = ids.where("r = 1").select(F.col("vec_id").alias("u"), "raw")
+    ids = cut(d.withColumn("ask", is_query), "vectors")
+    # each task keeps its own k + 1 least ids of a vector before they meet, however many rows have it
+    first = F.row_number().over(Window.partitionBy("raw").orderBy("vec_id"))
+    copies = cut(ids.withColumn("r", first).where(F.col("r") <= k + 1).select("vec_id", "raw", "r"), "copies")
+    nodes = copies.where("r = 1").select(F.col("vec_id").alias("u"), "raw")
     told = nodes.agg(F.count("*").alias("n"), F.max(F.aggregate("raw", F.lit(0.0), lambda a, x: a + x.cast("double") * x)).alias("m")).first()
     n, longest = told["n"], told["m"]
     rest = F.sqrt(F.greatest(F.lit(0.0), F.lit(longest) - F.aggregate("raw", F.lit(0.0), lambda a, x: a + x.cast("double") * x))).cast("float")
     vecs = cut(nodes.select("u", "raw", F.concat("raw", F.array(rest)).alias("vec")), "nodes")
-    blocks = max(1, -(-n // setting.block))
-    graph = merge(None, first_graph(vecs, dim + 1, setting, n), blocks, setting, 0)
-    if n > setting.leaf:
-        for i in range(setting.rounds):
-            graph = descend(graph, vecs, dim + 1, blocks, setting, i + 1)
-    of_node = ids.select("vec_id", "raw", "ask", "r").join(nodes.select(F.col("u").alias("node"), F.col("raw").alias("raw2")), F.col("raw") == F.col("raw2"))
-    members = cut(of_node.where((F.col("r") <= k + 1) | F.col("ask")).select("vec_id", "node", "ask", "r", "raw"), "members")
-    asked = members.where("ask").groupBy(F.col("node").alias("q")).agg(F.first("raw").alias("vec"))
+    blocks = max(1, -(-n * dim // setting.values))
+    setting = replace(setting, beam=max(setting.beam, 10 * n.bit_length()))
+    graph, i = merge(None, first_graph(vecs, dim + 1, setting, n), blocks, setting, 0), 0
+    while n > setting.leaf and unsettled(graph, setting):
+        i += 1
+        graph = descend(graph, vecs, dim + 1, blocks, setting, i)
+    node = nodes.select(F.col("u").alias("node"), "raw")
+    stand = cut(copies.join(node, "raw").select("vec_id", "node"), "stand-ins")
+    asks = cut(ids.where("ask").join(node, "raw").select("vec_id", "node", "raw"), "asks")
+    asked = asks.groupBy(F.col("node").alias("q")).agg(F.first("raw").alias("vec"))
     found = search(asked, vecs, graph, dim, blocks, setting)
     found = found.select("q", F.explode(F.slice(F.arrays_zip("c", "s"), 1, k + 1)).alias("e")).select("q", F.col("e.c").alias("node"), F.col("e.s").alias("score"))
-    named = found.join(members.where(F.col("r") <= k + 1).select("node", "vec_id"), "node").select("q", "vec_id", "score")
+    named = found.join(stand, "node").select("q", "vec_id", "score")
     w = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
     named = named.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k + 1)
-    out = members.where("ask").select(F.col("vec_id").alias("query_id"), F.col("node").alias("q")).join(named, "q").where("query_id != vec_id")
+    out = asks.select(F.col("vec_id").alias("query_id"), F.col("node").alias("q")).join(named, "q").where("query_id != vec_id")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
