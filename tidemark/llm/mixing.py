@@ -127,9 +127,29 @@ class Known:
         find = under(key, sym)
         o = np.argsort(find)
         self.find, self.slots = find[o], slots[o]
+        # keys are even hashes: their first bits tell nearly where a key stands
+        self.shift = np.uint64(64 - max(1, len(find).bit_length()))
+        self.near = np.searchsorted(self.find, np.arange(1 << int(64 - self.shift), dtype=np.uint64) << self.shift)
 
     def at(self, key: np.ndarray, sym: np.ndarray) -> np.ndarray:
-        return self.slots[np.searchsorted(self.find, under(key, sym))].ravel()
+        want = under(key, sym)
+        place = self.near[want >> self.shift]
+        off = np.flatnonzero(self.find[place] != want)
+        while len(off):
+            place[off] += 1
+            off = off[self.find[place[off]] != want[off]]
+        return self.slots[place].ravel()
+
+    def without(self) -> tuple[np.ndarray, np.ndarray]:
+        """By slot and bit, two each: the stretched prediction and the level without that one bit's own count."""
+        told = np.empty((len(self.counts), 2), np.float32)
+        level = np.empty((len(self.counts), 2), np.int8)
+        for bit in range(2):
+            c = self.counts.astype(np.float64)
+            c[:, bit] = np.maximum(0, c[:, bit] - 1)
+            told[:, bit] = np.log((c[:, 1] + 0.2) / (c[:, 0] + 0.2))
+            level[:, bit] = np.digitize(c[:, 0] + c[:, 1], LEVELS)
+        return told.ravel(), level.ravel()
 
 
 def events(us: list[bytes], places: Known | tuple[int, ...], headed: bool = False) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
@@ -164,26 +184,22 @@ class Model:
         self.weights = np.full(((len(LEVELS) + 1) * (N + 1), N + 1), 0.3, np.float32) if weights is None else weights
         self.refined = np.tile(squash((np.arange(BUCKETS) - BUCKETS // 2) / 2.0), (256, 1)).astype(np.float32) if refined is None else refined
 
-    def inputs(self, slots: list[np.ndarray], bit: np.ndarray, counts: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Stretched predictions and the gate; with counts, each bit's own count is left out."""
-        x = np.empty((len(bit), N + 1), np.float32)
-        x[:, N] = 0.3
-        if counts is None:
-            for k in range(N):
-                x[:, k] = self.ready[0][k][slots[k]]
-            level = self.ready[1][slots[-1]]
-        else:
-            rows = np.arange(len(bit))
-            for k in range(N):
-                c = counts[k][slots[k]].astype(np.float64)
-                c[rows, bit] = np.maximum(0, c[rows, bit] - 1)
-                total = c.sum(1)
-                x[:, k] = np.log((c[:, 1] + 0.2) / (c[:, 0] + 0.2))
-            level = np.digitize(total, LEVELS)
-        return x, (x[:, :N] != 0).sum(1) * (len(LEVELS) + 1) + level
+    def inputs(self, slots: list[np.ndarray], bit: np.ndarray, without: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Stretched predictions, by context, and the gate; with Known.without, each bit's own count is left out."""
+        x = np.empty((N + 1, len(bit)), np.float32)
+        x[N] = 0.3
+        known = np.zeros(len(bit), np.int64)
+        for k in range(N):
+            at = slots[k] if without is None else slots[k] * 2 + bit
+            x[k] = (self.ready[0][k] if without is None else without[0])[at]
+            known += x[k] != 0
+        return x, known * (len(LEVELS) + 1) + (self.ready[1] if without is None else without[1])[at]
 
     def mixed(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        return np.clip(np.einsum("ij,ij->i", x, self.weights[gate]), -8, 8)
+        z = np.zeros(len(gate), np.float32)
+        for k in range(N + 1):
+            z += x[k] * self.weights[:, k][gate]
+        return np.clip(z, -8, 8)
 
     def refining(self, s: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The mix of a prediction with what the refining table says, and the table's nearer place."""
@@ -199,6 +215,7 @@ class Model:
         s = self.setting
         size = 256 * BUCKETS
         told = [np.zeros(len(self.weights)), np.zeros(self.weights.shape), np.zeros(size), np.zeros(size)]
+        without = known.without()
         order = np.random.default_rng(0).permutation(len(us))
         times = max(1, -(-200 * s.batch // max(1, len(us))))  # a part of few units goes round
         for _ in range(times):
@@ -209,12 +226,12 @@ class Model:
                 w_ = weight[at][of_]
                 for lo, hi in zip(ends, ends[1:], strict=False):
                     node, bit, w = node_[lo:hi], bit_[lo:hi], w_[lo:hi]
-                    x, gate = self.inputs([k[lo:hi] for k in slots_], bit, [known.counts] * N)
+                    x, gate = self.inputs([k[lo:hi] for k in slots_], bit, without)
                     z = self.mixed(x, gate)
                     err = (bit - squash(z)) * w
                     mass = np.bincount(gate, w, len(self.weights))
                     for k in range(N + 1):  # a gate moves by its bits' mean error
-                        self.weights[:, k] += s.rate * np.bincount(gate, err * x[:, k], len(self.weights)) / (mass + 1e-9)
+                        self.weights[:, k] += s.rate * np.bincount(gate, err * x[k], len(self.weights)) / (mass + 1e-9)
                     told[0] += mass
                     told[1] += mass[:, None] * self.weights
                     cell = node * BUCKETS + self.refining(z, node)[1]
