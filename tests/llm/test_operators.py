@@ -11,6 +11,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -534,13 +535,28 @@ def test_op2_counts_are_exact_over_parts(spark):
     assert seen == sum(8 * (len(u) - 1) for u in counted) * mixing.N
 
 
+def test_op2_chunks_keep_texts_and_counts():
+    """Places lead back to the texts' units and counts to the training texts', wherever chunks end."""
+    texts = ["a b c", None, "", "b b d e f", "\t\n x", "é " * 50, "a b c"] * 90
+    train = [i % 3 > 0 for i in range(len(texts))]
+    rows = pa.record_batch([pa.array(range(len(texts))), pa.array(texts), pa.array(train)], names=["doc_id", "text", "train"])
+    got = pa.Table.from_batches(mixing._chunks(iter([rows]), most=4)).to_pylist()
+    names = {(r["chunk"], r["place"]): r["unit"] for r in got if r["unit"] is not None}
+    for r in (r for r in got if r["places"] is not None):
+        assert [names[r["chunk"], x] for x in np.frombuffer(r["places"], np.int32)] == mixing.units(texts[r["doc_id"]]) and r["train"] == train[r["doc_id"]]
+    want, n = Counter(u for x, t in zip(texts, train, strict=True) if t for u in mixing.units(x)), Counter()
+    for r in got:
+        n[r["unit"]] += r["n"] or 0
+    assert len({k for k, _ in names}) > 1 and {u: k for u, k in n.items() if k} == want
+
+
 def test_op2_learns_from_all_units():
     """Every training unit tunes the mixer and the refining table, as often as it occurs; contexts reach 4 bytes and over a unit's border."""
     assert mixing.Setting().sample is None and 4 in mixing.ORDERS
     assert mixing.units("a. b")[1] != mixing.units("a b")[1]
     us = [bytes([10]) + f"w{i} ".encode() for i in range(3000)]
     n = np.arange(1, 3001)
-    (key, sym, c) = (np.concatenate(x) for x in zip(*(x for y in mixing.own_contexts(us, n) for x in y), strict=True))
+    (key, sym, c) = (np.concatenate(x) for x in zip(*mixing.own_contexts(us, n, True), *mixing.own_contexts(us, n, False), strict=True))
     told = mixing.Model(([], np.zeros(0)), mixing.Setting()).learn(us, n.astype(float), mixing.Known(key, sym, c))
     bits = sum(8 * (len(u) - 1) * int(k) for u, k in zip(us, n, strict=True))
     assert math.isclose(told[0].sum(), bits, rel_tol=1e-6) and math.isclose(told[2].sum(), bits, rel_tol=1e-6)

@@ -79,12 +79,6 @@ def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
     return whole
 
 
-def blocks_for(df: DataFrame, text: str, block_bytes: int) -> int:
-    """Number of blocks so that each holds about block_bytes of text."""
-    n = df.agg(F.sum(F.octet_length(text) + 64).alias("n")).first()["n"] or 0
-    return max(1, -(-n // block_bytes))
-
-
 def rows_out(schema: pa.Schema, columns: Iterable[Iterable]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 

@@ -13,18 +13,18 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.errors import AnalysisException
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ASCII_UPPER, batches_of, blocks_for, cut, rows_out, shared_folder, tidy
+from tidemark.llm.common import ASCII_UPPER, batches_of, cut, rows_out, shared_folder, tidy
 
 UNIT = re.compile(rb"[^\x20\x09-\x0D\xff]*[\x20\x09-\x0D\xff]")
 END = b"\xff"
@@ -257,40 +257,47 @@ class Model:
         return out
 
 
-COUNTS = pa.schema([("block", pa.int64()), ("unit", pa.binary()), ("n", pa.int64())])
+TOLD = pa.schema([("chunk", pa.int64()), ("place", pa.int32()), ("unit", pa.binary()), ("n", pa.int64()), ("doc_id", pa.int64()), ("train", pa.bool_()), ("places", pa.binary())])
 
 
-def _count_units(it: Iterator[pa.RecordBatch], most: int = 400_000) -> Iterator[pa.RecordBatch]:
-    """Units of a partition's blocks with how often training texts have them; those that only held-out texts have count 0."""
-    held: dict[int, tuple[Counter[bytes], set[bytes]]] = {}
+class Places(dict):
+    """A chunk's units, each with its place in order of first sight."""
 
-    def out(blocks: list[int]) -> Iterator[pa.RecordBatch]:
-        for k in blocks:
-            counted, seen = held.pop(k)
-            ks = [*counted, *(seen - counted.keys())]
-            for i in range(0, len(ks), 20_000):
-                part = ks[i : i + 20_000]
-                yield rows_out(COUNTS, [[k] * len(part), part, [counted.get(x, 0) for x in part]])
+    def __missing__(self, unit: bytes) -> int:
+        got = self[unit] = len(self)
+        return got
+
+
+def _chunks(it: Iterator[pa.RecordBatch], most: int = 600_000, size: int = 32 << 20) -> Iterator[pa.RecordBatch]:
+    """A partition's texts as places of their units (int32, packed), and after each chunk of texts its units with how often training texts have them; those that only held-out texts have count 0. A chunk ends at so many units or bytes of text."""
+    task = TaskContext.get()
+    chunk = (task.partitionId() if task else 0) << 32
+    places, counts, held = Places(), np.zeros(0, np.int64), 0
+
+    def close() -> Iterator[pa.RecordBatch]:
+        us, n = list(places), counts
+        for i in range(0, len(us), 20_000):
+            k = len(us[i : i + 20_000])
+            yield rows_out(TOLD, [pa.array([chunk] * k, pa.int64()), pa.array(np.arange(i, i + k, dtype=np.int32)), us[i : i + k], pa.array(n[i : i + k]), *(pa.nulls(k, f.type) for f in list(TOLD)[4:])])
 
     for b in it:
-        for k, text, train in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if k not in held:
-                if sum(len(c) + len(s) for c, s in held.values()) > most:
-                    yield from out(list(held))
-                held[k] = (Counter(), set())
-            held[k][0 if train else 1].update(units(text))
-            if len(held[k][0]) + len(held[k][1]) > 4 * most:
-                yield from out([k])
-                held[k] = (Counter(), set())
-    yield from out(list(held))
-
-
-def blocked(docs: DataFrame, rows: int, block_bytes: int) -> DataFrame:
-    """docs with block: so many rows that lie together in a file; where rows have no place in a file, a hash of the id."""
-    try:
-        return docs.withColumn("block", F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / rows)))
-    except AnalysisException:
-        return docs.withColumn("block", F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(0))), F.lit(blocks_for(docs, "text", block_bytes))))
+        for lo in range(0, b.num_rows, 200):
+            ids, texts, train = (c.to_pylist() for c in b.slice(lo, 200).columns)
+            at = []
+            for text in texts:
+                u = units(text)
+                at.append(np.fromiter(map(places.__getitem__, u), np.int32, len(u)))
+                held += len(text or "")
+            mine = [x for x, t in zip(at, train, strict=True) if t]
+            more = np.bincount(np.concatenate(mine), minlength=len(places)) if mine else np.zeros(len(places), np.int64)
+            more[: len(counts)] += counts
+            counts = more
+            k = len(ids)
+            yield rows_out(TOLD, [pa.array([chunk] * k, pa.int64()), *(pa.nulls(k, f.type) for f in list(TOLD)[1:4]), ids, train, [x.tobytes() for x in at]])
+            if len(places) > most or held > size:
+                yield from close()
+                places, counts, held, chunk = Places(), np.zeros(0, np.int64), 0, chunk + 1
+    yield from close()
 
 
 ASKED = "bucket int, part int, key binary, sym binary, n binary"
@@ -310,22 +317,21 @@ def joint(arrays_: list[np.ndarray], kind: type) -> np.ndarray:
     return np.concatenate(arrays_) if arrays_ else np.zeros(0, kind)
 
 
-def own_contexts(us: list[bytes], n: np.ndarray) -> tuple[list[tuple[np.ndarray, ...]], list[tuple[np.ndarray, ...]]]:
-    """Rows of (key, byte, count) of a part's units: those of contexts that other parts may have, and the others."""
+def own_contexts(us: list[bytes], n: np.ndarray, shared: bool) -> list[tuple[np.ndarray, ...]]:
+    """Rows of (key, byte, count) of a part's units: those of contexts that other parts may have, or the others."""
     of, contexts, sym = coded(us)
     w = n[of]
     _, (*_, border), _ = coded([min(us), max(us)])
-    shared = np.isin(contexts[-1], border)
-    both = [summed(h, sym, w) for h in contexts[:-1]]
-    both.append(summed(contexts[-1][shared], sym[shared], w[shared]))
-    return both, [summed(contexts[-1][~shared], sym[~shared], w[~shared])]
+    mine = np.isin(contexts[-1], border) == shared
+    last = summed(contexts[-1][mine], sym[mine], w[mine])
+    return [*(summed(h, sym, w) for h in contexts[:-1]), last] if shared else [last]
 
 
 def shared_contexts(every: DataFrame, parts: int) -> DataFrame:
     """For each part of units (part, unit, n), rows of the contexts that it has and other parts may have, with their bytes and counts over all parts; packed by buckets of keys."""
 
     def ask(key: tuple, t: pa.Table) -> pa.Table:
-        both, _ = own_contexts(t.column("unit").to_pylist(), t.column("n").to_numpy())
+        both = own_contexts(t.column("unit").to_pylist(), t.column("n").to_numpy(), True)
         k, sym, n = (np.concatenate(x) for x in zip(*both, strict=True))
         b = (k % np.uint64(parts)).astype(np.int64)
         o = np.argsort(b, kind="stable")
@@ -357,7 +363,7 @@ def known_of(units_: pa.Table, given: pa.Table) -> tuple[list[bytes], np.ndarray
     """A part's units, how often training texts have them, and the counts of all their contexts."""
     us, n = units_.column("unit").to_pylist(), units_.column("n").to_numpy()
     key = np.repeat(joint(arrays(given, "key", np.uint64), np.uint64), joint(arrays(given, "size", np.uint16), np.uint16))
-    rows = [(key, joint(arrays(given, "sym", np.uint8), np.uint8).astype(np.int64), joint(arrays(given, "n", np.int64), np.int64)), *own_contexts(us, n)[1]]
+    rows = [(key, joint(arrays(given, "sym", np.uint8), np.uint8).astype(np.int64), joint(arrays(given, "n", np.int64), np.int64)), *own_contexts(us, n, False)]
     return us, n, Known(*(np.concatenate(x) for x in zip(*rows, strict=True)))
 
 
@@ -392,7 +398,7 @@ def tuned(every: DataFrame, contexts: DataFrame, setting: Setting) -> tuple[np.n
     return start.weights, start.refined
 
 
-def score(docs: DataFrame, train: Column, setting: Setting = Setting(), block_rows: int = 8192, block_bytes: int = 16 << 20) -> DataFrame:
+def score(docs: DataFrame, train: Column, setting: Setting = Setting()) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row of docs (doc_id, text).
 
     train tells the rows to learn from. Null texts count as empty: their one token is the end. base_score is the add-one
@@ -400,21 +406,24 @@ def score(docs: DataFrame, train: Column, setting: Setting = Setting(), block_ro
     as bytes with its end. Without training rows all counts are 0 and the model is untrained. Repeated rows count each
     time and get equal results; other columns are left out. Words may be of any length.
 
-    Tasks count the units of their blocks of rows, a shuffle adds them up and scores each distinct unit once. Texts are
-    then shuffled once by block and meet the scores of just their own units. Counts of contexts stay in the parts of units
+    Tasks write their texts as places in chunks' lists of units, with these lists and their counts; a shuffle adds them up
+    and scores each distinct unit once. Places are then shuffled once by chunk and meet the scores of the chunk's units;
+    texts are read once. Counts of contexts stay in the parts of units
     that ask for them; only the mixer's weights and the refining table go to the driver, added up over 64 parts at a time.
     """
     spark = docs.sparkSession
     batches_of(spark)
     shared_folder(spark)
-    d = blocked(docs, block_rows, block_bytes).select(F.col("doc_id").cast("long").alias("doc_id"), "text", train.alias("train"), "block")
-    own = cut(d.select("block", "text", "train").mapInArrow(tidy(_count_units), "block long, unit binary, n long"), "block-units")
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", train.alias("train"))
+    told = cut(d.mapInArrow(tidy(_chunks), "chunk long, place int, unit binary, n long, doc_id long, train boolean, places binary"), "chunks")
+    texts = told.where("places is not null").select("chunk", "doc_id", "train", "places")
+    own = told.where("unit is not null").select("chunk", "place", "unit", "n")
     every = cut(own.groupBy("unit").agg(F.sum("n").alias("n")), "units")
     parts = max(1, -(-every.count() // setting.per_part))
     every = cut(every.repartitionByRange(parts, "unit").withColumn("part", F.spark_partition_id()), "parts")
     word = F.expr(f"translate(cast(substring(unit, 2, octet_length(unit) - 2) as string), '{ASCII_UPPER}', '{ASCII_UPPER.lower()}')")
-    told = every.select("part", "unit", "n", F.expr("if(octet_length(unit) > 2, null, '')").alias("none")).withColumn("token", F.when(F.col("none").isNull(), word)).drop("none")
-    words = cut(told.where("token is not null").groupBy("token").agg(F.sum("n").alias("c")), "words")
+    each = every.select("part", "unit", "n", F.expr("if(octet_length(unit) > 2, null, '')").alias("none")).withColumn("token", F.when(F.col("none").isNull(), word)).drop("none")
+    words = cut(each.where("token is not null").groupBy("token").agg(F.sum("n").alias("c")), "words")
     ends = every.where("endswith(unit, X'FF')").agg(F.sum("n").alias("e")).first()["e"] or 0
     seen = words.where("c > 0").agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n_all, v_all = (seen["n"] or 0) + ends, seen["v"] + (ends > 0)
@@ -431,29 +440,22 @@ def score(docs: DataFrame, train: Column, setting: Setting = Setting(), block_ro
             s = Model((told * N, level), setting, *shipped.value).log10(us, known)
         return pa.table([t.column("unit"), pa.array(s), t.column("c")], names=["unit", "s", "c"])
 
-    table = told.join(words, "token", "left").select("part", "unit", "n", F.coalesce("c", F.lit(0).cast("long")).alias("c"))
+    table = each.join(words, "token", "left").select("part", "unit", "n", F.coalesce("c", F.lit(0).cast("long")).alias("c"))
     table = table.groupBy("part").cogroup(contexts.groupBy("part")).applyInArrow(scored, "unit binary, s double, c long")
     table = cut(table, "unit-scores")
 
     def judged(key: tuple, texts: pa.Table, table: pa.Table) -> pa.Table:
-        us = table.column("unit").to_pylist()
-        place = dict(zip(us, range(len(us)), strict=True))
-        c, s = table.column("c").to_numpy(), table.column("s").to_numpy().astype(np.float64)
-        real = np.fromiter(map(len, us), np.int64, len(us)) > 2
-        sums = np.stack([real, real & (c > 0), np.where(real, np.log10(c + 1.0) - floor, 0.0), s], axis=1)  # what a unit adds to a text
-        out = []
-        kept: list[list] = [[], []]
-        for b in texts.to_batches(max_chunksize=500):
-            kept[0] += b.column("doc_id").to_pylist()
-            kept[1] += [not x for x in b.column("train").to_pylist()]
-            for text in b.column("text").to_pylist():
-                u = units(text)
-                out.append(sums[np.fromiter(map(place.__getitem__, u), np.int64, len(u))].sum(0))
-        got = np.array(out).reshape(-1, 4)
+        real, s = np.zeros((2, table.num_rows))
+        c = np.zeros(table.num_rows, np.int64)
+        at = table.column("place").to_numpy()
+        real[at], s[at], c[at] = (table.column(x).to_numpy(zero_copy_only=False) for x in ("real", "s", "c"))
+        sums = np.stack([real, real * (c > 0), np.where(real > 0, np.log10(c + 1.0) - floor, 0.0), s], axis=1)  # what a unit adds to a text
+        got = np.array([sums[np.frombuffer(x.as_buffer(), np.int32)].sum(0) for x in texts.column("places")]).reshape(-1, 4)
         n = got[:, :2].round().astype(np.int64) + np.array([1, int(ends > 0)])
         base = got[:, 2] + (math.log10(ends + 1) - floor)
-        columns = [pa.array(kept[0], pa.int64()), pa.array(kept[1], pa.bool_()), pa.array(n[:, 0]), pa.array(n[:, 1]), pa.array([n_all] * len(n), pa.int64()), pa.array(base), pa.array(got[:, 3])]
+        held_out = pc.invert(pc.fill_null(texts.column("train"), False))
+        columns = [texts.column("doc_id"), held_out, pa.array(n[:, 0]), pa.array(n[:, 1]), pa.array(np.full(len(n), n_all)), pa.array(base), pa.array(got[:, 3])]
         return pa.table(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    mine = own.select(F.col("block").alias("at"), "unit").join(table, "unit").select("at", "unit", F.col("s").cast("float").alias("s"), "c")
-    return d.groupBy("block").cogroup(mine.groupBy("at")).applyInArrow(judged, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    mine = own.join(table, "unit").select(F.col("chunk").alias("at"), "place", F.expr("octet_length(unit) > 2").alias("real"), "s", "c")
+    return texts.groupBy("chunk").cogroup(mine.groupBy("at")).applyInArrow(judged, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
