@@ -147,7 +147,7 @@ def test_op2_is_a_probability():
     rng = np.random.default_rng(0)
     m = mixing.Model(mixing.predictors([rng.integers(0, 9, (256, 2)).astype(np.float32) for _ in range(mixing.N)]), s)
     of, slots, node, bit = mixing.events([b"a" + bytes([x]) for x in range(256)], s.bits)
-    p, _ = m.refining(m.mixed(*m.inputs(slots, bit)), node)
+    p = m.refining(m.mixed(*m.inputs(slots, bit)), node)
     last = np.tile(np.arange(16) >= 8, 256)
     assert math.isclose(np.exp(np.bincount(of[last], np.log(np.where(bit == 1, p, 1 - p))[last])).sum(), 1, rel_tol=1e-4)
 

@@ -201,14 +201,13 @@ class Model:
             z += x[k] * self.weights[:, k][gate]
         return np.clip(z, -8, 8)
 
-    def refining(self, s: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The mix of a prediction with what the refining table says, and the table's nearer place."""
+    def refining(self, s: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """The mix of a prediction with what the refining table says."""
         y = np.clip((s * 2) + BUCKETS // 2, 0, BUCKETS - 1.001)
         low = y.astype(np.int64)
         part = y - low
         r = self.refined[node, low] * (1 - part) + self.refined[node, low + 1] * part
-        p = np.clip(0.5 * squash(s) + 0.5 * r, 2.0**-20, 1 - 2.0**-20)
-        return p, low + (part > 0.5)
+        return np.clip(0.5 * squash(s) + 0.5 * r, 2.0**-20, 1 - 2.0**-20)
 
     def learn(self, us: list[bytes], weight: np.ndarray, known: Known) -> list[np.ndarray]:
         """Predict batches' bits without their own count and move the weights; what there is to add up over parts: by gate the bits and the weights times these, by cell of the refining table the bits and their ones."""
@@ -234,7 +233,8 @@ class Model:
                         self.weights[:, k] += s.rate * np.bincount(gate, err * x[k], len(self.weights)) / (mass + 1e-9)
                     told[0] += mass
                     told[1] += mass[:, None] * self.weights
-                    cell = node * BUCKETS + self.refining(z, node)[1]
+                    y = np.clip((z * 2) + BUCKETS // 2, 0, BUCKETS - 1.001)
+                    cell = node * BUCKETS + np.ceil(y - 0.5).astype(np.int64)
                     told[2] += np.bincount(cell, w, size)
                     told[3] += np.bincount(cell, w * bit, size)
         return [x / times for x in told]
@@ -252,7 +252,7 @@ class Model:
         for i in range(0, len(us), 4096):
             of, slots, node, bit = events(us[i : i + 4096], known, True)
             x, gate = self.inputs(slots, bit)
-            p, _ = self.refining(self.mixed(x, gate), node)
+            p = self.refining(self.mixed(x, gate), node)
             out[i : i + 4096] = np.bincount(of, np.log10(np.where(bit == 1, p, 1 - p)), min(4096, len(us) - i))
         return out
 
