@@ -540,10 +540,10 @@ def test_op2_chunks_keep_texts_and_counts():
     texts = ["a b c", None, "", "b b d e f", "\t\n x", "é " * 50, "a b c"] * 90
     train = [i % 3 > 0 for i in range(len(texts))]
     rows = pa.record_batch([pa.array(range(len(texts))), pa.array(texts), pa.array(train)], names=["doc_id", "text", "train"])
-    got = pa.Table.from_batches(mixing._chunks(iter([rows]), most=4)).to_pylist()
+    got = pa.Table.from_batches(mixing._chunks(iter([rows]), 4)).to_pylist()
     names = {(r["chunk"], r["place"]): r["unit"] for r in got if r["unit"] is not None}
     for r in (r for r in got if r["places"] is not None):
-        assert [names[r["chunk"], x] for x in np.frombuffer(r["places"], np.int32)] == mixing.units(texts[r["doc_id"]]) and r["train"] == train[r["doc_id"]]
+        assert [names[r["chunk"], x] for x in mixing.unpacked(r["places"])] == mixing.units(texts[r["doc_id"]]) and r["train"] == train[r["doc_id"]]
     want, n = Counter(u for x, t in zip(texts, train, strict=True) if t for u in mixing.units(x)), Counter()
     for r in got:
         n[r["unit"]] += r["n"] or 0

@@ -172,7 +172,7 @@ Ready = tuple[list[np.ndarray], np.ndarray]
 
 def predictors(counts: list[np.ndarray]) -> Ready:
     """Each context's stretched predictions, 0 for slots without counts, and how well the last context's slots are known."""
-    told = [np.log((c[:, 1] + np.float32(0.2)) / (c[:, 0] + np.float32(0.2))).astype(np.float16) for c in counts]
+    told = [np.log((c[:, 1] + np.float32(0.2)) / (c[:, 0] + np.float32(0.2))) for c in counts]
     return told, np.digitize(counts[-1].sum(1), LEVELS).astype(np.int8)
 
 
@@ -261,42 +261,80 @@ TOLD = pa.schema([("chunk", pa.int64()), ("place", pa.int32()), ("unit", pa.bina
 
 
 class Places(dict):
-    """A chunk's units, each with its place in order of first sight."""
+    """Units without their first bytes, each with its place in order of first sight, and the byte that each gives its follower."""
+
+    def __init__(self) -> None:
+        self.names: list[bytes] = []
+        self.kinds = np.zeros(0, np.int64)
 
     def __missing__(self, unit: bytes) -> int:
         got = self[unit] = len(self)
+        self.names.append(unit)
         return got
 
+    def all_kinds(self) -> np.ndarray:
+        self.kinds = np.append(self.kinds, np.frombuffer(b"".join(map(KINDS.__getitem__, self.names[len(self.kinds) :])), np.uint8))
+        return self.kinds
+
+
+HEADS = [bytes([x]) for x in range(11)]
+PACKER = pa.Codec("zstd", 1)
+
+
+def packed(places: np.ndarray) -> bytes:
+    """Places as bytes: how many there are, then their first, second, third and fourth bytes, compressed."""
+    return len(places).to_bytes(8, "little") + PACKER.compress(places.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), asbytes=True)
+
+
+def unpacked(x: bytes) -> np.ndarray:
+    n = int.from_bytes(x[:8], "little")
+    return np.ascontiguousarray(np.frombuffer(PACKER.decompress(x[8:], 4 * n, asbytes=True), np.uint8).reshape(4, n).T).view("<u4").ravel()
+
 
 def _chunks(it: Iterator[pa.RecordBatch], most: int = 600_000, size: int = 32 << 20) -> Iterator[pa.RecordBatch]:
-    """A partition's texts as places of their units (int32, packed), and after each chunk of texts its units with how often training texts have them; those that only held-out texts have count 0. A chunk ends at so many units or bytes of text."""
+    """A partition's texts as packed places of their units, and after each chunk of texts its units with how often training texts have them; those that only held-out texts have count 0. A chunk ends at so many units or bytes of text."""
     task = TaskContext.get()
-    chunk = (task.partitionId() if task else 0) << 32
-    places, counts, held = Places(), np.zeros(0, np.int64), 0
+    chunk = ((task.partitionId() if task else 0) << 32) - 1
+    held = size + 1
+    bare, place_of, seen, counts = Places(), np.zeros(0, np.int32), [], np.zeros(0, np.int64)
 
     def close() -> Iterator[pa.RecordBatch]:
-        us, n = list(places), counts
-        for i in range(0, len(us), 20_000):
-            k = len(us[i : i + 20_000])
-            yield rows_out(TOLD, [pa.array([chunk] * k, pa.int64()), pa.array(np.arange(i, i + k, dtype=np.int32)), us[i : i + k], pa.array(n[i : i + k]), *(pa.nulls(k, f.type) for f in list(TOLD)[4:])])
+        codes = np.concatenate(seen) if seen else np.zeros(0, np.int64)
+        for i in range(0, len(codes), 20_000):
+            part = codes[i : i + 20_000].tolist()
+            us = [HEADS[x % 11] + bare.names[x // 11] for x in part]
+            k = len(us)
+            yield rows_out(TOLD, [pa.array([chunk] * k, pa.int64()), pa.array(np.arange(i, i + k, dtype=np.int32)), us, pa.array(counts[i : i + k]), *(pa.nulls(k, f.type) for f in list(TOLD)[4:])])
 
     for b in it:
         for lo in range(0, b.num_rows, 200):
+            if len(counts) > most or held > size:
+                yield from close()
+                bare, place_of, seen, counts, held, chunk = Places(), np.zeros(0, np.int32), [], np.zeros(0, np.int64), 0, chunk + 1
             ids, texts, train = (c.to_pylist() for c in b.slice(lo, 200).columns)
             at = []
             for text in texts:
-                u = units(text)
-                at.append(np.fromiter(map(places.__getitem__, u), np.int32, len(u)))
+                u = UNIT.findall((text or "").encode() + END)
+                at.append(np.fromiter(map(bare.__getitem__, u), np.int64, len(u)))
                 held += len(text or "")
-            mine = [x for x, t in zip(at, train, strict=True) if t]
-            more = np.bincount(np.concatenate(mine), minlength=len(places)) if mine else np.zeros(len(places), np.int64)
-            more[: len(counts)] += counts
-            counts = more
+            sizes = np.array([len(x) for x in at])
+            ends = np.cumsum(sizes)
+            every = np.concatenate(at)
+            code = every * 11
+            code[1:] += bare.all_kinds()[every[:-1]]
+            code[ends - sizes] = every[ends - sizes] * 11 + 10  # a text's first unit
+            if len(bare) * 11 > len(place_of):
+                place_of = np.append(place_of, np.full(max(len(place_of), len(bare) * 11 - len(place_of)), -1, np.int32))
+            fresh = code[place_of[code] < 0]
+            if len(fresh):
+                fresh = np.unique(fresh)
+                place_of[fresh] = np.arange(len(counts), len(counts) + len(fresh))
+                seen.append(fresh)
+                counts = np.append(counts, np.zeros(len(fresh), np.int64))
+            places = place_of[code]
+            counts += np.bincount(places[np.repeat(np.array(train, bool), sizes)], minlength=len(counts))
             k = len(ids)
-            yield rows_out(TOLD, [pa.array([chunk] * k, pa.int64()), *(pa.nulls(k, f.type) for f in list(TOLD)[1:4]), ids, train, [x.tobytes() for x in at]])
-            if len(places) > most or held > size:
-                yield from close()
-                places, counts, held, chunk = Places(), np.zeros(0, np.int64), 0, chunk + 1
+            yield rows_out(TOLD, [pa.array([chunk] * k, pa.int64()), *(pa.nulls(k, f.type) for f in list(TOLD)[1:4]), ids, train, [packed(x) for x in np.split(places, ends[:-1])]])
     yield from close()
 
 
@@ -450,7 +488,7 @@ def score(docs: DataFrame, train: Column, setting: Setting = Setting()) -> DataF
         at = table.column("place").to_numpy()
         real[at], s[at], c[at] = (table.column(x).to_numpy(zero_copy_only=False) for x in ("real", "s", "c"))
         sums = np.stack([real, real * (c > 0), np.where(real > 0, np.log10(c + 1.0) - floor, 0.0), s], axis=1)  # what a unit adds to a text
-        got = np.array([sums[np.frombuffer(x.as_buffer(), np.int32)].sum(0) for x in texts.column("places")]).reshape(-1, 4)
+        got = np.array([sums[unpacked(x)].sum(0) for x in texts.column("places").to_pylist()]).reshape(-1, 4)
         n = got[:, :2].round().astype(np.int64) + np.array([1, int(ends > 0)])
         base = got[:, 2] + (math.log10(ends + 1) - floor)
         held_out = pc.invert(pc.fill_null(texts.column("train"), False))
