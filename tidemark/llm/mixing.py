@@ -414,6 +414,7 @@ def tuned(every: DataFrame, contexts: DataFrame, setting: Setting) -> tuple[np.n
     def learn(key: tuple, t: pa.Table, given: pa.Table) -> pa.Table:
         out = np.zeros(sum(size))
         if t.num_rows:
+            t = t.sort_by("unit")  # learning depends on the order, which shuffles change
             us, n, known = known_of(t, given)
             mine = np.flatnonzero((n > 0) & t.column("tunes").to_numpy(zero_copy_only=False))
             if len(mine):
