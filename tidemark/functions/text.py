@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import lexicons as L
@@ -16,6 +16,16 @@ def col(c: Text) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(c: Text, f) -> Column:
+    """f of c, which is computed once, however often f names it and within whatever loop."""
+    return F.element_at(F.transform(F.array(col(c)), f), 1)
+
+
+def exploded(df: DataFrame, name: str) -> DataFrame:
+    """df with a row for each element (none of them null) of the array name. An inner explode has Spark filter by the array's size first, which computes the array twice."""
+    return df.withColumn(name, F.explode_outer(name)).where(F.col(name).isNotNull())
+
+
 def strip(c: Text) -> Column:
     return F.btrim(col(c), F.lit(" \t\n\x0b\f\r"))
 
@@ -30,8 +40,9 @@ def casefold(c: Text) -> Column:
 
 def lines(c: Text) -> Column:
     """Lines of a text, at any line end; one ending the text opens no further line. Null: none."""
-    ends = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
-    return F.split(F.regexp_replace(F.coalesce(c, F.lit("")), f"(?:{ends})\\z", ""), ends, -1)
+    rare = r"[\r\x0b\x0c\x1c-\x1e\x85  ]"
+    one_end = lambda t: F.when(t.rlike(rare), F.regexp_replace(t, rf"\r\n|{rare}", "\n")).otherwise(t)
+    return let(let(F.coalesce(col(c), F.lit("")), one_end), lambda t: F.split(F.when(F.endswith(t, F.lit("\n")), F.regexp_replace(t, r"\n\z", "")).otherwise(t), "\n", -1))
 
 
 def canonical_line(c: Text) -> Column:
@@ -84,9 +95,9 @@ def inline_spaces(c: Text) -> Column:
 
 
 def acronyms(c: Text) -> Column:
-    """Known acronyms get their casing, whatever they mean there ("it" too)."""
+    """Known acronyms get their casing, whatever they mean there ("it" too). What stands before one is looked at only where its letters are."""
     edge = r"[\p{L}\p{N}\p{M}_]"
-    return reduce(lambda x, a: F.regexp_replace(x, rf"(?i)(?<!{edge})\Q{a}\E(?!{edge})", a), sorted(L.ACRONYMS, key=lambda a: (-len(a), a)), col(c))
+    return reduce(lambda x, a: F.regexp_replace(x, rf"(?i)\Q{a}\E(?<!{edge}\Q{a}\E)(?!{edge})", a), sorted(L.ACRONYMS, key=lambda a: (-len(a), a)), col(c))
 
 
 def lower_but_acronyms(c: Text) -> Column:
@@ -96,19 +107,25 @@ def lower_but_acronyms(c: Text) -> Column:
 
 def title_share(c: Text, pattern: str, share: float) -> Column:
     """Whether so large a share of a line's words begin with a capital; one at least."""
-    w = F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
-    n = F.size(F.filter(w, lambda x: x.rlike("^[A-Z]")))
-    return (F.size(w) > 0) & (n >= F.greatest(F.lit(1), F.floor(F.size(w) * F.lit(share)).cast("int")))
+    n = lambda w: F.size(F.filter(w, lambda x: x.rlike("^[A-Z]")))
+    return let(F.regexp_extract_all(c, F.lit(pattern), F.lit(0)), lambda w: (F.size(w) > 0) & (n(w) >= F.greatest(F.lit(1), F.floor(F.size(w) * F.lit(share)).cast("int"))))
 
 
 def heading_key(c: Text) -> Column:
     return casefold(collapse(F.regexp_replace(strip(c), "^:+|:+$", "")))
 
 
+def known_heading(stripped: Column) -> Column:
+    """Whether heading_key makes a known heading of a stripped line, by one pattern: it lower-cases the Kelvin sign to k and turns ß into ss."""
+    letter = lambda x: r"\s+" if x == " " else "[kK\u212a]" if x == "k" else f"[{x}{x.upper()}]" if x.isalpha() else rf"\Q{x}\E"
+    one = lambda h: "(?:[sS][sS]|[ß\u1e9e])".join("".join(map(letter, p)) for p in h.split("ss"))
+    return stripped.rlike(rf"\A:*(?:{'|'.join(one(h.lower()) for h in L.REPORT_HEADINGS)}):*\z")
+
+
 def heading_like(c: Text, company_suffix: bool = False) -> Column:
     """A line that reads like a heading; with company_suffix, names of companies don't."""
     s = strip(c)
-    known = heading_key(s).isin(*[h.lower() for h in L.REPORT_HEADINGS])
+    known = known_heading(s)
     shape = (F.length(s) <= 120) & ~s.rlike(r"[.,;]$") & title_share(s, "[A-Za-z&']+", 0.7)
     out = (s != "") & (known | shape) if company_suffix else (F.length(s).between(1, 120)) & ~s.rlike(r"[.,;]$") & s.rlike("[A-Za-z&']") & (known | shape)
     return out & ~s.rlike(L.COMPANY_SUFFIX) if company_suffix else out

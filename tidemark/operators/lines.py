@@ -11,6 +11,7 @@ import unicodedata
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,27 +28,33 @@ def explode_lines(reports: DataFrame, text: str = "text") -> DataFrame:
 def pages_of(text: X.Text) -> Column:
     """Likely pages: at page breaks, else between lines of a number; blank ones go."""
     full = lambda a: F.filter(a, lambda p: X.strip(p) != "")
-    by_break = full(F.split(text, L.PAGE_BREAK))
-    return F.when(F.size(by_break) > 1, by_break).otherwise(full(F.split(text, L.PAGE_MARK)))
+    return X.let(text, lambda t: X.let(full(F.split(t, L.PAGE_BREAK)), lambda p: F.when(F.size(p) > 1, p).otherwise(full(F.split(t, L.PAGE_MARK)))))
 
 
 def repeated_candidate(line: X.Text) -> Column:
     s = X.strip(line)
-    return (s != "") & ~X.heading_like(s, company_suffix=True) & s.rlike("[A-Za-z]") & (F.length(s) <= 120)
+    return (s != "") & (F.length(s) <= 120) & s.rlike("[A-Za-z]") & ~X.heading_like(s, company_suffix=True)
 
 
 def threshold(pages: X.Text, least: int = 3, share: float = 0.35) -> Column:
     return F.greatest(F.lit(least), F.floor(X.col(pages) * F.lit(share)).cast("int"))
 
 
+def candidate_keys(a: Column) -> Column:
+    return F.transform(F.filter(a, repeated_candidate), X.canonical_line)
+
+
+def edge_keys(pages: X.Text, at_start: bool, edge: int = 3) -> Column:
+    """Keys of the candidates among the first (or last) lines of pages."""
+    some = lambda a: F.slice(a, 1, edge) if at_start else F.slice(a, F.greatest(F.lit(1), F.size(a) - edge + 1), edge)
+    return candidate_keys(F.flatten(F.transform(X.col(pages), lambda p: X.let(F.filter(X.lines(p), lambda x: X.strip(x) != ""), some))))
+
+
 def edge_lines(reports: DataFrame, at_start: bool, edge: int = 3) -> DataFrame:
     """record_id, key and n of lines that repeat among the first (or last) lines of a report's pages; two pages at least."""
     p = reports.select("record_id", pages_of("text").alias("pages")).where("size(pages) > 1")
-    p = p.select("record_id", F.size("pages").alias("n_pages"), F.explode("pages").alias("page"))
-    full = F.filter(X.lines("page"), lambda x: X.strip(x) != "")
-    some = F.slice(full, 1, edge) if at_start else F.slice(full, F.greatest(F.lit(1), F.size(full) - edge + 1), edge)
-    e = p.select("record_id", "n_pages", F.explode(some).alias("line")).where(repeated_candidate("line"))
-    n = e.groupBy("record_id", "n_pages", X.canonical_line("line").alias("key")).agg(F.count("*").alias("n"))
+    e = p.select("record_id", F.size("pages").alias("n_pages"), F.explode(edge_keys("pages", at_start, edge)).alias("key"))
+    n = e.groupBy("record_id", "n_pages", "key").agg(F.count("*").alias("n"))
     return n.where(F.col("n") >= threshold("n_pages")).select("record_id", "key", "n")
 
 
@@ -59,12 +66,27 @@ def repeated_lines(reports: DataFrame) -> DataFrame:
     return n.where(F.col("n") >= threshold("n_pages")).select("record_id", "key", "n")
 
 
-def drop_keys(reports: DataFrame, keys: DataFrame) -> DataFrame:
-    """Lines with these keys go, but what reads like a heading."""
-    k = keys.groupBy("record_id").agg(F.collect_set("key").alias("_keys"))
-    j = reports.join(k, "record_id", "left")
-    kept = F.filter(X.lines("text"), lambda x: ~F.array_contains("_keys", X.canonical_line(x)) | X.heading_like(x, company_suffix=True))
-    return j.withColumn("text", F.when(F.col("_keys").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))).drop("_keys")
+def occurring(keys: Column, n_pages: Column) -> Column:
+    """Those of a report's keys that reach the threshold. Sorted, such a key equals the one so many places on, less one."""
+    on = lambda k: X.let(threshold(n_pages), lambda n: F.zip_with(k, F.slice(k, n, F.greatest(F.lit(0), F.size(k) - n + 1)), lambda a, b: F.when(a == b, a)))
+    return F.array_distinct(F.filter(X.let(F.sort_array(keys), on), lambda x: x.isNotNull()))
+
+
+def without_keys(text: Column, keys: Column) -> Column:
+    """A text without its lines of these keys, but what reads like a heading stays."""
+    kept = lambda k: F.filter(X.lines(text), lambda x: ~F.array_contains(k, X.canonical_line(x)) | X.heading_like(x, company_suffix=True))
+    return X.let(keys, lambda k: F.when(F.size(k) > 0, F.array_join(kept(k), "\n")).otherwise(text))
+
+
+def drop_edges(text: X.Text, at_start: bool) -> Column:
+    """A report's text without headers (or footers): what edge_lines counts, within the row."""
+    keys = lambda p: F.when(F.size(p) > 1, occurring(edge_keys(p, at_start), F.size(p)))
+    return X.let(text, lambda t: without_keys(t, X.let(pages_of(t), keys)))
+
+
+def drop_repeated(text: X.Text) -> Column:
+    """A report's text without what repeated_lines counts, within the row."""
+    return X.let(text, lambda t: without_keys(t, occurring(candidate_keys(X.lines(t)), F.size(pages_of(t)))))
 
 
 def drop_page_numbers(text: X.Text) -> Column:
@@ -73,10 +95,10 @@ def drop_page_numbers(text: X.Text) -> Column:
 
 def drop_consecutive(text: X.Text) -> Column:
     """A line equal to the one before goes, but headings; blank lines part."""
-    a = X.lines(text)
-    keys = F.transform(a, lambda x: X.canonical_line(x))
-    # lines beside their keys and the keys before theirs, so that no line looks an array up
-    rows = F.slice(F.arrays_zip(a.alias("l"), keys.alias("k"), F.concat(F.array(F.lit(None).cast("string")), keys).alias("b")), 1, F.size(a))
+    keyed = F.transform(X.lines(text), lambda x: F.struct(x.alias("l"), X.canonical_line(x).alias("k")))
+    # lines beside the keys before theirs, so that no line looks an array up
+    before = lambda a: F.zip_with(a, F.slice(F.concat(F.array(F.lit(None).cast("string")), F.transform(a, lambda p: p["k"])), 1, F.size(a)), lambda p, b: F.struct(p["l"].alias("l"), p["k"].alias("k"), b.alias("b")))
+    rows = X.let(keyed, before)
     kept = F.filter(rows, lambda p: (p["k"] == "") | p["b"].isNull() | (p["k"] != p["b"]) | X.heading_like(p["l"], company_suffix=True))
     return F.array_join(F.transform(kept, lambda p: p["l"]), "\n")
 
@@ -122,21 +144,35 @@ def drop_contents(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield t.map(lambda x: attempted(without_contents, x))
 
 
+def nfkc_text(text: str | None) -> str | None:
+    return None if text is None else unicodedata.normalize("NFKC", text)
+
+
 @F.pandas_udf(T.StringType())
 def nfkc(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for t in texts:
-        yield t.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+        yield t.map(nfkc_text)
+
+
+def mapped(reports: DataFrame, f: Callable[[str | None], str | None]) -> DataFrame:
+    """f of each text, as a step of its own: Spark doesn't find a UDF whose argument holds loops within loops."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            i = b.schema.get_field_index("text")
+            yield b.set_column(i, b.schema.field(i), pa.array(map(f, b.column(i).to_pylist()), b.schema.field(i).type))
+
+    return reports.mapInArrow(run, reports.schema)
 
 
 def clean(reports: DataFrame, headers_footers: bool = True) -> DataFrame:
     """Reports with cleaned texts: the whole chain, in its order. Null texts count as empty."""
-    r = reports.withColumn("text", drop_contents(X.tabs(F.coalesce("text", F.lit("")))))  # null where it failed
+    # cleaning is long work on short input, which few files or row groups would give to few cores
+    r = reports.repartition(4 * reports.sparkSession.sparkContext.defaultParallelism, "record_id", "text")
+    r = r.withColumn("text", drop_contents(X.tabs(F.coalesce("text", F.lit("")))))  # null where it failed
     if headers_footers:
-        r = drop_keys(r, edge_lines(r, True))
-        r = drop_keys(r, edge_lines(r, False))
-    r = r.withColumn("text", drop_page_numbers("text"))
-    r = drop_keys(r, repeated_lines(r))
-    r = r.withColumn("text", drop_consecutive("text"))
+        r = r.withColumn("text", drop_edges(drop_edges("text", True), False))
+    r = r.withColumn("text", drop_consecutive(drop_repeated(drop_page_numbers("text"))))
     return r.withColumn("text", X.strip(X.blank_lines(X.spaces(X.non_printable(X.special_characters("text"))))))
 
 
@@ -149,7 +185,7 @@ def normalize_headings(text: X.Text) -> Column:
         number, rest = F.regexp_extract(s, L.NUMBERED_HEADING, 1), F.regexp_extract(s, L.NUMBERED_HEADING, 2)
         return (
             F.when(s == "", F.lit(""))
-            .when(F.map_contains_key(known, X.heading_key(s)), F.element_at(known, X.heading_key(s)))
+            .when(X.known_heading(s), F.element_at(known, X.heading_key(s)))
             .when((rest != "") & X.heading_like(rest), F.concat(F.regexp_replace(number, r"\.+$", ""), F.lit(". "), title(rest)))
             .when(X.heading_like(s), title(s))
             .otherwise(s)
@@ -160,7 +196,7 @@ def normalize_headings(text: X.Text) -> Column:
 
 def normalize(reports: DataFrame, lowercase: bool = False) -> DataFrame:
     """Reports with normalised texts: the whole chain, in its order. Null texts stay null."""
-    r = reports.withColumn("text", nfkc("text"))
+    r = mapped(reports, nfkc_text)
     r = r.withColumn("text", X.inline_spaces(X.newlines(X.bullets(X.hyphens(X.quotes("text"))))))
     r = r.withColumn("text", X.newlines(X.inline_spaces(normalize_headings("text"))))
     r = r.withColumn("text", X.lower_but_acronyms("text")) if lowercase else r
