@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from tidemark import lexicons as L
 from tidemark.functions import text as X
+from tidemark.operators import keywords as K
 from tidemark.operators import lines as C
+from tidemark.plans import disclosure
 
 
 def scans(df):
@@ -50,3 +52,14 @@ def test_lines_end_at_any_line_end(spark):
     texts = ["", "a", "a\n", "a\n\n", "a\r\nb\rc\x0bd\x0ce\x1cf\x1dg\x1eh\x85i j ", "\r\n", "\n\r", "a\r", " \n", None]
     got = spark.createDataFrame([(t,) for t in texts], "s string").select("s", X.lines("s").alias("l")).collect()
     assert [x["l"] for x in got] == [(t or "").splitlines() or [""] for t in texts]
+
+
+def test_chain_cleans_reports_once_and_filters_without_computing_twice(spark):
+    c = spark.createDataFrame([("a", "T"), ("b", "U"), ("c", "V"), (None, "W")], "record_id string, ticker string")
+    r = spark.createDataFrame([("a", "Innovation\nwe have ai"), ("b", " "), (None, "x")], "record_id string, text string")
+    out = disclosure.cleaned(c, r)
+    assert scans(out) == 2  # companies and reports
+    assert {x["ticker"]: (x["error"], x["text"]) for x in out.collect()} == {"T": (None, "Innovation\nwe have AI"), "U": ("the report has an empty text", None), "V": ("no report", None), "W": ("no report", None)}
+    n = K.count_keywords(r.select("record_id", F.lit("s").alias("name"), "text"), ["have", "ai", "a"])
+    assert n._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1 + 3  # the words once, each keyword once
+    assert {(x["record_id"], x["keyword"], x["n"]) for x in n.collect()} == {("a", "have", 1), ("a", "ai", 1)}

@@ -62,8 +62,8 @@ def count_keywords(sections: DataFrame, keywords: Sequence[str]) -> DataFrame:
     if len(keywords) > PATTERNS:
         return count_by_runs(s, keywords)
     edge = r"[\p{L}\p{N}]"
-    one = [F.struct(F.lit(k).alias("keyword"), F.regexp_count("norm", F.lit(rf"(?<!{edge})\Q{k}\E(?!{edge})")).cast("long").alias("n")) for k in keywords]
-    return s.select("record_id", "section", F.explode(F.filter(F.array(*one), lambda x: x["n"] > 0)).alias("x")).select("record_id", "section", "x.keyword", "x.n")
+    one = [F.struct(F.lit(k).alias("keyword"), F.regexp_count("norm", F.lit(rf"\Q{k}\E(?<!{edge}\Q{k}\E)(?!{edge})")).cast("long").alias("n")) for k in keywords]
+    return X.exploded(s.select("record_id", "section", F.filter(F.array(*one), lambda x: x["n"] > 0).alias("x")), "x").select("record_id", "section", "x.keyword", "x.n")
 
 
 def count_by_runs(s: DataFrame, keywords: Sequence[str]) -> DataFrame:

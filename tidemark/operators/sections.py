@@ -45,7 +45,7 @@ def candidates(reports: DataFrame) -> DataFrame:
     placed = F.transform(F.arrays_zip(a.alias("l"), F.slice(run, 1, F.size(a)).alias("s")), lambda x, i: F.struct(i.alias("i"), x["l"].alias("l"), x["s"].alias("s")))
     # only lines as short as a heading go on, before any pattern looks at them
     short = F.filter(placed, lambda x: F.length(X.strip(x["l"])).between(1, LONGEST))
-    rows = reports.select("record_id", F.explode(short).alias("x")).select("record_id", F.col("x.i").alias("line_no"), F.col("x.l").alias("raw"), F.col("x.s").alias("at"))
+    rows = X.exploded(reports.select("record_id", short.alias("x")), "x").select("record_id", F.col("x.i").alias("line_no"), F.col("x.l").alias("raw"), F.col("x.s").alias("at"))
     lead = F.length("raw") - F.length(F.regexp_replace("raw", r"^\s+", ""))
     return rows.select("record_id", "line_no", (F.col("at") + lead).cast("long").alias("start"), X.strip("raw").alias("line")).withColumn("end", (F.col("start") + F.length("line")).cast("long")).withColumn("form", X.normalized_heading("line")).where("line != ''")
 
@@ -109,9 +109,9 @@ def sections(reports: DataFrame, found: DataFrame, targets: tuple[str, ...] = L.
     w = Window.partitionBy("record_id").orderBy("start")
     spans = found.select("record_id", "heading", "start", F.lead("start").over(w).alias("next")).where(F.col("heading").isin(*targets))
     s = spans.join(reports.select("record_id", "text"), "record_id").withColumn("end", F.coalesce("next", F.length("text").cast("long")))
-    s = s.withColumn("text", section_text(F.substring(F.col("text"), F.col("start").cast("int") + 1, (F.col("end") - F.col("start")).cast("int"))))
-    s = s.withColumn("text", F.substring("text", 1, most)) if most else s
-    s = s.where(F.length("text") >= least)
+    text = section_text(F.substring(F.col("text"), F.col("start").cast("int") + 1, (F.col("end") - F.col("start")).cast("int")))
+    text = F.substring(text, 1, most) if most else text
+    s = X.exploded(s.withColumn("text", F.filter(F.array(text), lambda x: F.length(x) >= least)), "text")  # as a filter, it would compute texts twice
     return s.select("record_id", F.col("heading").alias("name"), F.row_number().over(w).cast("int").alias("ord"), "start", "end", "text")
 
 

@@ -48,10 +48,9 @@ def cleaned(companies: DataFrame, reports: DataFrame) -> DataFrame:
     j = companies.select("record_id", "ticker").join(reports.select("record_id", F.col("text").alias("raw"), own.alias("told"), F.lit(True).alias("_there")), "record_id", "left")
     first = F.when(F.col("_there").isNull(), "no report").when(F.col("told").isNotNull(), F.col("told")).when(X.strip(F.coalesce("raw", F.lit(""))) == "", "the report has an empty text")
     j = j.select("record_id", "ticker", "raw", first.alias("error"))
-    texts = C.normalize(C.clean(j.where("error is null").select("record_id", F.col("raw").alias("text"))))
-    j = j.drop("raw").join(texts.withColumn("_done", F.lit(True)), "record_id", "left")
-    second = F.when(F.col("_done") & F.col("text").isNull(), "the text couldn't be cleaned").when(F.col("_done") & (F.col("text") == ""), "the text is empty after cleaning")
-    return j.select("record_id", "ticker", F.coalesce("error", second).alias("error"), "text")
+    done = C.normalize(C.clean(j.withColumn("text", F.when(F.col("error").isNull(), F.col("raw"))).drop("raw")))
+    second = F.when(F.col("text").isNull(), "the text couldn't be cleaned").when(F.col("text") == "", "the text is empty after cleaning")
+    return done.select("record_id", "ticker", F.coalesce("error", second).alias("error"), F.when(F.col("error").isNull(), F.col("text")).alias("text"))
 
 
 def analyse(companies: DataFrame, reports: DataFrame, entries: DataFrame, fuzzy_headings: bool = True) -> Results:
