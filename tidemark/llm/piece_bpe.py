@@ -12,6 +12,7 @@ import re
 import struct
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from math import inf
 from operator import add
 
 import ahocorasick
@@ -101,10 +102,12 @@ class Pieces:
             raise ValueError("the model has pieces of a kind that isn't supported")
         self.ids = {p: i for i, p in enumerate(self.pieces) if self.kinds[i] == NORMAL}
         self.known = frozenset(p for p in self.ids if len(p) == 1)
-        self.score = {p: scores[i] for p, i in self.ids.items()}
+        self.cost = {p: -scores[i] for p, i in self.ids.items()}
         self.byte_ids = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if self.kinds[i] == BYTE}
         if len(self.byte_ids) != 256:
             raise ValueError("the model has no byte fallback")
+        self.names = [str(i) for i in range(len(self.pieces))]
+        self.bytes = [bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else b" \xe2\x81\x87 " if k == UNKNOWN else p.replace(SPACE, " ").encode() for p, k in zip(self.pieces, self.kinds, strict=True)]
         self.automaton = ahocorasick.Automaton()
         for p, i in self.ids.items():
             self.automaton.add_word(p, (len(p), i))
@@ -116,23 +119,35 @@ class Pieces:
         # no merge crosses two characters that no piece has side by side
         self.inside = frozenset(a + b for p in self.ids for a, b in zip(p, p[1:], strict=False))
         self.words = Recent(self.coded, word_cache, 48)
-        self.parts = Recent(lambda w: ",".join(map(str, self.encode_word(w))), word_cache // 2, 48)
+        self.parts = Recent(lambda w: self.told(self.encode_word(w)), word_cache // 2, 48)
         self.cut = WORDS if any("\n" in p for p in self.ids) else LINE_WORDS
 
-    def merged(self, s: str) -> list[str]:
-        """The pieces that merging leaves of a short string: the best score first, then the leftmost pair."""
+    def merged(self, s: str, border: int = 0) -> list[str]:
+        """The pieces that merging leaves of a short string: the best score first, then the leftmost pair. Nothing, once a merge crosses the border, a number of characters."""
         parts = list(s)
-        while True:
-            found = [(-self.score[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in self.score]
-            if not found:
-                return parts
-            i = min(found)[1]
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        cost, none = self.cost.get, inf
+        costs = [cost(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+        while costs:
+            best = min(costs)
+            if best == none:
+                break
+            i = costs.index(best)
+            if i < border:
+                border -= 1
+                if i == border:
+                    return []
+            one = parts[i] = parts[i] + parts.pop(i + 1)
+            del costs[i]
+            if i < len(costs):
+                costs[i] = cost(one + parts[i + 1], none)
+            if i:
+                costs[i - 1] = cost(parts[i - 1] + one, none)
+        return parts
 
     def together(self, key: int) -> bool:
         """Whether two pieces, the first times 2^32 plus the second, stay side by side when their characters are merged anew."""
-        a, b = key >> 32, key & 0xFFFFFFFF
-        return self.merged(self.pieces[a] + self.pieces[b]) == [self.pieces[a], self.pieces[b]]
+        a, b = self.pieces[key >> 32], self.pieces[key & 0xFFFFFFFF]
+        return self.merged(a + b, len(a)) == [a, b]
 
     def prefix(self, t: int) -> tuple[int, int] | None:
         """The longest piece that begins piece t and is shorter, with its length."""
@@ -143,11 +158,21 @@ class Pieces:
         """The encoding of a string of known characters."""
         n, far = len(s), self.longest
         match, alone, pairs, shorter = self.automaton.iter_long, self.own, self.pairs, self.shorter
-        alive = (1 << (n + 1)) - 1  # bit p: an encoding may still go on from p
+        # one pass lays longest matches; every known character is a piece, so they leave no gap
         out: list[int] = []
         at: list[int] = []  # where each piece of out starts
-        pos = 0
-        m = next(match(s[:far]))[1]  # every known character is a piece, so the first longest match begins here
+        pos, last = 0, None
+        for _, (size, t) in match(s):
+            if not alone[t] or last is not None and not pairs[last << 32 | t]:
+                break
+            out.append(t)
+            at.append(pos)
+            pos += size
+            last = t
+        else:
+            return out
+        m = size, t
+        alive = (1 << (n + 1)) - 1  # bit p: an encoding may still go on from p
         while pos < n:
             while m is not None:
                 size, t = m
@@ -182,16 +207,21 @@ class Pieces:
             out += [self.byte_ids[x] for x in c.encode()]
         return out + (self.backtrack(known) if known else [])
 
-    def word_text(self, word: str) -> str:
-        """A word's ids as text, put together from its parts that merges don't cross."""
+    def told(self, ids: list[int]) -> tuple[str, bytes]:
+        """Ids as text, and what they decode to."""
+        return ",".join(map(self.names.__getitem__, ids)), b"".join(map(self.bytes.__getitem__, ids))
+
+    def word_told(self, word: str) -> tuple[str, bytes]:
+        """A word's ids as text and what they decode to, put together from its parts that merges don't cross."""
         if self.inside.issuperset(map(add, word, word[1:])):
-            return ",".join(map(str, self.encode_word(word)))
+            return self.told(self.encode_word(word))
         out, start = [], 0
         for i in range(1, len(word)):
             if word[i - 1 : i + 1] not in self.inside:
                 out.append(self.parts[word[start:i]])
                 start = i
-        return ",".join([*out, self.parts[word[start:]]])
+        out.append(self.parts[word[start:]])
+        return ",".join([x for x, _ in out]), b"".join([x for _, x in out])
 
     def forget(self) -> None:
         """Frees what is kept of words and pieces."""
@@ -206,13 +236,9 @@ class Pieces:
     def encode(self, text: str) -> list[int]:
         return [i for w in self.split(text) for i in self.encode_word(w)]
 
-    def surface(self, ids: str) -> bytes:
-        return b"".join(bytes([int(self.pieces[i][3:5], 16)]) if self.kinds[i] == BYTE else b"" if self.kinds[i] == CONTROL else b" \xe2\x81\x87 " if self.kinds[i] == UNKNOWN else self.pieces[i].replace(SPACE, " ").encode() for i in map(int, ids.split(",")))
-
     def coded(self, word: str) -> str | tuple[str, bytes]:
         """A word's ids as text; with what they decode to, where that isn't the word itself."""
-        ids = self.word_text(word)
-        back = self.surface(ids)
+        ids, back = self.word_told(word)
         return ids if back == word.replace(SPACE, " ").encode() else (ids, back)
 
     def joined(self, parts: list[bytes], first: str) -> str:
@@ -234,8 +260,8 @@ class Pieces:
         return ids, self.joined(parts, ids)
 
     def decode(self, ids: list[int]) -> str:
-        text = ",".join(map(str, ids))
-        return self.joined([self.surface(text)] if ids else [], text)
+        text, back = self.told(ids)
+        return self.joined([back], text)
 
 
 @lru_cache(1)
