@@ -1,7 +1,7 @@
 """Cleaning of reports as line algebra (record_id, text).
 
-A report's lines stay in its row wherever a rule looks at one line or its neighbour, so that most of cleaning is one
-projection without a shuffle. Only counts over a report's lines are grouped.
+A report's lines stay in its row, counts of repeated ones included, so that cleaning reads each report once. Its one
+shuffle deals texts to all cores. Only tables of line counts are grouped.
 """
 
 from __future__ import annotations
