@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import time
@@ -15,11 +16,12 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import decontaminate, html_text, language, mixing, neighbours, piece_bpe, queries, simhash, suffix_dedup, toxicity, url_filter
-from tidemark.llm.common import cut, remainder
+from tidemark.llm.common import CLEANUP, cut, remainder
 from tidemark.llm.components import components
 
 DOCS = "doc_id long, text string, lang string, extra string, th long"
@@ -126,6 +128,26 @@ def test_op1_edges(spark, edge, empty):
     assert t.columns == [*edge.columns, "spans"] and t.where("doc_id = 5").first()["text"] == "" and t.where("extra is null").count() == 1
 
 
+def test_cut_frees_its_shuffles(spark, monkeypatch):
+    """A table's shuffles leave the disk when it is written, not with the driver's garbage; it can be cut again, and the session's setting stays."""
+    dirs = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    shuffles = lambda: {x for top in dirs for _, _, names in os.walk(top) for x in names if x.startswith("shuffle_")}
+    before = shuffles()
+    df = spark.range(20_000).groupBy((F.col("id") % 1000).alias("k")).count()
+    tables = [cut(df, "counts") for _ in range(2)]
+    until = time.time() + 10
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffles() - before and [t.agg(F.sum("count")).first()[0] for t in tables] == [20_000] * 2
+    assert spark.conf.get(CLEANUP, None) is None
+    spark.conf.set(CLEANUP, "false")
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        cut(df, "counts")
+    assert spark.conf.get(CLEANUP) == "false"
+    spark.conf.unset(CLEANUP)
+
+
 def test_op2(spark, docs):
     some = docs.select("doc_id", "text").union(spark.createDataFrame([(-1, None), (-2, ""), (-3, "brandnewword xyz")], "doc_id long, text string"))
     got = {r["doc_id"]: r for r in mixing.score(some, remainder("doc_id", 7) != 2, mixing.Setting(sample=2000)).collect()}
