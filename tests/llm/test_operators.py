@@ -584,6 +584,27 @@ def test_op2_learns_from_all_units():
     assert math.isclose(told[0].sum(), bits, rel_tol=1e-6) and math.isclose(told[2].sum(), bits, rel_tol=1e-6)
 
 
+def test_op2_shared_beginnings_are_predicted_once(monkeypatch):
+    """Units that follow each other share the bits of their common beginnings; probabilities are those of each unit alone."""
+    rng = random.Random(5)
+    us = sorted({b"\n" + "".join(rng.choices("abé", k=rng.randint(0, 7))).encode() + b" " for _ in range(700)})
+    long = [b"\n" + b"x" * 40 + x + b" " for x in (b"", b"y", b"yz")]
+    n = np.array([rng.randint(0, 5) for _ in us + long])
+    known = mixing.Known(*(np.concatenate(x) for x in zip(*mixing.own_contexts(us + long, n, True), *mixing.own_contexts(us + long, n, False), strict=True)))
+    told, level = mixing.predictors([known.counts])
+    weights = np.random.default_rng(1).random(mixing.Model(([], np.zeros(0)), mixing.Setting()).weights.shape, np.float32)
+    m = mixing.Model((told * mixing.N, level), mixing.Setting(), weights)
+    predicted, mixed = [], m.mixed
+    monkeypatch.setattr(m, "mixed", lambda x, gate: predicted.append(len(gate)) or mixed(x, gate))
+    m.log10(us, known)
+    assert sum(predicted) == 8 * len({u[:k] for u in us for k in range(2, len(u) + 1)}) < 8 * sum(len(u) - 1 for u in us)
+    for some in (us + long, rng.sample(us + long, len(us + long)), us[:1]):
+        of, slots, node, bit = mixing.events(some, known, True)
+        p = m.refining(m.mixed(*m.inputs(slots, bit)), node)
+        assert np.allclose(m.log10(some, known), np.bincount(of, np.log10(np.where(bit == 1, p, 1 - p))), rtol=1e-5)
+    assert len(m.log10([], known)) == 0
+
+
 def test_pipeline_near_copies(spark):
     """Texts of 5-word Jaccard 0.8 and more go, whatever their fingerprints; rows without an id are dropped for their own text only."""
     rng = random.Random(5)

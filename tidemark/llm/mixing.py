@@ -78,27 +78,44 @@ def squash(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-def coded(us: list[bytes], headed: bool = True) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """For each byte of each unit (headed: but its first): the unit's number, the keys of its contexts, the byte."""
+def firsts(us: list[bytes], most: int = 32) -> np.ndarray:
+    """For each byte of units in their order, the place (in all bytes) of the first one that ends the same beginning of units that follow each other: their bits are the same events. Sought in units' first bytes, so many."""
+    raw = np.frombuffer(b"".join(us), np.uint8)
+    sizes = np.fromiter(map(len, us), np.int64, len(us))
+    starts = np.cumsum(sizes) - sizes
+    out = np.arange(len(raw))
+    same = np.arange(1, len(us))
+    for p in range(most):
+        same = same[np.minimum(sizes[same], sizes[same - 1]) > p]
+        same = same[raw[starts[same] + p] == raw[starts[same - 1] + p]]
+        if not len(same):
+            break
+        new = np.append(True, np.diff(same) != 1)
+        out[starts[same] + p] = starts[(same[new] - 1)[np.cumsum(new) - 1]] + p
+    return out
+
+
+def coded(us: list[bytes], headed: bool = True, first: np.ndarray | None = None) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """For each byte of each unit (headed: but its first; with firsts: each that is its own first): the unit's number, the keys of its contexts, the byte."""
     raw = np.frombuffer(b"".join(us), np.uint8).astype(np.uint64)
     sizes = np.fromiter(map(len, us), np.int64, len(us))
     starts = np.cumsum(sizes) - sizes
     of = np.repeat(np.arange(len(us)), sizes)
     place = np.arange(len(raw)) - np.repeat(starts, sizes)
     power = np.cumprod(np.full(int(sizes.max(initial=1)) + 1, 0x100000001B3, np.uint64))
-    part = np.cumsum((raw + np.uint64(1)) * power[place])
-    before = part - (raw + np.uint64(1)) * power[place]
-    prefix = before - np.repeat(before[starts], sizes)
-    keep = place >= headed
+    term = (raw + np.uint64(1)) * power[place]
+    before = np.cumsum(term) - term
+    keep = np.flatnonzero(place >= headed if first is None else (place >= headed) & (first == np.arange(len(raw))))
+    of, place = of[keep], place[keep]
     contexts = []
     for o in ORDERS:
-        h = np.full(len(raw), o, np.uint64)
+        h = np.full(len(keep), o, np.uint64)
         for back in range(1, o + 1):
-            ok = place >= back
-            h = h * np.uint64(0x2545F4914F6CDD1D) + np.where(ok, np.roll(raw, back) + np.uint64(1), 0).astype(np.uint64)
-        contexts.append(mix64(h[keep]))
-    contexts.append(mix64((prefix * np.uint64(0x2545F4914F6CDD1D) + np.uint64(99))[keep]))
-    return of[keep], contexts, raw[keep].astype(np.int64)
+            h = h * np.uint64(0x2545F4914F6CDD1D) + np.where(place >= back, raw[np.maximum(keep - back, 0)] + np.uint64(1), 0).astype(np.uint64)
+        contexts.append(mix64(h))
+    prefix = before[keep] - before[starts][of]
+    contexts.append(mix64(prefix * np.uint64(0x2545F4914F6CDD1D) + np.uint64(99)))
+    return of, contexts, raw[keep].astype(np.int64)
 
 
 def under(key: np.ndarray, sym: np.ndarray) -> np.ndarray:
@@ -126,19 +143,23 @@ class Known:
         self.counts = np.concatenate(counts)
         find = under(key, sym)
         o = np.argsort(find)
-        self.find, self.slots = find[o], slots[o]
+        self.find, self.slots, self.bits = find[o], slots[o], (sym[o, None] >> np.arange(7, -1, -1) & 1).astype(np.int8)
         # keys are even hashes: their first bits tell nearly where a key stands
         self.shift = np.uint64(64 - max(1, len(find).bit_length()))
         self.near = np.searchsorted(self.find, np.arange(1 << int(64 - self.shift), dtype=np.uint64) << self.shift)
 
     def at(self, key: np.ndarray, sym: np.ndarray) -> np.ndarray:
+        return self.slots[self.row(key, sym)].ravel()
+
+    def row(self, key: np.ndarray, sym: np.ndarray) -> np.ndarray:
+        """The row in slots and bits of each byte in its context."""
         want = under(key, sym)
         place = self.near[want >> self.shift]
         off = np.flatnonzero(self.find[place] != want)
         while len(off):
             place[off] += 1
             off = off[self.find[place[off]] != want[off]]
-        return self.slots[place].ravel()
+        return place
 
     def without(self) -> tuple[np.ndarray, np.ndarray]:
         """By slot and bit, two each: the stretched prediction and the level without that one bit's own count."""
@@ -195,6 +216,21 @@ class Model:
             known += x[k] != 0
         return x, known * (len(LEVELS) + 1) + (self.ready[1] if without is None else without[1])[at]
 
+    def seen(self, us: list[bytes], known: Known, told: np.ndarray, level: np.ndarray, first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As events and inputs, with predictions and levels by known's rows, each of eight bits, so that a byte's are found at once: the unit's number by byte, stretched predictions, gates, nodes, bits."""
+        of, contexts, sym = coded(us, True, first)
+        x = np.empty((N + 1, 8 * len(sym)), np.float32)
+        x[N] = 0.3
+        gate = np.zeros(8 * len(sym), np.int8)
+        for k, h in enumerate(contexts):
+            rows = known.row(h, sym)
+            x[k] = told[rows].ravel()
+            gate += x[k] != 0
+        gate = gate * np.int8(len(LEVELS) + 1) + level[rows].ravel()
+        full = sym | 256
+        node = (full[:, None] >> np.arange(8, 0, -1)).ravel()
+        return of, x, gate.astype(np.int64), node, known.bits[rows].ravel()
+
     def mixed(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
         z = np.zeros(len(gate), np.float32)
         for k in range(N + 1):
@@ -214,29 +250,30 @@ class Model:
         s = self.setting
         size = 256 * BUCKETS
         told = [np.zeros(len(self.weights)), np.zeros(self.weights.shape), np.zeros(size), np.zeros(size)]
-        without = known.without()
+        at = known.slots * 2 + known.bits
+        without = [x[at] for x in known.without()]
         order = np.random.default_rng(0).permutation(len(us))
         times = max(1, -(-200 * s.batch // max(1, len(us))))  # a part of few units goes round
         for _ in range(times):
             for i in range(0, len(us), 64 * s.batch):
                 at = order[i : i + 64 * s.batch]
-                of_, slots_, node_, bit_ = events([us[j] for j in at], known, True)
-                ends = np.searchsorted(of_, np.arange(0, len(at) + s.batch, s.batch))
-                w_ = weight[at][of_]
+                of, x_, gate_, node_, bit_ = self.seen([us[j] for j in at], known, *without)
+                ends = 8 * np.searchsorted(of, np.arange(0, len(at) + s.batch, s.batch))
+                w_ = np.repeat(weight[at][of], 8)
+                z_ = np.empty(len(w_), np.float32)
                 for lo, hi in zip(ends, ends[1:], strict=False):
-                    node, bit, w = node_[lo:hi], bit_[lo:hi], w_[lo:hi]
-                    x, gate = self.inputs([k[lo:hi] for k in slots_], bit, without)
-                    z = self.mixed(x, gate)
-                    err = (bit - squash(z)) * w
+                    x, gate, w = x_[:, lo:hi], gate_[lo:hi], w_[lo:hi]
+                    z = z_[lo:hi] = self.mixed(x, gate)
+                    err = (bit_[lo:hi] - squash(z)) * w
                     mass = np.bincount(gate, w, len(self.weights))
                     for k in range(N + 1):  # a gate moves by its bits' mean error
                         self.weights[:, k] += s.rate * np.bincount(gate, err * x[k], len(self.weights)) / (mass + 1e-9)
                     told[0] += mass
                     told[1] += mass[:, None] * self.weights
-                    y = np.clip((z * 2) + BUCKETS // 2, 0, BUCKETS - 1.001)
-                    cell = node * BUCKETS + np.ceil(y - 0.5).astype(np.int64)
-                    told[2] += np.bincount(cell, w, size)
-                    told[3] += np.bincount(cell, w * bit, size)
+                y = np.clip((z_ * 2) + BUCKETS // 2, 0, BUCKETS - 1.001)
+                cell = node_ * BUCKETS + np.ceil(y - 0.5).astype(np.int64)
+                told[2] += np.bincount(cell, w_, size)
+                told[3] += np.bincount(cell, w_ * bit_, size)
         return [x / times for x in told]
 
     def merged(self, told: list[np.ndarray]) -> None:
@@ -247,13 +284,20 @@ class Model:
         self.refined = np.clip((ones.reshape(256, -1) + prior * self.refined) / (n.reshape(256, -1) + prior), 1e-6, 1 - 1e-6).astype(np.float32)
 
     def log10(self, us: list[bytes], known: Known) -> np.ndarray:
-        """log10 of each unit's probability."""
+        """log10 of each unit's probability. Units in their order share the bits of their common beginnings, which are predicted once."""
         out = np.zeros(len(us))
+        told, level = self.ready[0][-1][known.slots], self.ready[1][known.slots]
         for i in range(0, len(us), 4096):
-            of, slots, node, bit = events(us[i : i + 4096], known, True)
-            x, gate = self.inputs(slots, bit)
+            some = us[i : i + 4096]
+            first = firsts(some)
+            of = np.repeat(np.arange(len(some)), [len(u) for u in some])
+            own = first == np.arange(len(first))
+            own[np.searchsorted(of, np.arange(len(some)))] = False  # heads are not predicted
+            _, x, gate, node, bit = self.seen(some, known, told, level, first)
             p = self.refining(self.mixed(x, gate), node)
-            out[i : i + 4096] = np.bincount(of, np.log10(np.where(bit == 1, p, 1 - p)), min(4096, len(us) - i))
+            each = np.zeros(len(first))
+            each[own] = np.log10(np.where(bit == 1, p, 1 - p)).reshape(-1, 8).sum(1, dtype=np.float64)
+            out[i : i + 4096] = np.bincount(of, each[first], len(some))
         return out
 
 
@@ -272,9 +316,31 @@ class Places(dict):
         self.names.append(unit)
         return got
 
-    def all_kinds(self) -> np.ndarray:
-        self.kinds = np.append(self.kinds, np.frombuffer(b"".join(map(KINDS.__getitem__, self.names[len(self.kinds) :])), np.uint8))
-        return self.kinds
+    def all(self, units_: list[bytes], kinds: np.ndarray) -> np.ndarray:
+        """The places of different units with these kinds."""
+        known = len(self)
+        got = np.fromiter(map(self.__getitem__, units_), np.int64, len(units_))
+        self.kinds = np.append(self.kinds, kinds[got >= known])
+        return got
+
+
+#: Bytes that end a unit; and of the byte before that, what Kinds tells.
+ENDS = np.isin(np.arange(256), [*b" \t\n\v\f\r", 255])
+KIND = np.array([KINDS[bytes([x, 32])][0] for x in range(256)])
+
+
+def split(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """How many units each text has; all units as places in a list of the distinct ones, in order of first sight; that list, without their first bytes, and the kinds of these."""
+    raw = b"".join([(t or "").encode() + END for t in texts])
+    data = np.frombuffer(raw, np.uint8)
+    ends = np.flatnonzero(ENDS[data]) + 1
+    every = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(np.append(0, ends)), pa.py_buffer(raw)]).dictionary_encode()
+    places, names = every.indices.to_numpy(), every.dictionary
+    first = np.full(len(names), len(places))
+    first[places[::-1]] = np.arange(len(places))[::-1]  # where each is met
+    last, alone = ends[first] - 1, np.diff(np.append(0, ends))[first] == 1
+    kinds = KIND[np.where(alone, 32, data[last - 1])] + (data[last] != 32)
+    return np.diff(np.flatnonzero(data[ends - 1] == 255), prepend=-1), places, names, kinds
 
 
 HEADS = [bytes([x]) for x in range(11)]
@@ -307,21 +373,25 @@ def _chunks(it: Iterator[pa.RecordBatch], most: int = 600_000, size: int = 32 <<
             yield rows_out(TOLD, [pa.array([chunk] * k, pa.int64()), pa.array(np.arange(i, i + k, dtype=np.int32)), us, pa.array(counts[i : i + k]), *(pa.nulls(k, f.type) for f in list(TOLD)[4:])])
 
     for b in it:
+        each, found, names, kinds = split(b.column(1).to_pylist())
+        names, among, borders = names.to_pylist(), np.full(len(names), -1), np.append(0, np.cumsum(each))
         for lo in range(0, b.num_rows, 200):
             if len(counts) > most or held > size:
                 yield from close()
                 bare, place_of, seen, counts, held, chunk = Places(), np.zeros(0, np.int32), [], np.zeros(0, np.int64), 0, chunk + 1
+                among[:] = -1
             ids, texts, train = (c.to_pylist() for c in b.slice(lo, 200).columns)
-            at = []
-            for text in texts:
-                u = UNIT.findall((text or "").encode() + END)
-                at.append(np.fromiter(map(bare.__getitem__, u), np.int64, len(u)))
-                held += len(text or "")
-            sizes = np.array([len(x) for x in at])
+            held += sum(len(text or "") for text in texts)
+            sizes = each[lo : lo + 200]
             ends = np.cumsum(sizes)
-            every = np.concatenate(at)
+            every = found[borders[lo] : borders[lo] + ends[-1]]
+            met = np.zeros(len(names), bool)
+            met[every] = True
+            unmet = np.flatnonzero(met & (among < 0))
+            among[unmet] = bare.all([names[x] for x in unmet.tolist()], kinds[unmet])
+            every = among[every]
             code = every * 11
-            code[1:] += bare.all_kinds()[every[:-1]]
+            code[1:] += bare.kinds[every[:-1]]
             code[ends - sizes] = every[ends - sizes] * 11 + 10  # a text's first unit
             if len(bare) * 11 > len(place_of):
                 place_of = np.append(place_of, np.full(max(len(place_of), len(bare) * 11 - len(place_of)), -1, np.int32))
@@ -357,8 +427,12 @@ def joint(arrays_: list[np.ndarray], kind: type) -> np.ndarray:
 
 def own_contexts(us: list[bytes], n: np.ndarray, shared: bool) -> list[tuple[np.ndarray, ...]]:
     """Rows of (key, byte, count) of a part's units: those of contexts that other parts may have, or the others."""
-    of, contexts, sym = coded(us)
-    w = n[of]
+    first = firsts(us)
+    of, contexts, sym = coded(us, True, first)
+    heads = np.cumsum([0, *map(len, us)])[:-1]
+    own = first == np.arange(len(first))
+    own[heads] = False
+    w = np.bincount(first, np.repeat(n, np.diff(np.append(heads, len(first)))), len(first))[own].astype(np.int64)
     _, (*_, border), _ = coded([min(us), max(us)])
     mine = np.isin(contexts[-1], border) == shared
     last = summed(contexts[-1][mine], sym[mine], w[mine])
@@ -369,6 +443,7 @@ def shared_contexts(every: DataFrame, parts: int) -> DataFrame:
     """For each part of units (part, unit, n), rows of the contexts that it has and other parts may have, with their bytes and counts over all parts; packed by buckets of keys."""
 
     def ask(key: tuple, t: pa.Table) -> pa.Table:
+        t = t.sort_by("unit")  # neighbours share beginnings
         both = own_contexts(t.column("unit").to_pylist(), t.column("n").to_numpy(), True)
         k, sym, n = (np.concatenate(x) for x in zip(*both, strict=True))
         b = (k % np.uint64(parts)).astype(np.int64)
@@ -474,6 +549,7 @@ def score(docs: DataFrame, train: Column, setting: Setting = Setting()) -> DataF
     def scored(key: tuple, t: pa.Table, given: pa.Table) -> pa.Table:
         s = np.zeros(0)
         if t.num_rows:
+            t = t.sort_by("unit")  # neighbours share beginnings
             us, _, known = known_of(t, given)
             told, level = predictors([known.counts])
             s = Model((told * N, level), setting, *shipped.value).log10(us, known)
