@@ -122,6 +122,22 @@ def test_op1_passages_against_brute_force(spark):
     assert Counter((r["doc_id"], bytes(r["kept"]).decode()) for r in told) == Counter((i, t or "") for i, t in rows)
 
 
+def test_op1_spans_join_over_a_whole_batch():
+    """Lists of spans, null and empty ones too, are read without a row each in Python and joined text by text."""
+    rng = random.Random(6)
+    found = [None, [], *([{"s": (s := rng.randint(0, 60)), "e": s + rng.randint(1, 9)} for _ in range(rng.randint(0, 12))] for _ in range(50)), None]
+    column = pa.array([None, *found], pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])))[1:]
+    of, s, e = suffix_dedup.listed(column, "s", "e")
+    got = {}
+    for k, *run in zip(*(x.tolist() for x in suffix_dedup.joined_by(of, s, e)), strict=True):
+        got.setdefault(k, []).append(tuple(run))
+    for k, spans in enumerate(found):
+        bytes_ = sorted({x for r in spans or [] for x in range(2 * r["s"], 2 * r["e"] + 1)})  # doubled: spans that touch are one
+        want = [(x // 2, next(y for y in range(x, 999) if y + 1 not in bytes_) // 2) for x in bytes_ if x - 1 not in bytes_]
+        assert got.get(k, []) == want
+    assert suffix_dedup.joined([]) == [] and suffix_dedup.joined([(5, 9), (1, 5), (11, 12)]) == [(1, 9), (11, 12)]
+
+
 def test_op1_edges(spark, edge, empty):
     assert len(removed(edge)) == len(EDGE) and removed(empty) == []
     t = suffix_dedup.remove_repeats(edge, as_text=True)

@@ -16,6 +16,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -157,13 +158,25 @@ def repeated(strings: list[bytes], anchors: list[int], counts: list[int], size:
 
 def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Maximal runs of the bytes that the spans (from, to) cover."""
-    out: list[list[int]] = []
-    for s, e in sorted(spans):
-        if out and s <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], e)
-        else:
-            out.append([s, e])
-    return [(s, e) for s, e in out]
+    s, e = np.array(spans, np.int64).reshape(-1, 2).T
+    return list(zip(*(x.tolist() for x in joined_by(np.zeros(len(s), np.int64), s, e)[1:]), strict=True))
+
+
+def joined_by(of: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts (by number) and their spans: the maximal runs of covered bytes, by text and place."""
+    at = of << 32
+    o = np.argsort(at + s)
+    at, start, end = at[o], (at + s)[o], np.maximum.accumulate((at + e)[o])
+    first = np.flatnonzero(np.append(True, start[1:] > end[:-1])) if len(o) else o
+    last = np.append(first[1:], len(o))[: len(first)] - 1
+    return at[first] >> 32, start[first] - at[first], end[last] - at[first]
+
+
+def listed(x: pa.Array, *names: str) -> tuple[np.ndarray, ...]:
+    """Of lists of structs: the number of each struct's list, and its fields."""
+    flat = x.flatten()
+    of = np.repeat(np.arange(len(x)), pc.fill_null(pc.list_value_length(x), 0).to_numpy())
+    return of, *(flat.field(n).to_numpy(zero_copy_only=False) for n in names)
 
 
 OCC = pa.schema([("ah", pa.int64()), ("sh", pa.binary()), ("doc", pa.int64()), ("th", pa.int64()), ("lo", pa.int32()), ("n", pa.int32()), ("off", pa.int32())])
@@ -331,14 +344,20 @@ def repeated_passages(docs: DataFrame, words: int) -> DataFrame:
 
     def windows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            for doc, th, text, need in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                w = Words(text.encode())
-                parts = []
-                for x in need:
-                    i, n = np.searchsorted(w.starts, x["s"]), np.searchsorted(w.ends, x["e"]) + 1
-                    n -= i + words - 1
-                    parts.append((*w.hashes(slice(i, i + n), slice(i + words, i + words + n)), x["single"], doc, th, w.starts[i : i + n], w.ends[i + words - 1 : i + words - 1 + n]))
-                yield batch(["wh", "wh2", "single", "doc", "th", "s", "e"], parts)
+            of, single, s, e = listed(b.column(3), "single", "s", "e")
+            ends = np.searchsorted(of, np.arange(b.num_rows + 1))
+            parts, held = [], 0
+            for k, (doc, th, text) in enumerate(zip(*(c.to_pylist() for c in b.columns[:3]), strict=True)):
+                w, mine = Words(text.encode()), slice(ends[k], ends[k + 1])
+                i = np.searchsorted(w.starts, s[mine])
+                n = np.searchsorted(w.ends, e[mine]) + 2 - words - i
+                at = np.arange(n.sum()) + np.repeat(i - np.cumsum(n) + n, n)
+                parts.append((*w.hashes(at, at + words), np.repeat(single[mine], n), doc, th, w.starts[at], w.ends[at + words - 1]))
+                held += len(at)
+                if held > 100_000:
+                    yield batch(["wh", "wh2", "single", "doc", "th", "s", "e"], parts)
+                    parts, held = [], 0
+            yield batch(["wh", "wh2", "single", "doc", "th", "s", "e"], parts)
 
     each = near(d, need).join(need, ["doc", "th"]).select("doc", "th", "text", "need").mapInArrow(tidy(windows), "wh long, wh2 long, single boolean, doc long, th long, s int, e int")
     each = cut(each, "word-windows")
@@ -373,15 +392,16 @@ def remove_repeats(docs: DataFrame, size: int = 400, as_text: bool = False, word
     def remove(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             place = b.schema.get_field_index
-            sizes, done, kept, passages = [], [], [], []
-            for t, found in zip(b.column(place("text")).to_pylist(), b.column(place("_found")).to_pylist(), strict=True):
+            sizes, kept = [], []
+            of, s, e, w = listed(b.column(place("_found")), "s", "e", "w")
+            passages = np.bincount(joined_by(of[w], s[w], e[w])[0], minlength=b.num_rows)
+            of, s, e = joined_by(of[~w], s[~w], e[~w])
+            ends = np.searchsorted(of, np.arange(b.num_rows + 1))
+            for t, lo, hi in zip(b.column(place("text")).to_pylist(), ends, ends[1:], strict=False):
                 raw = (t or "").encode()
-                out = joined([(x["s"], x["e"]) for x in found or [] if not x["w"]])
                 sizes.append(len(raw))
-                done.append([{"s": s, "e": e} for s, e in out])
-                kept.append(b"".join(raw[e:s] for e, s in zip([0, *(e for _, e in out)], [*(s for s, _ in out), len(raw)], strict=True)))
-                passages.append(len(joined([(x["s"], x["e"]) for x in found or [] if x["w"]])))
-            done_ = pa.array(done, pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())])))
+                kept.append(b"".join(raw[i:j] for i, j in zip([0, *e[lo:hi].tolist()], [*s[lo:hi].tolist(), len(raw)], strict=True)))
+            done_ = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(s), pa.array(e)], names=["s", "e"]))
             if as_text:
                 new = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())
                 yield pa.RecordBatch.from_arrays([*(new if n == "text" else b.column(place(n)) for n in names), done_], names=[*names, "spans"])
