@@ -6,6 +6,7 @@ import os
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -640,6 +641,24 @@ def test_pipeline_near_copies(spark):
     assert {r[1] for r in got if not r[0]} == {rows[0][1], rows[-2][1], rows[-1][1]}
 
 
+def test_near_copies_band_holds_no_texts():
+    """A band's links are found, over the borders of batches, with its sets of shingles in memory but not its texts."""
+    rng = random.Random(8)
+    base = ["".join(rng.choices("абвгде", k=6)) for _ in range(1500)]
+    texts = [" ".join([*base[:i], "changed", *base[i + 1 :]]) for i in range(400)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([7] * 20), pa.array(range(i, i + 20)), pa.array(texts[i : i + 20])], names=["key", "th", "text"]) for i in range(0, 400, 20)]
+    alone = pa.RecordBatch.from_arrays([pa.array([7, 8, 8, 8]), pa.array([400, 0, 1, 401]), pa.array(["а б в", texts[0], texts[1], None])], names=["key", "th", "text"])
+    list(simhash.band_links(iter([alone]), 0.8))  # imports
+    tracemalloc.start()
+    try:
+        got = [list(zip(*b.to_pydict().values(), strict=True)) for b in simhash.band_links(iter([*batches, alone]), 0.8)]
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [len(x) for x in got] == [399, 1] and {i for x in got[0] for i in x} == set(range(400)) and set(got[1][0]) == {0, 1}
+    assert most < sum(2 * len(t) for t in texts)
+
+
 def test_pipeline_short_passages(spark):
     """Passages of 51 words go although shorter than 400 bytes; of 50 words they stay."""
     rng = random.Random(6)

@@ -228,6 +228,34 @@ def alike(x: np.ndarray, y: np.ndarray, least: float) -> bool:
     return both >= least * (len(x) + len(y) - both) - 1e-9
 
 
+def as_sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """key, th, text of 256 rows at a time, the text's set (as bytes) in place of the text."""
+    for b in it:
+        for i in range(0, b.num_rows, 256):
+            c = b.slice(i, 256)
+            key, th, text = (c.column(c.schema.get_field_index(n)) for n in ("key", "th", "text"))
+            yield pa.RecordBatch.from_arrays([key, th, pa.array([shingle_set(x.as_py()).tobytes() for x in text], pa.large_binary())], names=["key", "th", "set"])
+
+
+def band_links(it: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """u, v of each band's spanning forest; it: key, th, text, sorted by key. A band's sets are held, 8 bytes for each shingle, its texts are not."""
+    for _, g in groups(as_sets(it), ["key"]):
+        rest = [(th, np.frombuffer(x, np.uint64)) for th, x in zip(g["th"], g["set"], strict=True)]
+        out: list[tuple[int, int]] = []
+        while rest:
+            queue = [rest.pop()]
+            while queue and rest:
+                th, x = queue.pop()
+                near = [alike(x, y, least) for _, y in rest]
+                found = [r for r, ok in zip(rest, near, strict=True) if ok]
+                rest = [r for r, ok in zip(rest, near, strict=True) if not ok]
+                out += [(th, t) for t, _ in found]
+                queue += found
+        if out:
+            u, v = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+
 def jaccard_links(texts: DataFrame, least: float = 0.8) -> DataFrame:
     """u, v: links that connect texts (th, a text's own number, and text; repeated rows count once) whose sets of 5-word shingles have at least this Jaccard similarity.
 
@@ -250,21 +278,4 @@ def jaccard_links(texts: DataFrame, least: float = 0.8) -> DataFrame:
     bucket = F.pmod(F.xxhash64("th"), F.lit(1 << 20))  # numbers broadcast: so many at most
     body = texts.select("th", "text").withColumn("_b", bucket).join(F.broadcast(pairs.select(bucket.alias("_b")).distinct()), "_b", "left_semi").groupBy("th").agg(F.first("text").alias("text"))
 
-    def linked(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, g in groups(it, ["key"]):
-            rest = [(th, shingle_set(x)) for th, x in zip(g["th"], g["text"], strict=True)]
-            out: list[tuple[int, int]] = []
-            while rest:
-                queue = [rest.pop()]
-                while queue and rest:
-                    th, x = queue.pop()
-                    near = [alike(x, y, least) for _, y in rest]
-                    found = [r for r, ok in zip(rest, near, strict=True) if ok]
-                    rest = [r for r, ok in zip(rest, near, strict=True) if not ok]
-                    out += [(th, t) for t, _ in found]
-                    queue += found
-            if out:
-                u, v = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
-
-    return pairs.join(body, "th").repartition("key").sortWithinPartitions("key").mapInArrow(tidy(linked), "u long, v long")
+    return pairs.join(body, "th").repartition("key").sortWithinPartitions("key").mapInArrow(tidy(lambda it: band_links(it, least)), "u long, v long")
