@@ -622,6 +622,46 @@ def test_op2_shared_beginnings_are_predicted_once(monkeypatch):
     assert len(m.log10([], known)) == 0
 
 
+def test_op2_learning_seeks_shared_beginnings_once(monkeypatch):
+    """Learning takes the bits of every unit with a weight, but looks up the contexts of a common beginning once."""
+    us = [b"\n" + f"word{i:05d} ".encode() for i in range(900)]
+    weight = np.arange(900) % 7.0
+    known = mixing.Known(*(np.concatenate(x) for x in zip(*mixing.own_contexts(us, weight, True), *mixing.own_contexts(us, weight, False), strict=True)))
+    sought, row = [], known.row
+    monkeypatch.setattr(known, "row", lambda key, sym: sought.append(len(key)) or row(key, sym))
+    told = mixing.Model(([], np.zeros(0)), mixing.Setting()).learn(us, weight, known)
+    assert sum(sought) == mixing.N * len({u[:k] for u in us for k in range(2, len(u) + 1)})
+    assert math.isclose(told[0].sum(), 8 * 10 * weight.sum(), rel_tol=1e-6) and math.isclose(told[2].sum(), told[0].sum(), rel_tol=1e-6)
+    mine = np.flatnonzero(weight)
+    alone = mixing.Model(([], np.zeros(0)), mixing.Setting()).learn([us[i] for i in mine], weight[mine], known)
+    assert all(np.allclose(x, y, rtol=1e-6) for x, y in zip(told, alone, strict=True))
+
+
+@pytest.mark.parametrize("limits", [{}, {"most": 30}, {"size": 3000}])
+def test_op2_chunks_over_batches(limits):
+    """A chunk lists each of its units once, however many batches it spans and wherever in them it ends."""
+    rng = random.Random(8)
+    texts = [rng.choice([None, "", " ", "a\t\tb", " ".join(rng.choices(["so", "So.", "é!", "x", "1"], k=9)) + rng.choice(" \n.")]) for _ in range(1500)]
+    train = [rng.choice([True, False, None]) for _ in texts]
+    rows = pa.record_batch([pa.array(range(1500)), pa.array(texts), pa.array(train)], names=["doc_id", "text", "train"])
+    got = pa.Table.from_batches(mixing._chunks((rows.slice(i, 450) for i in range(0, 1500, 450)), **limits)).to_pylist()
+    names = {(r["chunk"], r["place"]): r["unit"] for r in got if r["unit"] is not None}
+    told = [r for r in got if r["places"] is not None]
+    assert [r["doc_id"] for r in told] == list(range(1500)) and [r["train"] for r in told] == train
+    assert all([names[r["chunk"], x] for x in mixing.unpacked(r["places"])] == mixing.units(texts[r["doc_id"]]) for r in told)
+    assert len({(k, u) for (k, _), u in names.items()}) == len(names) and (len({k for k, _ in names}) > 1) == bool(limits)
+    n = Counter()
+    for r in got:
+        n[r["unit"]] += r["n"] or 0
+    assert +n == Counter(u for x, t in zip(texts, train, strict=True) if t for u in mixing.units(x))
+
+
+def test_op2_order_of_close_keys():
+    """Keys that differ only in their last byte keep their bytes apart."""
+    key, sym = np.array([513, 512, 513, 512, 7], np.uint64), np.array([1, 9, 0, 2, 3])
+    assert list(mixing.by_key(key, sym)) == [4, 3, 1, 2, 0]
+
+
 def test_pipeline_near_copies(spark):
     """Texts of 5-word Jaccard 0.8 and more go, whatever their fingerprints; rows without an id are dropped for their own text only."""
     rng = random.Random(5)

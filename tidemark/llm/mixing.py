@@ -15,6 +15,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from operator import add
 
 import numpy as np
@@ -118,16 +119,67 @@ def coded(us: list[bytes], headed: bool = True, first: np.ndarray | None = None)
     return of, contexts, raw[keep].astype(np.int64)
 
 
+class Units(list):
+    """Units, and what is worked out once for all that read them: bytes of common beginnings of units that follow each other count as one."""
+
+    @cached_property
+    def sizes(self) -> np.ndarray:
+        return np.fromiter(map(len, self), np.int64, len(self))
+
+    @cached_property
+    def starts(self) -> np.ndarray:
+        return np.cumsum(self.sizes) - self.sizes
+
+    @cached_property
+    def first(self) -> np.ndarray:
+        return firsts(self)
+
+    @cached_property
+    def coded(self) -> tuple[list[np.ndarray], np.ndarray]:
+        """The keys of contexts and the byte, of each byte that is its own first and no head."""
+        _, contexts, sym = coded(self, True, self.first)
+        return contexts, sym
+
+    @cached_property
+    def event(self) -> np.ndarray:
+        """For each byte its number in coded; -1 for heads."""
+        own = self.first == np.arange(len(self.first))
+        own[self.starts] = False
+        out = (np.cumsum(own, dtype=np.int32) - np.int32(1))[self.first]
+        out[self.starts] = -1
+        return out
+
+
+def units_of(us: list[bytes]) -> Units:
+    return us if isinstance(us, Units) else Units(us)
+
+
 def under(key: np.ndarray, sym: np.ndarray) -> np.ndarray:
     """A key for a byte in a context."""
     return mix64(key + (sym.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def by_key(key: np.ndarray, sym: np.ndarray) -> np.ndarray:
+    """The order by key and byte."""
+    top = key >> np.uint64(8)
+    o = np.argsort(top << np.uint64(8) | sym.astype(np.uint64))
+    if np.any((top[o[1:]] == top[o[:-1]]) & (key[o[1:]] != key[o[:-1]])):  # keys that differ in their last byte only
+        return np.lexsort((sym, key))
+    return o
+
+
+def leveled(n: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(n), np.int8)
+    for x in LEVELS:
+        out += n >= x
+    return out
+
+
 class Known:
     """Exact counts of the bits of the bytes in each context, from rows of a context's key, a byte and its count."""
 
     def __init__(self, key: np.ndarray, sym: np.ndarray, n: np.ndarray) -> None:
-        o = np.lexsort((sym, key))
+        o = by_key(key, sym)
         key, sym, n = key[o], sym[o], n[o].astype(np.float64)
         slots, counts, base = np.empty((len(key), 8), np.int32), [], 0
         other = np.ones(len(key), bool)
@@ -166,10 +218,10 @@ class Known:
         told = np.empty((len(self.counts), 2), np.float32)
         level = np.empty((len(self.counts), 2), np.int8)
         for bit in range(2):
-            c = self.counts.astype(np.float64)
+            c = self.counts.copy()
             c[:, bit] = np.maximum(0, c[:, bit] - 1)
-            told[:, bit] = np.log((c[:, 1] + 0.2) / (c[:, 0] + 0.2))
-            level[:, bit] = np.digitize(c[:, 0] + c[:, 1], LEVELS)
+            told[:, bit] = np.log((c[:, 1] + np.float32(0.2)) / (c[:, 0] + np.float32(0.2)))
+            level[:, bit] = leveled(c[:, 0] + c[:, 1])
         return told.ravel(), level.ravel()
 
 
@@ -188,13 +240,17 @@ def events(us: list[bytes], places: Known | tuple[int, ...], headed: bool = Fals
     return np.repeat(of, 8), slots, nodes.ravel(), bit.ravel()
 
 
+#: By byte, the nodes of its eight bits and the bits.
+NODES = (np.arange(256)[:, None] | 256) >> np.arange(8, 0, -1)
+BITS = (np.arange(256)[:, None] >> np.arange(7, -1, -1) & 1).astype(np.int8)
+
 Ready = tuple[list[np.ndarray], np.ndarray]
 
 
 def predictors(counts: list[np.ndarray]) -> Ready:
     """Each context's stretched predictions, 0 for slots without counts, and how well the last context's slots are known."""
     told = [np.log((c[:, 1] + np.float32(0.2)) / (c[:, 0] + np.float32(0.2))) for c in counts]
-    return told, np.digitize(counts[-1].sum(1), LEVELS).astype(np.int8)
+    return told, leveled(counts[-1].sum(1))
 
 
 class Model:
@@ -216,25 +272,25 @@ class Model:
             known += x[k] != 0
         return x, known * (len(LEVELS) + 1) + (self.ready[1] if without is None else without[1])[at]
 
-    def seen(self, us: list[bytes], known: Known, told: np.ndarray, level: np.ndarray, first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """As events and inputs, with predictions and levels by known's rows, each of eight bits, so that a byte's are found at once: the unit's number by byte, stretched predictions, gates, nodes, bits."""
-        of, contexts, sym = coded(us, True, first)
-        x = np.empty((N + 1, 8 * len(sym)), np.float32)
+    def seen(self, rows: list[np.ndarray], told: np.ndarray) -> np.ndarray:
+        """Stretched predictions, by context, of bytes with these rows of known; a row has those of eight bits, so that a byte's are found at once."""
+        x = np.empty((N + 1, 8 * len(rows[0])), np.float32)
         x[N] = 0.3
-        gate = np.zeros(8 * len(sym), np.int8)
-        for k, h in enumerate(contexts):
-            rows = known.row(h, sym)
-            x[k] = told[rows].ravel()
-            gate += x[k] != 0
-        gate = gate * np.int8(len(LEVELS) + 1) + level[rows].ravel()
-        full = sym | 256
-        node = (full[:, None] >> np.arange(8, 0, -1)).ravel()
-        return of, x, gate.astype(np.int64), node, known.bits[rows].ravel()
+        for k, at in enumerate(rows):
+            np.take(told, at, axis=0, out=x[k].reshape(-1, 8), mode="clip")
+        return x
+
+    def gates(self, rows: list[np.ndarray], told: np.ndarray, level: np.ndarray) -> np.ndarray:
+        """The gate of each byte's eight bits."""
+        tells, out = told != 0, np.zeros((len(rows[0]), 8), np.int8)
+        for at in rows:
+            out += np.take(tells, at, axis=0)
+        return out * np.int8(len(LEVELS) + 1) + np.take(level, rows[-1], axis=0)
 
     def mixed(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
         z = np.zeros(len(gate), np.float32)
-        for k in range(N + 1):
-            z += x[k] * self.weights[:, k][gate]
+        for k, w in enumerate(np.ascontiguousarray(self.weights.T)):
+            z += x[k] * w[gate]
         return np.clip(z, -8, 8)
 
     def refining(self, s: np.ndarray, node: np.ndarray) -> np.ndarray:
@@ -246,32 +302,47 @@ class Model:
         return np.clip(0.5 * squash(s) + 0.5 * r, 2.0**-20, 1 - 2.0**-20)
 
     def learn(self, us: list[bytes], weight: np.ndarray, known: Known) -> list[np.ndarray]:
-        """Predict batches' bits without their own count and move the weights; what there is to add up over parts: by gate the bits and the weights times these, by cell of the refining table the bits and their ones."""
+        """For units whose weight is not 0, predict batches' bits without their own count and move the weights; what there is to add up over parts: by gate the bits and the weights times these, by cell of the refining table the bits and their ones."""
         s = self.setting
         size = 256 * BUCKETS
         told = [np.zeros(len(self.weights)), np.zeros(self.weights.shape), np.zeros(size), np.zeros(size)]
         at = known.slots * 2 + known.bits
-        without = [x[at] for x in known.without()]
-        order = np.random.default_rng(0).permutation(len(us))
-        times = max(1, -(-200 * s.batch // max(1, len(us))))  # a part of few units goes round
+        without, level = (x[at] for x in known.without())
+        us = units_of(us)
+        contexts, sym = us.coded
+        rows = [known.row(h, sym) for h in contexts]  # sought once for all units that share a beginning
+        gates = self.gates(rows, without, level)
+        event, starts, sizes = us.event, us.starts, us.sizes
+        order = np.flatnonzero(weight)[np.random.default_rng(0).permutation(np.count_nonzero(weight))]
+        times = max(1, -(-200 * s.batch // max(1, len(order))))  # a part of few units goes round
         for _ in range(times):
-            for i in range(0, len(us), 64 * s.batch):
-                at = order[i : i + 64 * s.batch]
-                of, x_, gate_, node_, bit_ = self.seen([us[j] for j in at], known, *without)
+            for i in range(0, len(order), 32 * s.batch):
+                at = order[i : i + 32 * s.batch]
+                lengths = sizes[at] - 1  # heads are not predicted
+                of = np.repeat(np.arange(len(at)), lengths)
+                mine = event[np.arange(len(of)) + np.repeat(starts[at] + 1 - np.cumsum(lengths) + lengths, lengths)]
+                gate_ = np.take(gates, mine, axis=0).ravel()
+                # a batch's bits by gate, so that a gate's are summed as one run
+                o = np.argsort(np.repeat((of // s.batch).astype(np.int16) << 8, 8) | gate_, kind="stable")
+                x_ = np.take(self.seen([r[mine] for r in rows], without), o, axis=1)
+                gate_, w_ = gate_[o].astype(np.int64), weight[at][of][o >> 3]
+                bit_, cell_ = (np.take(x, sym[mine], axis=0).ravel()[o] for x in (BITS, NODES))
+                light, z_ = w_.astype(np.float32), np.empty(len(w_), np.float32)
                 ends = 8 * np.searchsorted(of, np.arange(0, len(at) + s.batch, s.batch))
-                w_ = np.repeat(weight[at][of], 8)
-                z_ = np.empty(len(w_), np.float32)
                 for lo, hi in zip(ends, ends[1:], strict=False):
+                    if lo == hi:
+                        continue
                     x, gate, w = x_[:, lo:hi], gate_[lo:hi], w_[lo:hi]
                     z = z_[lo:hi] = self.mixed(x, gate)
-                    err = (bit_[lo:hi] - squash(z)) * w
-                    mass = np.bincount(gate, w, len(self.weights))
-                    for k in range(N + 1):  # a gate moves by its bits' mean error
-                        self.weights[:, k] += s.rate * np.bincount(gate, err * x[k], len(self.weights)) / (mass + 1e-9)
-                    told[0] += mass
-                    told[1] += mass[:, None] * self.weights
+                    err = (bit_[lo:hi] - squash(z)) * light[lo:hi]
+                    runs = np.flatnonzero(np.append(True, gate[1:] != gate[:-1]))
+                    here, mass = gate[runs], np.add.reduceat(w, runs)
+                    # a gate moves by its bits' mean error
+                    self.weights[here] += (s.rate * np.add.reduceat(err * x, runs, axis=1) / (mass + 1e-9)).T.astype(np.float32)
+                    told[0][here] += mass
+                    told[1][here] += mass[:, None] * self.weights[here]
                 y = np.clip((z_ * 2) + BUCKETS // 2, 0, BUCKETS - 1.001)
-                cell = node_ * BUCKETS + np.ceil(y - 0.5).astype(np.int64)
+                cell = cell_ * BUCKETS + np.ceil(y - 0.5).astype(np.int64)
                 told[2] += np.bincount(cell, w_, size)
                 told[3] += np.bincount(cell, w_ * bit_, size)
         return [x / times for x in told]
@@ -285,71 +356,50 @@ class Model:
 
     def log10(self, us: list[bytes], known: Known) -> np.ndarray:
         """log10 of each unit's probability. Units in their order share the bits of their common beginnings, which are predicted once."""
-        out = np.zeros(len(us))
+        us = units_of(us)
         told, level = self.ready[0][-1][known.slots], self.ready[1][known.slots]
-        for i in range(0, len(us), 4096):
-            some = us[i : i + 4096]
-            first = firsts(some)
-            of = np.repeat(np.arange(len(some)), [len(u) for u in some])
-            own = first == np.arange(len(first))
-            own[np.searchsorted(of, np.arange(len(some)))] = False  # heads are not predicted
-            _, x, gate, node, bit = self.seen(some, known, told, level, first)
-            p = self.refining(self.mixed(x, gate), node)
-            each = np.zeros(len(first))
-            each[own] = np.log10(np.where(bit == 1, p, 1 - p)).reshape(-1, 8).sum(1, dtype=np.float64)
-            out[i : i + 4096] = np.bincount(of, each[first], len(some))
-        return out
+        contexts, sym = us.coded
+        each = np.zeros(len(sym) + 1)  # the last: heads, which are not predicted
+        for i in range(0, len(sym), 16_384):
+            some = sym[i : i + 16_384]
+            rows = [known.row(h[i : i + 16_384], some) for h in contexts]
+            gate = self.gates(rows, told, level).ravel().astype(np.int64)
+            p = self.refining(self.mixed(self.seen(rows, told), gate), NODES[some].ravel())
+            each[i : i + len(some)] = np.log10(np.where(BITS[some].ravel() == 1, p, 1 - p)).reshape(-1, 8).sum(1, dtype=np.float64)
+        return np.bincount(np.repeat(np.arange(len(us)), us.sizes), each[us.event], len(us))
 
 
 TOLD = pa.schema([("chunk", pa.int64()), ("place", pa.int32()), ("unit", pa.binary()), ("n", pa.int64()), ("doc_id", pa.int64()), ("train", pa.bool_()), ("places", pa.binary())])
 
 
-class Places(dict):
-    """Units without their first bytes, each with its place in order of first sight, and the byte that each gives its follower."""
-
-    def __init__(self) -> None:
-        self.names: list[bytes] = []
-        self.kinds = np.zeros(0, np.int64)
-
-    def __missing__(self, unit: bytes) -> int:
-        got = self[unit] = len(self)
-        self.names.append(unit)
-        return got
-
-    def all(self, units_: list[bytes], kinds: np.ndarray) -> np.ndarray:
-        """The places of different units with these kinds."""
-        known = len(self)
-        got = np.fromiter(map(self.__getitem__, units_), np.int64, len(units_))
-        self.kinds = np.append(self.kinds, kinds[got >= known])
-        return got
+#: Of the byte before a unit's last, what Kinds tells.
+KIND = np.array([KINDS[bytes([x, 32])][0] for x in range(256)], np.uint8)
 
 
-#: Bytes that end a unit; and of the byte before that, what Kinds tells.
-ENDS = np.isin(np.arange(256), [*b" \t\n\v\f\r", 255])
-KIND = np.array([KINDS[bytes([x, 32])][0] for x in range(256)])
+def split(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """How many units each text has; all units, each after the byte for its predecessor's end, as places in a list of the distinct ones, in order of first sight; that list."""
+    data = np.frombuffer(END.join([*texts, b""]), np.uint8)
+    ends = np.flatnonzero((data - np.uint8(9) < 5) | (data == 32) | (data == 255)) + 1
+    starts = np.append(0, ends[:-1])
+    last = data[ends - 1]
+    heads = np.full(len(ends), 10, np.uint8)  # a text's first unit
+    kinds = KIND[np.where(ends - starts == 1, 32, data[ends - 2])] + (last != 32)
+    heads[1:] = np.where(last[:-1] == 255, 10, kinds[:-1])
+    starts += np.arange(len(starts))
+    headed, body = np.empty(len(data) + len(heads), np.uint8), np.ones(len(data) + len(heads), bool)
+    body[starts] = False
+    headed[body], headed[starts] = data, heads
+    offsets = pa.py_buffer(np.append(starts, len(headed)))
+    every = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, offsets, pa.py_buffer(headed)]).dictionary_encode()
+    return np.diff(np.flatnonzero(last == 255), prepend=-1), every.indices.to_numpy(), every.dictionary
 
 
-def split(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
-    """How many units each text has; all units as places in a list of the distinct ones, in order of first sight; that list, without their first bytes, and the kinds of these."""
-    raw = b"".join([(t or "").encode() + END for t in texts])
-    data = np.frombuffer(raw, np.uint8)
-    ends = np.flatnonzero(ENDS[data]) + 1
-    every = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(np.append(0, ends)), pa.py_buffer(raw)]).dictionary_encode()
-    places, names = every.indices.to_numpy(), every.dictionary
-    first = np.full(len(names), len(places))
-    first[places[::-1]] = np.arange(len(places))[::-1]  # where each is met
-    last, alone = ends[first] - 1, np.diff(np.append(0, ends))[first] == 1
-    kinds = KIND[np.where(alone, 32, data[last - 1])] + (data[last] != 32)
-    return np.diff(np.flatnonzero(data[ends - 1] == 255), prepend=-1), places, names, kinds
-
-
-HEADS = [bytes([x]) for x in range(11)]
 PACKER = pa.Codec("zstd", 1)
 
 
 def packed(places: np.ndarray) -> bytes:
     """Places as bytes: how many there are, then their first, second, third and fourth bytes, compressed."""
-    return len(places).to_bytes(8, "little") + PACKER.compress(places.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), asbytes=True)
+    return len(places).to_bytes(8, "little") + PACKER.compress(places.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4).T.tobytes(), asbytes=True)
 
 
 def unpacked(x: bytes) -> np.ndarray:
@@ -357,54 +407,55 @@ def unpacked(x: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(PACKER.decompress(x[8:], 4 * n, asbytes=True), np.uint8).reshape(4, n).T).view("<u4").ravel()
 
 
+def _joined(it: Iterator[pa.RecordBatch], size: int = 6 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches put together up to so many bytes, or one that has more."""
+    held: list[pa.RecordBatch] = []
+    for b in it:
+        held.append(b)
+        if sum(x.nbytes for x in held) >= size or len(held) == 100:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _chunks(it: Iterator[pa.RecordBatch], most: int = 600_000, size: int = 32 << 20) -> Iterator[pa.RecordBatch]:
-    """A partition's texts as packed places of their units, and after each chunk of texts its units with how often training texts have them; those that only held-out texts have count 0. A chunk ends at so many units or bytes of text."""
+    """A partition's texts as packed places of their units, and after each chunk of texts its units with how often training texts have them; those that only held-out texts have count 0. A chunk ends at so many units or bytes of text, looked at every 200 texts."""
     task = TaskContext.get()
-    chunk = ((task.partitionId() if task else 0) << 32) - 1
-    held = size + 1
-    bare, place_of, seen, counts = Places(), np.zeros(0, np.int32), [], np.zeros(0, np.int64)
+    chunk, held = (task.partitionId() if task else 0) << 32, 0
+    names, counts = pa.array([], pa.large_binary()), np.zeros(0, np.int64)
 
     def close() -> Iterator[pa.RecordBatch]:
-        codes = np.concatenate(seen) if seen else np.zeros(0, np.int64)
-        for i in range(0, len(codes), 20_000):
-            part = codes[i : i + 20_000].tolist()
-            us = [HEADS[x % 11] + bare.names[x // 11] for x in part]
+        for i in range(0, len(names), 20_000):
+            us = names.slice(i, 20_000).cast(pa.binary())
             k = len(us)
-            yield rows_out(TOLD, [pa.array([chunk] * k, pa.int64()), pa.array(np.arange(i, i + k, dtype=np.int32)), us, pa.array(counts[i : i + k]), *(pa.nulls(k, f.type) for f in list(TOLD)[4:])])
-
-    for b in it:
-        each, found, names, kinds = split(b.column(1).to_pylist())
-        names, among, borders = names.to_pylist(), np.full(len(names), -1), np.append(0, np.cumsum(each))
-        for lo in range(0, b.num_rows, 200):
-            if len(counts) > most or held > size:
+            yield rows_out(TOLD, [pa.array(np.full(k, chunk)), pa.array(np.arange(i, i + k, dtype=np.int32)), us, pa.array(counts[i : i + k]), *(pa.nulls(k, f.type) for f in list(TOLD)[4:])])
+
+    for b in _joined(it):
+        while b.num_rows:
+            texts = pc.fill_null(b.column(1).cast(pa.binary()), b"")
+            each, found, mine = split(texts.to_pylist())
+            both = pa.concat_arrays([names, mine]).dictionary_encode()
+            place = both.indices.to_numpy()[len(names) :]
+            # both lists are in order of first sight, so whatever texts are left for the next chunk, their new units come last
+            stops = np.append(np.arange(200, b.num_rows, 200), b.num_rows)
+            ends = np.cumsum(each)[stops - 1]
+            met = np.maximum.accumulate(found)[ends - 1] + 1
+            units_held = len(names) + np.cumsum(place >= len(names))[met - 1]
+            text_held = held + np.cumsum(pc.binary_length(texts).to_numpy())[stops - 1]
+            full = (units_held > most) | (text_held > size)
+            end = int(full.argmax()) if full.any() else -1
+            k, found, place, held = int(stops[end]), found[: ends[end]], place[: met[end]], int(text_held[end])
+            names = both.dictionary.slice(0, int(units_held[end]))
+            counts = np.append(counts, np.zeros(len(names) - len(counts), np.int64))
+            train = pc.fill_null(b.column(2).slice(0, k), False).to_numpy(zero_copy_only=False)
+            counts[place] += np.bincount(found[np.repeat(train, each[:k])], minlength=len(place))
+            places = np.split(place[found].astype("<u4"), np.cumsum(each[: k - 1]))
+            yield rows_out(TOLD, [pa.array(np.full(k, chunk)), *(pa.nulls(k, f.type) for f in list(TOLD)[1:4]), b.column(0).slice(0, k), b.column(2).slice(0, k), [packed(x) for x in places]])
+            if full.any():
                 yield from close()
-                bare, place_of, seen, counts, held, chunk = Places(), np.zeros(0, np.int32), [], np.zeros(0, np.int64), 0, chunk + 1
-                among[:] = -1
-            ids, texts, train = (c.to_pylist() for c in b.slice(lo, 200).columns)
-            held += sum(len(text or "") for text in texts)
-            sizes = each[lo : lo + 200]
-            ends = np.cumsum(sizes)
-            every = found[borders[lo] : borders[lo] + ends[-1]]
-            met = np.zeros(len(names), bool)
-            met[every] = True
-            unmet = np.flatnonzero(met & (among < 0))
-            among[unmet] = bare.all([names[x] for x in unmet.tolist()], kinds[unmet])
-            every = among[every]
-            code = every * 11
-            code[1:] += bare.kinds[every[:-1]]
-            code[ends - sizes] = every[ends - sizes] * 11 + 10  # a text's first unit
-            if len(bare) * 11 > len(place_of):
-                place_of = np.append(place_of, np.full(max(len(place_of), len(bare) * 11 - len(place_of)), -1, np.int32))
-            fresh = code[place_of[code] < 0]
-            if len(fresh):
-                fresh = np.unique(fresh)
-                place_of[fresh] = np.arange(len(counts), len(counts) + len(fresh))
-                seen.append(fresh)
-                counts = np.append(counts, np.zeros(len(fresh), np.int64))
-            places = place_of[code]
-            counts += np.bincount(places[np.repeat(np.array(train, bool), sizes)], minlength=len(counts))
-            k = len(ids)
-            yield rows_out(TOLD, [pa.array([chunk] * k, pa.int64()), *(pa.nulls(k, f.type) for f in list(TOLD)[1:4]), ids, train, [packed(x) for x in np.split(places, ends[:-1])]])
+                names, counts, held, chunk = names.slice(0, 0), counts[:0], 0, chunk + 1
+            b = b.slice(k)
     yield from close()
 
 
@@ -413,8 +464,11 @@ GIVEN = "part int, key binary, size binary, sym binary, n binary"
 
 
 def summed(key: np.ndarray, sym: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    _, first, of = np.unique(under(key, sym), return_index=True, return_inverse=True)
-    return key[first], sym[first], np.bincount(of, n, len(first)).astype(np.int64)
+    find = under(key, sym)
+    o = np.argsort(find)
+    find = find[o]
+    first = np.flatnonzero(np.append(True, find[1:] != find[:-1])[: len(find)])
+    return key[o[first]], sym[o[first]], np.add.reduceat(n[o], first) if len(first) else n
 
 
 def arrays(t: pa.Table, name: str, kind: type) -> list[np.ndarray]:
@@ -427,12 +481,10 @@ def joint(arrays_: list[np.ndarray], kind: type) -> np.ndarray:
 
 def own_contexts(us: list[bytes], n: np.ndarray, shared: bool) -> list[tuple[np.ndarray, ...]]:
     """Rows of (key, byte, count) of a part's units: those of contexts that other parts may have, or the others."""
-    first = firsts(us)
-    of, contexts, sym = coded(us, True, first)
-    heads = np.cumsum([0, *map(len, us)])[:-1]
-    own = first == np.arange(len(first))
-    own[heads] = False
-    w = np.bincount(first, np.repeat(n, np.diff(np.append(heads, len(first)))), len(first))[own].astype(np.int64)
+    us = units_of(us)
+    contexts, sym = us.coded
+    at = us.event
+    w = np.bincount(at[at >= 0], np.repeat(n, us.sizes)[at >= 0], len(sym)).astype(np.int64)
     _, (*_, border), _ = coded([min(us), max(us)])
     mine = np.isin(contexts[-1], border) == shared
     last = summed(contexts[-1][mine], sym[mine], w[mine])
@@ -444,7 +496,7 @@ def shared_contexts(every: DataFrame, parts: int) -> DataFrame:
 
     def ask(key: tuple, t: pa.Table) -> pa.Table:
         t = t.sort_by("unit")  # neighbours share beginnings
-        both = own_contexts(t.column("unit").to_pylist(), t.column("n").to_numpy(), True)
+        both = own_contexts(Units(t.column("unit").to_pylist()), t.column("n").to_numpy(), True)
         k, sym, n = (np.concatenate(x) for x in zip(*both, strict=True))
         b = (k % np.uint64(parts)).astype(np.int64)
         o = np.argsort(b, kind="stable")
@@ -474,7 +526,7 @@ def shared_contexts(every: DataFrame, parts: int) -> DataFrame:
 
 def known_of(units_: pa.Table, given: pa.Table) -> tuple[list[bytes], np.ndarray, Known]:
     """A part's units, how often training texts have them, and the counts of all their contexts."""
-    us, n = units_.column("unit").to_pylist(), units_.column("n").to_numpy()
+    us, n = Units(units_.column("unit").to_pylist()), units_.column("n").to_numpy()
     key = np.repeat(joint(arrays(given, "key", np.uint64), np.uint64), joint(arrays(given, "size", np.uint16), np.uint16))
     rows = [(key, joint(arrays(given, "sym", np.uint8), np.uint8).astype(np.int64), joint(arrays(given, "n", np.int64), np.int64)), *own_contexts(us, n, False)]
     return us, n, Known(*(np.concatenate(x) for x in zip(*rows, strict=True)))
@@ -491,9 +543,9 @@ def tuned(every: DataFrame, contexts: DataFrame, setting: Setting) -> tuple[np.n
         if t.num_rows:
             t = t.sort_by("unit")  # learning depends on the order, which shuffles change
             us, n, known = known_of(t, given)
-            mine = np.flatnonzero((n > 0) & t.column("tunes").to_numpy(zero_copy_only=False))
-            if len(mine):
-                out = np.concatenate([x.ravel() for x in Model(([], np.zeros(0)), setting).learn([us[i] for i in mine], n[mine].astype(np.float64), known)])
+            mine = np.where(t.column("tunes").to_numpy(zero_copy_only=False), n, 0).astype(np.float64)
+            if mine.any():
+                out = np.concatenate([x.ravel() for x in Model(([], np.zeros(0)), setting).learn(us, mine, known)])
         return pa.table([pa.array([key[0].as_py() // 64], pa.int32()), pa.array([out.tobytes()], pa.binary())], names=["g", "told"])
 
     def add_up(key: tuple, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
